@@ -10,6 +10,9 @@ from quayside.functions.paths import leaf, without_leaf
 from quayside.operators.loads import array_sum, with_load_totals
 from quayside.plans.expected import at_cob, latest_cobs
 
+# Label of a load without any of the known states.
+UNKNOWN_PROGRESS = "Unknow progress status"
+
 
 def with_blob_summary(log: DataFrame, files: str = "blob_file.file_list") -> DataFrame:
     """Location, last change and total size of the files of a load, per row."""
@@ -98,7 +101,7 @@ def load_status(
         .when(end.isNotNull(), "Staging finished")
         .when(F.col("blob_location").isNull(), "File not received")
         .when(start.isNull() & F.col("blob_location").isNotNull(), "Staging not started")
-        .otherwise("Unknown progress status")
+        .otherwise(UNKNOWN_PROGRESS)
     )
     return (
         report.withColumn("expected_staging_timestamp", expected)

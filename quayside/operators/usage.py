@@ -32,6 +32,9 @@ SIZE_SUFFIXES = {
     "4XL": "4X-Large",
 }
 
+# Label of an unreadable size suffix.
+UNKNOWN_SIZE = "Unknow"
+
 _TIB = float(1024**4)
 
 
@@ -114,7 +117,7 @@ def users(accounts: DataFrame) -> DataFrame:
         F.max("last_success_login").alias("last_success_login"),
     )
     known = known.withColumn("display_name", F.coalesce("display_name", "user_name"))
-    system = accounts.sparkSession.createDataFrame([("SYSTEM", "System")], "user_name string, display_name string")
+    system = accounts.sparkSession.range(1).select(F.lit("SYSTEM").alias("user_name"), F.lit("System").alias("display_name"))
     return known.unionByName(system, allowMissingColumns=True).distinct()
 
 
@@ -127,7 +130,7 @@ def compute_clusters(history: DataFrame, sized_families: tuple[str, ...] = ()) -
     for family in sized_families:
         in_family = in_family | F.contains(name, F.lit(family))
     code = F.when(suffix == "WH", "XS").otherwise(suffix)
-    size = F.lit("Unknown")
+    size = F.lit(UNKNOWN_SIZE)
     for key, label in SIZE_SUFFIXES.items():
         size = F.when(code == key, label).otherwise(size)
     return (
