@@ -22,5 +22,5 @@ def occurring_once(df: DataFrame) -> DataFrame:
 def missing_references(df: DataFrame, column: str, allowed: DataFrame) -> DataFrame:
     """Distinct values of ``column`` that the one-column table ``allowed`` lacks."""
     values = df.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct()
-    known = allowed.select(F.col(allowed.columns[0]).alias("value")).distinct()
+    known = allowed.toDF("value").distinct()
     return values.join(known, "value", "left_anti")
