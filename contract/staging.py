@@ -222,9 +222,10 @@ def profile(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     delimiter = F.when(F.col("o_orderstatus") == "F", ",").when(F.col("o_orderstatus") == "O", "|").otherwise(";")
     path = F.concat("o_custkey", F.lit("/"), "o_orderstatus")
+    names = ["orderKey", "TotalPrice", "Prio rity", "big", "ok"]
     heads = orders.select("o_custkey", "o_orderstatus").distinct().select(
         path.alias(PATH), F.lit(-1).cast("bigint").alias(SEQ),
-        F.concat_ws(delimiter, *[F.lit(c) for c in ("orderKey", "TotalPrice", "Prio rity", "big", "ok")]).alias("value"),
+        F.call_function("concat_ws", delimiter, *[F.lit(c) for c in names]).alias("value"),
     )
     cells = [
         F.col("o_orderkey").cast("string"),
@@ -233,7 +234,7 @@ def profile(spark, sf_dir):
         F.when(F.col("o_totalprice") > 100000, F.floor("o_totalprice").cast("string")).otherwise(""),
         F.when(F.col("o_totalprice") > 200000, "True").otherwise("False"),
     ]
-    lines = orders.select(path.alias(PATH), F.col("o_orderkey").alias(SEQ), F.concat_ws(delimiter, *cells).alias("value"))
+    lines = orders.select(path.alias(PATH), F.col("o_orderkey").alias(SEQ), F.call_function("concat_ws", delimiter, *cells).alias("value"))
     sample = sample_lines(heads.unionByName(lines).withColumn(BLOCK, F.lit(0)), 100)
     return profile_delimited(sample)
 

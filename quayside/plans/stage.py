@@ -9,17 +9,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from functools import reduce
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.functions.names import header_name, inferred_name
 from quayside.functions.paths import cob_from_path
 from quayside.functions.text import trigger_map
-from quayside.operators.errors import file_errors, skipped_files
+from quayside.operators.errors import skipped_files
 from quayside.operators.headers import header_cells
 from quayside.operators.merge import conform
 from quayside.operators.profile import infer_types
@@ -38,6 +41,7 @@ from quayside.sources.scan import (
     read_delimited,
     read_lines,
     read_named,
+    split_stats,
 )
 from quayside.sources.sinks import (
     clear_partitions,
@@ -63,7 +67,7 @@ class StageOptions:
 
     ``allow_create`` lets the run create a missing table or add columns; leave it
     off outside development. ``header_mapping`` reads field positions from the
-    file header where there is one.
+    file header where there is one. ``side_by_side`` datasets are loaded at once.
     """
 
     stage_root: str
@@ -73,6 +77,7 @@ class StageOptions:
     allow_create: bool = False
     event_trigger: str | None = None
     database_target: str = ""
+    side_by_side: int = 4
 
 
 def manifest_of(listing: DataFrame, stage_root: str, container: str = "") -> DataFrame:
@@ -178,20 +183,23 @@ def read_feed(spark, paths: Sequence[str], feed: Row, options: StageOptions, kno
         names = {f.source_name: f.source_name for f in fields if f.in_source}
         schema = ", ".join(f"`{n}` string" for n in names) if fmt.kind == "json" else None
         df = typed_projection(read_named(spark, paths, fmt, schema), fields, formats, names, keep=keep)
-    return number_rows(df).drop(BLOCK, SEQ)
+    return df
 
 
 # ------------------------------------------------------------------ staging
 
 
+def _below_root(options: StageOptions) -> Column:
+    return F.regexp_extract(PATH, f"\\Q{_bare(options.stage_root)}\\E/(.*)$", 1)
+
+
 def _with_lineage(df: DataFrame, dataset: Row, options: StageOptions, as_of: Column) -> DataFrame:
-    scope_type = T.StructType([T.StructField(n, T.StringType()) for n in dataset["scope"].asDict()])
     scope = F.struct(*[F.lit(v).cast("string").alias(n) for n, v in dataset["scope"].asDict().items()])
-    inner = F.regexp_extract(PATH, f"\\Q{_bare(options.stage_root)}\\E/(.*)$", 1)
+    inner = _below_root(options)
     return df.withColumns(
         {
             "cob_id": cob_from_path(inner).cast("int"),
-            "scope": scope.cast(scope_type),
+            "scope": scope,
             "file_name": inner,
             "staged_at": as_of,
             "dataset_name": F.lit(dataset["dataset_name"]),
@@ -202,7 +210,8 @@ def _with_lineage(df: DataFrame, dataset: Row, options: StageOptions, as_of: Col
 def _shape_to_table(df: DataFrame, path: str, table: str, options: StageOptions) -> tuple[DataFrame, str]:
     """Fit the rows to the target's columns, creating or widening it if allowed."""
     spark = df.sparkSession
-    fresh = [c for c in df.columns if c not in (*LINEAGE, BAD)]
+    helpers = [PATH, BLOCK, SEQ, BAD]
+    fresh = [c for c in df.columns if c not in helpers]
     if not path_exists(spark, path):
         if not options.allow_create:
             raise ValueError(NO_TABLE.format(table))
@@ -213,7 +222,7 @@ def _shape_to_table(df: DataFrame, path: str, table: str, options: StageOptions)
     have = {k.lower(): v for k, v in stored.dtypes}
     new = [c for c in fresh if c.lower() not in have]
     shape = {c: have.get(c.lower(), k) for c, k in df.dtypes if c in fresh and (options.allow_create or c not in new)}
-    fitted = conform(df, {**shape, **{c: k for c, k in df.dtypes if c in (*LINEAGE, BAD)}})
+    fitted = conform(df, {**shape, **{c: k for c, k in df.dtypes if c in helpers}})
     if new and options.allow_create:
         return fitted, "Alter table executed"
     if options.allow_create:
@@ -229,19 +238,27 @@ def _stage_dataset(spark, dataset: Row, paths: list[str], cobs: list[int], optio
     known = None
     if path_exists(spark, path):
         known = {c.lower() for c in spark.read.option("mergeSchema", True).parquet(path).columns}
-    rows = _with_lineage(read_feed(spark, paths, feed, options, known), dataset, options, as_of)
-    rows, message = _shape_to_table(rows, path, table, options)
+    rows = read_feed(spark, paths, feed, options, known)
+    shaped, message = _shape_to_table(rows, path, table, options)
+
+    # first pass: row and error counts, one row per split of the files
+    stats_path = f"{work}/stats-{uuid.uuid4().hex}"
+    split_stats(rows, rows_bad=F.count_if(F.col(BAD))).write.parquet(stats_path)
+    splits = spark.read.parquet(stats_path)
+    errors = splits.groupBy(PATH).agg(F.sum("_n").alias("rows_parsed"), F.sum("rows_bad").alias("rows_bad"))
     limit = int(feed["skip_row_on_error"] or 0)
+    if limit <= 0:
+        worst = errors.where("rows_bad > 0").orderBy(PATH).first()
+        if worst:
+            raise ValueError(f"{worst['rows_bad']} bad rows in file {worst[PATH]}")
+    errors = errors.withColumn("skipped", skipped_files(errors, F.lit(limit))).withColumn(
+        "file_name", _below_root(options)
+    )
 
-    errors_path = f"{work}/errors-{uuid.uuid4().hex}"
-    file_errors(rows, "file_name", BAD).write.parquet(errors_path)
-    errors = spark.read.parquet(errors_path)
-    if limit <= 0 and not errors.where("rows_bad > 0").isEmpty():
-        worst = errors.where("rows_bad > 0").orderBy("file_name").first()
-        raise ValueError(f"{worst['rows_bad']} bad rows in file {worst['file_name']}")
-    errors = errors.withColumn("skipped", skipped_files(errors, F.lit(limit)))
-    good = rows.where(~F.col(BAD)).drop(BAD)
-    good = good.join(errors.where("skipped").select("file_name"), "file_name", "left_anti")
+    # second pass: the good rows of the files that stay
+    good = number_rows(shaped, splits=splits).where(~F.col(BAD)).drop(BAD, BLOCK, SEQ)
+    good = good.join(errors.where("skipped").select(PATH), PATH, "left_anti")
+    good = _with_lineage(good, dataset, options, as_of)
     if feed["delete_stage_by_file_name"]:
         reload_by_file(good, path)
     else:
@@ -276,6 +293,7 @@ def stage_files(
     others; files without a dataset are logged as FAILED.
     """
     work = scratch_path(spark, options.target_root, "stage")
+    log_lock, table_lock = Lock(), Lock()
     files = enrich_manifest(manifest)
     matched = match_datasets(files, expected)
     inner = F.concat(F.col("source_folder"), F.when(F.col("source_folder") != "", "/").otherwise(""), "file_name")
@@ -325,7 +343,9 @@ def stage_files(
         )
         columns = ["id", "cob_id", "dataset_name", "process_parameters", "process_result", "process_status",
                    "start_timestamp", "end_timestamp", "blob_file", "logged_at"]
-        append_log(out.select(*columns), options.log_path)
+        # one writer at a time: appends share the folder's commit directory
+        with log_lock:
+            append_log(out.select(*columns), options.log_path)
 
     orphans = files.join(spark.read.parquet(f"{work}/matched").select("path").distinct(), "path", "left_anti")
     orphans = orphans.withColumns({**base, "dataset_name": F.lit(None).cast("string"), "_file": inner})
@@ -337,37 +357,48 @@ def stage_files(
     )
     log(todo, "RUNNING", result_of(), ended=False)
 
-    config = ["dataset_name", "feed", "scope", "is_trigger_file", "source_file_name_pattern", "allow_infer_schema"]
-    for dataset in todo.select(*config).dropDuplicates(["dataset_name"]).collect():
+    def stage_one(dataset: Row) -> None:
         mine = todo.where(F.col("dataset_name") == dataset["dataset_name"])
-        paths = [r[0] for r in mine.select("path").distinct().collect()]
+        given = mine.select("path", "cob_id").distinct().collect()
+        paths, cobs = sorted({r[0] for r in given}), sorted({r[1] for r in given})
         if dataset["is_trigger_file"]:
             paths = _folder_files(spark, paths, dataset["source_file_name_pattern"])
-        cobs = [r[0] for r in mine.select("cob_id").distinct().collect()]
         run = options if dataset["allow_infer_schema"] else replace(options, header_mapping=False)
         try:
-            results, table, columns, message = _stage_dataset(spark, dataset, paths, cobs, run, as_of, work)
+            # a reload by file rewrites partitions that other datasets may share
+            with table_lock if dataset["feed"]["delete_stage_by_file_name"] else nullcontext():
+                results, table, columns, message = _stage_dataset(spark, dataset, paths, cobs, run, as_of, work)
         except Exception as e:  # noqa: BLE001 - any failure of a dataset is logged
-            reason = str(e)[:4000]
-            log(mine, "FAILED", result_of(exception=F.lit(reason), is_error=F.lit(True)))
-            continue
-        ended = mine.join(results, "_file", "left")
-        results_col = F.col("_results") if not dataset["is_trigger_file"] else _all_results(results)
-        log(
-            ended,
-            "SUCCESS",
-            result_of(
-                msg_copy_result=results_col,
-                target_table=F.lit(table),
-                target_columns=F.lit(columns),
-                create_table_result=F.lit(message),
-                is_error=F.lit(False),
-            ),
+            failure = result_of(exception=F.lit(str(e)[:4000]), is_error=F.lit(True))
+            return log(mine, "FAILED", failure)
+        copied = _all_results(results) if dataset["is_trigger_file"] else F.col("_results")
+        success = result_of(
+            msg_copy_result=copied,
+            target_table=F.lit(table),
+            target_columns=F.lit(columns),
+            create_table_result=F.lit(message),
+            is_error=F.lit(False),
         )
+        log(mine.join(results, "_file", "left"), "SUCCESS", success)
+
+    config = ["dataset_name", "feed", "scope", "is_trigger_file", "source_file_name_pattern", "allow_infer_schema"]
+    datasets = todo.select(*config).dropDuplicates(["dataset_name"]).collect()
+    # a table that does not exist yet is created by its first dataset alone
+    with ThreadPoolExecutor(options.side_by_side) as pool:
+        first, rest = _first_per_table(datasets)
+        for batch in (first, rest):
+            list(pool.map(inheritable_thread_target(spark)(stage_one), batch))
     loads = orphans.select("id").unionByName(todo.select("id"))
     return current_log(spark, options.log_path).join(loads, "id", "left_semi")
 
 
+def _first_per_table(datasets: list[Row]) -> tuple[list[Row], list[Row]]:
+    first: dict[str, Row] = {}
+    for d in datasets:
+        first.setdefault(d["feed"]["destination_full_table_name"], d)
+    return list(first.values()), [d for d in datasets if d not in first.values()]
+
+
 def _all_results(results: DataFrame) -> Column:
     """Results of every file of a trigger-file load: totals in one entry."""
     total = results.select(F.explode("_results").alias("r")).select("r.*")

@@ -79,26 +79,38 @@ def matching(df: DataFrame, regex: str) -> DataFrame:
     return df.where(F.rlike(F.col(PATH), F.lit(regex)))
 
 
-def number_rows(df: DataFrame, into: str = "file_row_number") -> DataFrame:
-    """1-based row number within each file, in file order.
+def split_stats(df: DataFrame, **measures) -> DataFrame:
+    """One row per split of a scan: rows, sequence range and further aggregates."""
+    return df.groupBy(PATH, BLOCK).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(SEQ).alias("_first"),
+        F.max(SEQ).alias("_last"),
+        *[c.alias(n) for n, c in measures.items()],
+    )
+
 
-    A row is numbered inside its own split, so no task holds more than one
-    split of a file however large the file is; the rows of earlier splits are
-    then added from a table with one row per split.
+def number_rows(df: DataFrame, into: str = "file_row_number", splits: DataFrame | None = None) -> DataFrame:
+    """1-based row number within each file, in file order, without a shuffle of
+    the rows and however large a file is.
+
+    The sequence number of a row counts the rows its task has read, so its place
+    in a split is the distance to the first sequence number of that split; the
+    rows of earlier splits are added. Both come from ``splits``
+    (:func:`split_stats`, one row per split), computed by an earlier pass over the
+    same scan. Should the two passes be cut into tasks differently, some row of a
+    moved split falls outside its recorded range and the job fails.
     """
-    split = [PATH, BLOCK]
     before = Window.partitionBy(PATH).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy(*split)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*split, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = (splits if splits is not None else split_stats(df)).select(
+        PATH, BLOCK, "_first", "_last", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    )
+    numbered = df.join(offsets, [PATH, BLOCK], "left")
+    moved = F.raise_error(F.lit("file splits changed between passes; set spark.sql.files.minPartitionNum"))
+    place = F.col("_before") + F.col(SEQ) - F.col("_first") + 1
+    inside = F.col(SEQ).between(F.col("_first"), F.col("_last"))
+    return numbered.withColumn(into, F.when(inside, place).otherwise(moved.cast("bigint"))).drop(
+        "_first", "_last", "_before"
     )
-    inside = F.row_number().over(Window.partitionBy(*split).orderBy(SEQ))
-    numbered = df.withColumn("_inside", inside).join(offsets, split, "left")
-    # a split missing from the offsets means the two scans were cut differently
-    lost = F.raise_error(F.lit("file splits changed between scans; set spark.sql.files.minPartitionNum"))
-    number = F.when(F.col("_before").isNull(), lost.cast("bigint")).otherwise(F.col("_before") + F.col("_inside"))
-    return numbered.withColumn(into, number).drop("_inside", "_before")
 
 
 def header_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
