@@ -57,15 +57,6 @@ def field_catalog(files: DataFrame, fields: DataFrame, database: str) -> DataFra
     )
 
 
-def _ordered(value: Column) -> Column:
-    """Non-NULL values of a feed in field order. The group is the declared field
-    list of one feed, so its size is bounded by the width of a file."""
-    entry = F.when(
-        value.isNotNull(), F.struct("field_ordinal", F.col("source_field_name").alias("n"), value.alias("v"))
-    )
-    return F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["v"])
-
-
 def source_reference(unknown_position: bool = False) -> Column:
     """How a field is addressed in its file: by name or by position."""
     by_name = F.contains("file_format", F.lit("PARQUET")) | F.contains("file_format", F.lit("JSON"))
@@ -110,11 +101,16 @@ def feed_rollup(catalog: DataFrame) -> DataFrame:
         "list_extra_create_field": F.when(extra, declared),
         "fields": F.when(F.col("source_field_name").isNotNull(), field),
     }
-    return rows.groupBy(*FEED_KEYS).agg(
+    # one array per feed, sorted once; every list is read off it. The group is the
+    # declared field list of one feed, so its size is bounded by the width of a file
+    entry = F.struct("field_ordinal", F.col("source_field_name").alias("n"), *[v.alias(k) for k, v in arrays.items()])
+    grouped = rows.groupBy(*FEED_KEYS).agg(
         *[F.max(c).alias(c) for c in settings],
-        *[_ordered(v).alias(k) for k, v in arrays.items()],
+        F.array_sort(F.collect_list(entry)).alias("_fields"),
         (F.count("is_in_source") > 0).alias("has_field_data"),
     )
+    lists = [F.expr(f"filter(_fields.{k}, x -> x IS NOT NULL)").alias(k) for k in arrays]
+    return grouped.select(*FEED_KEYS, *settings, *lists, "has_field_data")
 
 
 def overall_config(catalog: DataFrame, parameters: DataFrame) -> DataFrame:
