@@ -58,9 +58,14 @@ def read_delimited(
         .option("columnNameOfCorruptRecord", CORRUPT)
         # empty cells stay empty text here, the projection turns them to NULL
         .option("emptyValue", "")
+        # every pass must parse whole rows, or it would find other rows malformed
+        .option("columnPruning", False)
         .options(**options)
     )
-    return _with_lineage(reader.csv(paths))
+    rows = reader.csv(paths)
+    # the reader refuses to serve this column alone, so it is tied to a data column
+    corrupt = F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).when(F.length("c1") < 0, F.col("c1"))
+    return _with_lineage(rows.withColumn(CORRUPT, corrupt))
 
 
 def read_named(
