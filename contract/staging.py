@@ -320,7 +320,10 @@ WITH f AS (
          l_quantity AS size FROM lineitem WHERE l_returnflag <> 'A')
 SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS cob_id, 'EXT.BOX' AS stage_name, 'in/o' || o_orderkey || '/' AS folder,
        'csv' AS file_extension, 'azure://store/box/' || file_path AS name, size, file_path
-FROM orders LEFT JOIN f ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'"""
+FROM orders JOIN f ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'
+UNION ALL
+SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT), 'EXT.BOX', 'in/o' || o_orderkey || '/', 'csv', NULL, NULL, NULL
+FROM orders WHERE o_orderstatus <> 'P'"""
 
 
 def staged_orders(spark, sf_dir):

@@ -70,29 +70,27 @@ def local_to_utc(c, zone) -> Column:
     return F.convert_timezone(zone, F.lit("UTC"), lit_or_col(c).cast("timestamp_ntz"))
 
 
-def render_token(token, day) -> Column:
-    """Render one date token (``YYYYMMDD``, ``YYYY``, ``MON`` ...) for a date.
-    Plain text replacement: no formatter is built per row."""
-    day = lit_or_col(day)
-
-    def part(c, width):
-        return F.lpad(c.cast("string"), width, "0")
-
-    year = part(F.year(day), 4)
-    out = lit_or_col(token)
-    for text, value in [
-        ("YYYY", year),
-        ("YY", F.substring(year, 3, 2)),
-        ("MON", F.date_format(day, "MMM")),
-        ("MM", part(F.month(day), 2)),
-        ("DD", part(F.day(day), 2)),
-        ("DY", F.date_format(day, "E")),
-        ("HH24", F.lit("00")),
-        ("MI", F.lit("00")),
-        ("SS", F.lit("00")),
-    ]:
-        out = F.replace(out, F.lit(text), value)
-    return out
+def render_token(token, cob) -> Column:
+    """Render one date token (``YYYYMMDD``, ``YYYY``, ``MON`` ...) for a COB. The
+    numeric parts are cut out of the COB's digits; names and times, which few
+    templates use, are only worked out for tokens that hold them."""
+    token, digits = lit_or_col(token), lit_or_col(cob).cast("string")
+
+    def fill(text, values):
+        for name, value in values.items():
+            text = F.replace(text, F.lit(name), value)
+        return text
+
+    year = F.substring(digits, 1, 4)
+    numbers = {"YYYY": year, "YY": F.substring(digits, 3, 2), "MM": F.substring(digits, 5, 2), "DD": F.substring(digits, 7, 2)}
+    day = cob_date(cob)
+    words = {"MON": F.date_format(day, "MMM"), "DY": F.date_format(day, "E")}
+    words |= {name: F.lit("00") for name in ("HH24", "MI", "SS")}
+    # year first: a name put in earlier could not contain these tokens, digits never do
+    wordy = fill(fill(token, {"YYYY": year, "YY": numbers["YY"]}), words)
+    return F.when(F.rlike(token, F.lit("MON|DY|HH24|MI|SS")), fill(wordy, {"MM": numbers["MM"], "DD": numbers["DD"]})).otherwise(
+        fill(token, numbers)
+    )
 
 
 def day_parts(day) -> dict[str, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quayside.functions.dates import STATIC_COB, cob_date, render_token
+from quayside.functions.dates import STATIC_COB, render_token
 from quayside.functions.text import lit_or_col, split_part
 
 # Environment prefixes that a container name may carry.
@@ -52,11 +52,10 @@ def _pieces(path) -> Column:
 
 def expand_template(path, cob) -> Column:
     """Folder template to a concrete folder for a COB: ``/in/|:YYYYMM:|/``."""
-    day = cob_date(cob)
     return F.array_join(
         F.transform(
             _pieces(slash_wrapped(path)),
-            lambda p: F.when(F.like(p, F.lit(":%:")), render_token(F.replace(p, F.lit(":"), F.lit("")), day)).otherwise(p),
+            lambda p: F.when(F.like(p, F.lit(":%:")), render_token(F.replace(p, F.lit(":"), F.lit("")), cob)).otherwise(p),
         ),
         "",
     )
@@ -64,12 +63,11 @@ def expand_template(path, cob) -> Column:
 
 def template_pattern(path, cob) -> Column:
     """As :func:`expand_template`, every fixed piece becoming ``.*/``."""
-    day = cob_date(cob)
     return F.array_join(
         F.transform(
             _pieces(slash_wrapped(path)),
             lambda p: F.when(
-                F.like(p, F.lit(":%:")), render_token(F.replace(p, F.lit(":"), F.lit("")), day)
+                F.like(p, F.lit(":%:")), render_token(F.replace(p, F.lit(":"), F.lit("")), cob)
             ).otherwise(F.lit(".*/")),
         ),
         "",
@@ -96,13 +94,12 @@ def file_name_for_cob(name, cob) -> Column:
 def expand_source_path(path, cob, environment: str) -> Column:
     """Upload-side template: date tokens as above, and ``:ENVIRONMENT:`` stands
     for the first ``_`` part of the environment, in lower case."""
-    day = cob_date(cob)
     part = environment.split("_")[0]
 
     def piece(p):
         with_env = F.replace(p, F.lit(":ENVIRONMENT:"), F.lit(part))
         return F.when(
-            F.like(with_env, F.lit(":%:")), render_token(F.replace(p, F.lit(":"), F.lit("")), day)
+            F.like(with_env, F.lit(":%:")), render_token(F.replace(p, F.lit(":"), F.lit("")), cob)
         ).otherwise(F.replace(p, F.lit(":ENVIRONMENT:"), F.lit(part.lower())))
 
     return F.array_join(F.transform(_pieces(lit_or_col(path)), piece), "")
@@ -139,14 +136,21 @@ def without_leaf(path) -> Column:
     return F.when(name == "", path).otherwise(F.replace(path, name, F.lit("")))
 
 
-def ancestors(folder) -> Column:
-    """``/a/b/`` -> ``[/, /a/, /a/b/]``; input must be slash-wrapped."""
-    parts = F.filter(F.split(lit_or_col(folder), "/"), lambda p: p != "")
-    deeper = F.transform(
-        F.sequence(F.lit(1), F.size(parts)),
-        lambda n: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")),
+def folder_parts(folder) -> Column:
+    """``/a/b/`` -> ``[a, b]``."""
+    return F.filter(F.split(lit_or_col(folder), "/"), lambda p: p != "")
+
+
+def ancestors(parts) -> Column:
+    """``[a, b]`` -> ``[/, /a/, /a/b/]``. Takes a column of :func:`folder_parts`,
+    so that the path is split once and not again for every level."""
+    parts = lit_or_col(parts)
+    return F.transform(
+        F.sequence(F.lit(0), F.size(parts)),
+        lambda n: F.when(n == 0, F.lit("/")).otherwise(
+            F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/"))
+        ),
     )
-    return F.when(F.size(parts) == 0, F.array(F.lit("/"))).otherwise(F.concat(F.array(F.lit("/")), deeper))
 
 
 def literal_anchor(folder) -> Column:

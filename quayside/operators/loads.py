@@ -14,8 +14,11 @@ BOUND_COLUMNS = ["q_three", "q_one", "outlier_range", "lower_bound", "upper_boun
 
 def array_sum(items, field: str) -> Column:
     """Sum of a field over an array of structs; NULL when nothing can be added."""
-    values = F.filter(F.transform(lit_or_col(items), lambda x: x[field].cast("bigint")), lambda v: v.isNotNull())
-    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0).cast("bigint"), lambda a, v: a + v))
+    return F.aggregate(
+        lit_or_col(items),
+        F.lit(None).cast("bigint"),
+        lambda total, x: F.coalesce(total + x[field].cast("bigint"), x[field].cast("bigint"), total),
+    )
 
 
 def with_load_totals(log: DataFrame, results: str = "process_result.msg_copy_result") -> DataFrame:

@@ -61,8 +61,8 @@ def loadable(fields: Iterable[Field]) -> list[Field]:
 
 
 def cast_cell(cell: Column, field: Field, formats: Formats) -> tuple[Column, Column]:
-    """``(value, is_bad)``. Empty text is NULL; a filled cell that cannot be
-    converted is bad."""
+    """``(value, has_text)``. Empty text is NULL; a cell that has text but no
+    value could not be converted."""
     filled = null_if_empty(cell)
     kind = field.type_name.upper()
     if kind == "DATE":
@@ -76,7 +76,7 @@ def cast_cell(cell: Column, field: Field, formats: Formats) -> tuple[Column, Col
             value = filled if not field.length else F.substring(filled, 1, field.length)
         else:
             value = filled.try_cast(target)
-    return value, filled.isNotNull() & value.isNull()
+    return value, filled.isNotNull()
 
 
 def _derived(field: Field, reference: str) -> Column:
@@ -100,11 +100,9 @@ def typed_projection(
     flag ``_bad`` marks rows with a cell that could not be converted or with a
     wrong number of cells.
     """
-    out, bad = [], F.lit(False)
-    if CORRUPT in df.columns:
-        bad = F.col(CORRUPT).isNotNull()
+    values, filled, out = [], [], []
     ordered = loadable(fields)
-    for field in [f for f in ordered if f.in_source]:
+    for i, field in enumerate(f for f in ordered if f.in_source):
         if source_columns is None:
             reference = f"`c{field.ordinal}`"
         elif field.source_name in source_columns:
@@ -112,14 +110,21 @@ def typed_projection(
         else:
             continue
         if field.derived:
-            value, wrong = _derived(field, reference), F.lit(False)
+            values.append(_derived(field, reference).alias(f"_v{i}"))
         else:
-            value, wrong = cast_cell(F.expr(reference).cast("string"), field, formats)
-        out.append(value.alias(field.target_name))
-        bad = bad | wrong
-    out += [F.expr(f.derived).alias(f.target_name) for f in ordered if not f.in_source and f.derived]
-    return df.select(*out, *keep, bad.alias(BAD))
-
-
-def conform_names(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(renames))
+            value, has_text = cast_cell(F.expr(reference).cast("string"), field, formats)
+            values += [value.alias(f"_v{i}"), has_text.alias(f"_f{i}")]
+            filled.append(i)
+        out.append(F.col(f"_v{i}").alias(field.target_name))
+    extra = [f for f in ordered if not f.in_source and f.derived]
+    values += [F.expr(f.derived).alias(f"_x{i}") for i, f in enumerate(extra)]
+    out += [F.col(f"_x{i}").alias(f.target_name) for i, f in enumerate(extra)]
+
+    # the values are converted in a projection of their own, so that the flag
+    # looks at results instead of converting every cell a second time
+    malformed = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+    converted = df.select(*values, *keep, malformed.alias("_malformed"))
+    bad = F.col("_malformed")
+    for i in filled:
+        bad = bad | (F.col(f"_f{i}") & F.col(f"_v{i}").isNull())
+    return converted.select(*out, *keep, bad.alias(BAD))

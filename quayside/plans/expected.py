@@ -14,6 +14,7 @@ from quayside.functions.paths import (
     expand_template,
     file_extension,
     file_name_for_cob,
+    folder_parts,
     folder_pattern,
     join_path,
     literal_anchor,
@@ -114,15 +115,19 @@ def match_datasets(files: DataFrame, expected: DataFrame, how: str = "inner") ->
     dataset's folder and the join can be hashed; LIKE remains as a residual. A file
     may match several datasets.
     """
-    keyed = files.withColumn("_folder", F.upper(slash_wrapped("source_folder")))
-    keyed = keyed.withColumn("_anchor", F.explode(ancestors("_folder"))).withColumn(
-        "_container", F.coalesce("container_name", F.lit(""))
+    keyed = (
+        files.withColumn("_folder", F.upper(slash_wrapped("source_folder")))
+        .withColumn("_parts", folder_parts("_folder"))
+        .withColumn("_anchor", F.explode(ancestors("_parts")))
+        .withColumn("_container", F.coalesce("container_name", F.lit("")))
     )
+    below = F.upper("folder_path_cob")
     datasets = expected.select(
         F.col("cob_id").cast("bigint").alias("_cob"),
         F.coalesce("container_name", F.lit("")).alias("_c"),
-        literal_anchor(F.upper("folder_path_cob")).alias("_a"),
-        F.concat(F.upper("folder_path_cob"), F.lit("%")).alias("_below"),
+        literal_anchor(below).alias("_a"),
+        # only a folder with a wildcard needs LIKE, the others are proven by the key
+        F.when(F.rlike(below, F.lit("[%_]")), F.concat(below, F.lit("%"))).alias("_below"),
         F.col("file_name_cob").alias("_name"),
         *[F.col(c) for c in expected.columns if c not in files.columns],
     )
@@ -130,10 +135,10 @@ def match_datasets(files: DataFrame, expected: DataFrame, how: str = "inner") ->
         (F.col("cob_id") == F.col("_cob"))
         & (F.col("_container") == F.col("_c"))
         & (F.col("_anchor") == F.col("_a"))
+        & (F.col("_below").isNull() | F.like("_folder", F.col("_below")))
         & glob_like("file_name", "_name")
-        & F.like("_folder", F.col("_below"))
     )
-    helpers = ["_folder", "_anchor", "_container", "_cob", "_c", "_a", "_below", "_name"]
+    helpers = ["_folder", "_parts", "_anchor", "_container", "_cob", "_c", "_a", "_below", "_name"]
     return keyed.join(datasets, on, how).drop(*helpers)
 
 
@@ -159,3 +164,8 @@ def upload_plan(files: DataFrame, expected: DataFrame, cob: int, environment: st
         F.size("file_list").alias("n_files"),
         F.to_json(F.struct("source_file_path", "destination_file_path", "file_list")).alias("file_detail"),
     )
+
+
+def upload_request(plan: DataFrame, cob: int, environment: str) -> DataFrame:
+    """Rows of an upload plan with the COB and environment they were made for."""
+    return plan.select("file_detail", F.lit(cob).alias("cob_id"), F.lit(environment).alias("environment"))

@@ -7,15 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.paths import ancestors, slash_wrapped
+from quayside.functions.paths import ancestors, folder_parts, slash_wrapped
 from quayside.functions.text import split_part
 
 LISTING_KEYS = ["cob_id", "stage_name", "folder", "file_extension"]
 
 
-def list_files(spark: SparkSession, root: str, regex: str | None = None, with_md5: bool = False) -> DataFrame:
+def list_files(
+    spark: SparkSession, root: str, regex: str | None = None, with_md5: bool = False, include_empty: bool = False
+) -> DataFrame:
     """``(name, size, last_modified[, md5])`` of the files below ``root``.
-    Contents are read only when the checksum is asked for."""
+    Contents are read only when the checksum is asked for. Spark's file scan
+    leaves empty files out; ``include_empty`` (for folders with empty trigger
+    files) adds them from a walk over the folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     columns: list[Column] = [
         F.col("path").alias("name"),
@@ -25,16 +29,32 @@ def list_files(spark: SparkSession, root: str, regex: str | None = None, with_md
     if with_md5:
         columns.append(F.md5("content").alias("md5"))
     files = files.select(*columns)
+    if include_empty:
+        files = files.unionByName(_empty_files(spark, root), allowMissingColumns=True)
     return files.where(F.rlike("name", F.lit(regex))) if regex else files
 
 
+def _empty_files(spark: SparkSession, root: str) -> DataFrame:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    walk = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while walk.hasNext():
+        f = walk.next()
+        if f.getLen() == 0:
+            found.append((f.getPath().toString(), 0, f.getModificationTime()))
+    rows = spark.createDataFrame(found, "name string, size bigint, ms bigint")
+    return rows.select("name", "size", F.timestamp_millis("ms").alias("last_modified"))
+
+
 def list_storage(listing: DataFrame, expected: DataFrame, stage_url, as_of: Column) -> DataFrame:
     """Match one listing against every expected folder and extension.
 
     ``listing`` holds ``name`` below ``stage_url``; ``expected`` holds
-    ``cob_id, stage_name, folder_path_cob, file_extension``. One row per file
-    and expected folder; a folder without files gives one row without a file,
-    so that a later version can replace an earlier one.
+    ``cob_id, stage_name, folder_path_cob, file_extension``. Every expected folder
+    gives one row without a file (it stands for the listing itself, so that a
+    folder that has become empty replaces its earlier listing) and one row per
+    file. Both are an inner join and a union: a folder with very many files can be
+    split over tasks, which an outer join could not do.
     """
     wanted = expected.select(
         "cob_id",
@@ -46,8 +66,8 @@ def list_storage(listing: DataFrame, expected: DataFrame, stage_url, as_of: Colu
     below = F.replace(F.col("name"), F.lit(stage_url) if isinstance(stage_url, str) else stage_url, F.lit(""))
     files = (
         listing.withColumn("file_path", below)
-        .withColumn("_dir", slash_wrapped(F.regexp_extract("file_path", "^(.*/)?[^/]*$", 1)))
-        .withColumn("_folder", F.explode(ancestors("_dir")))
+        .withColumn("_parts", folder_parts(F.regexp_extract("file_path", "^(.*/)?[^/]*$", 1)))
+        .withColumn("_folder", F.explode(ancestors("_parts")))
     )
     files = files.select("_folder", *listing.columns, "file_path")
     # the listing pattern is <folder>.*.<extension>: one more character, then the extension
@@ -55,8 +75,9 @@ def list_storage(listing: DataFrame, expected: DataFrame, stage_url, as_of: Colu
         F.endswith(F.col("file_path"), F.col("file_extension"))
         & (F.length("file_path") > F.length("folder") + F.length("file_extension"))
     )
-    joined = wanted.join(files.withColumnRenamed("_folder", "_f"), (F.col("_folder") == F.col("_f")) & reaches, "left")
-    return joined.drop("_folder", "_f").withColumn("process_timestamp", as_of)
+    found = wanted.join(files.withColumnRenamed("_folder", "_f"), (F.col("_folder") == F.col("_f")) & reaches)
+    both = found.drop("_folder", "_f").unionByName(wanted.drop("_folder"), allowMissingColumns=True)
+    return both.withColumn("process_timestamp", as_of)
 
 
 def flag_latest(log: DataFrame, keys: Sequence[str], version: str, into: str = "flag_last_version") -> DataFrame:

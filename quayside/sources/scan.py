@@ -75,7 +75,7 @@ def read_named(
     reader = spark.read.options(**options)
     if schema:
         reader = reader.schema(schema)
-    df = reader.json(paths) if fmt.kind == "json" else reader.parquet(paths)
+    df = reader.format(fmt.kind).load(paths)
     return _with_lineage(df)
 
 

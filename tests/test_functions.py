@@ -108,7 +108,7 @@ def test_path_helpers(evaluate):
     check(evaluate, paths.tidy_path("x"), {"/a//b/": "a/b", "": "", "a": "a"})
     check(evaluate, paths.slash_wrapped("x"), {"a": "/a/", "/a/": "/a/", "a/": "/a/", "": "/"})
     check(evaluate, paths.without_leaf("x"), {"a/b.csv": "a/", "a/": "a/", "b": ""})
-    check(evaluate, paths.ancestors("x"), {"/": ["/"], "/a/b/": ["/", "/a/", "/a/b/"]})
+    check(evaluate, paths.ancestors(paths.folder_parts("x")), {"/": ["/"], "/a/b/": ["/", "/a/", "/a/b/"]})
     check(
         evaluate,
         paths.literal_anchor("x"),

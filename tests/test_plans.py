@@ -181,3 +181,46 @@ def test_overall_config(spark):
     assert set(out) == {("f", "ds"), ("alone", "N/A"), (None, "orphan")}
     assert out["f", "ds"]["task_list_name"] == "TASK_IN_CSV" and out["alone", "N/A"]["task_list_name"] is None
     assert out[None, "orphan"]["source_file_is_enabled"] is False
+
+
+def test_views_and_sql_functions(spark):
+    from quayside.functions.sql import register_functions
+    from quayside.plans.views import register_views
+
+    now = F.lit(dt.datetime(2024, 1, 20))
+    empty = dt.datetime(2024, 1, 10)
+    tables = {
+        "source_file": spark.createDataFrame([file_row()], FILE),
+        "source_field": spark.createDataFrame([field_row("a", 1)], FIELD),
+        "stage_me_parameters": sync.prepare_parameters(spark.createDataFrame([param_row(time="09:00:00")], PARAM))
+        .withColumn("last_modified", F.lit(empty)).withColumn("first_time_inserted", F.lit(empty)),
+        "calendar": calendar.calendar(span(spark, "2024-01-01", "2024-01-31"), spark.createDataFrame([], "d date")),
+        "load_log": spark.createDataFrame(
+            [(1, 20240105, "ds", ({"file_stage_me": "in/20240105/f1.csv", "container_name": ""}), {"msg_copy_result": [{"rows_loaded": 5, "rows_parsed": 5}], "exception": None},
+              "SUCCESS", empty, empty, {"file_list": [{"name": "x/f1.csv", "size": 3, "last_modified": "Wed, 03 Jan 2024 10:11:12 GMT"}]})],
+            "id bigint, cob_id int, dataset_name string, process_parameters struct<file_stage_me:string,container_name:string>, "
+            "process_result struct<msg_copy_result:array<struct<rows_loaded:bigint,rows_parsed:bigint>>,exception:string>, process_status string, "
+            "start_timestamp timestamp, end_timestamp timestamp, blob_file struct<file_list:array<struct<name:string,size:bigint,last_modified:string>>>",
+        ),
+        "file_listing": spark.createDataFrame(
+            [(20240105, "EXT.IN", "file:/x", "in/20240105/", "csv", "file:/x/in/20240105/f*.csv", empty, empty, True)],
+            "cob_id int, stage_name string, stage_url string, folder string, file_extension string, name string, last_modified timestamp, process_timestamp timestamp, flag_last_version boolean",
+        ),
+        "outlier_bounds": spark.createDataFrame([("ds", 1.0, 1.0, 1.0, 0.0, 9.0, "[0 - 9]")], "dataset_name string, q_three double, q_one double, outlier_range double, lower_bound double, upper_bound double, bounds string"),
+        "accounts": spark.createDataFrame([("bob", None, "r", 1), ("BOB", "Bob", None, 2)], "login_name string, display_name string, default_role string, last_success_login int"),
+    }
+    names = register_views(spark, tables, "DVLP_SALES", now)
+    assert len(names) == 9
+    row = spark.sql("SELECT * FROM vw_load_status").first()
+    assert row["expected_rows_status"] == "OK [0 - 9]" and row["wait_for_staging_seconds"] == 568128 and row["kpi_expected_end"] == "Overdue"
+    assert spark.sql("SELECT file_name FROM vw_unstaged_files").collect() == [("f*.csv",)]
+    assert spark.sql("SELECT count(*) FROM vw_expected_datasets WHERE cob_id = 20240105").first()[0] == 1
+    assert sorted(tuple(r) for r in spark.sql("SELECT user_name, display_name, default_role FROM vw_users").fillna("-").collect()) == [("BOB", "Bob", "r"), ("SYSTEM", "System", "-")]
+    register_functions(spark)
+    got = spark.sql("SELECT find_cob('in/20240105/f'), find_cob('f_20240105'), replace_cob_pattern('a|:YYYYMM:|_|:YYYYMMDD:|', 20240105), strip_empty('a||b|', '|')").first()
+    assert tuple(got) == ("20240105", None, "a202401_20240105", "a|b")
+
+
+def test_upload_request(spark):
+    plan = spark.createDataFrame([("{}", "a")], "file_detail string, source_file_path string")
+    assert tuple(expected.upload_request(plan, 20240105, "INT_X").first()) == ("{}", 20240105, "INT_X")
