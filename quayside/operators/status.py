@@ -48,7 +48,7 @@ def load_status(
     every (dataset, COB) pair; COBs outside the horizon get no dataset columns.
     """
     start, end = F.col("start_timestamp"), F.col("end_timestamp")
-    cob = F.when(F.col("cob_id") == STATIC_COB, cob_of(start)).otherwise(F.col("cob_id")).cast("int")
+    cob = F.when(F.col("cob_id") == STATIC_COB, cob_of(start)).otherwise(F.col("cob_id").try_cast("int"))
     stage_file = F.col("process_parameters.file_stage_me")
     loads = with_blob_summary(with_load_totals(log))
     result = log.schema["process_result"].dataType.names

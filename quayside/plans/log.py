@@ -9,7 +9,7 @@ from quayside.operators.loads import latest_log
 from quayside.sources.sinks import path_exists
 
 LOG_SCHEMA = """
-    id bigint, cob_id int, dataset_name string,
+    id bigint, cob_id bigint, dataset_name string,
     process_parameters struct<container_name:string, event_trigger:map<string,string>, file_stage_me:string,
         file_name:string, folder_path:string, database_target:string, flag_create_table:boolean,
         flag_create_csv_mapping:boolean>,

@@ -198,7 +198,7 @@ def _with_lineage(df: DataFrame, dataset: Row, options: StageOptions, as_of: Col
     inner = _below_root(options)
     return df.withColumns(
         {
-            "cob_id": cob_from_path(inner).cast("int"),
+            "cob_id": cob_from_path(inner).try_cast("int"),
             "scope": scope,
             "file_name": inner,
             "staged_at": as_of,
@@ -265,7 +265,7 @@ def _stage_dataset(spark, dataset: Row, paths: list[str], cobs: list[int], optio
         reload_by_dataset(good, path)
         # files that loaded nothing still replace the earlier load of their COB
         loaded = errors.where(~F.col("skipped") & (F.col("rows_parsed") > F.col("rows_bad")))
-        filled = {r[0] for r in loaded.select(cob_from_path("file_name").cast("int")).distinct().collect()}
+        filled = {r[0] for r in loaded.select(cob_from_path("file_name").try_cast("int")).distinct().collect()}
         clear_partitions(spark, path, [(c, dataset["dataset_name"]) for c in cobs if c not in filled])
     loaded = F.when(F.col("skipped"), 0).otherwise(F.col("rows_parsed") - F.col("rows_bad"))
     results = errors.select(
@@ -294,12 +294,13 @@ def stage_files(
     """
     work = scratch_path(spark, options.target_root, "stage")
     log_lock, table_lock = Lock(), Lock()
+    # one start time for the whole run, also when the caller passes the clock
+    as_of = F.lit(spark.range(1).select(as_of.cast("timestamp")).first()[0])
     files = enrich_manifest(manifest)
     matched = match_datasets(files, expected)
     inner = F.concat(F.col("source_folder"), F.when(F.col("source_folder") != "", "/").otherwise(""), "file_name")
     ids = load_id(as_of, "cob_id", "file_name", "source_folder", "dataset_name")
     base = {
-        "cob_id": F.col("cob_id").cast("int"),
         "process_parameters": F.struct(
             "container_name",
             trigger_map(F.lit(options.event_trigger).cast("string")).alias("event_trigger"),
@@ -324,13 +325,15 @@ def stage_files(
 
     # matching is done once: later steps read the written table
     matched.withColumns({**base, "id": ids, "_file": inner}).write.parquet(f"{work}/matched")
-    todo = spark.read.parquet(f"{work}/matched")
+    every = spark.read.parquet(f"{work}/matched")
     done = current_log(spark, options.log_path).select(
         "dataset_name", F.col("process_parameters.file_stage_me").alias("_file"), "process_status"
     )
-    todo = todo.where("allow_reload").unionByName(
-        not_yet_loaded(todo.where("NOT allow_reload"), done, ["dataset_name", "_file"])
+    due = every.where("allow_reload").unionByName(
+        not_yet_loaded(every.where("NOT allow_reload"), done, ["dataset_name", "_file"])
     )
+    due.write.parquet(f"{work}/due")
+    todo = spark.read.schema(due.schema).parquet(f"{work}/due")
 
     def log(df: DataFrame, status: str, result: Column, ended: bool = True) -> None:
         out = df.withColumns(
@@ -347,9 +350,10 @@ def stage_files(
         with log_lock:
             append_log(out.select(*columns), options.log_path)
 
-    orphans = files.join(spark.read.parquet(f"{work}/matched").select("path").distinct(), "path", "left_anti")
+    orphans = files.join(every.select("path").distinct(), "path", "left_anti")
     orphans = orphans.withColumns({**base, "dataset_name": F.lit(None).cast("string"), "_file": inner})
-    orphans = orphans.withColumn("id", ids)
+    orphans.withColumn("id", ids).write.parquet(f"{work}/orphans")
+    orphans = spark.read.schema(due.select(*orphans.columns, "id").schema).parquet(f"{work}/orphans")
     log(
         orphans,
         "FAILED",
@@ -388,8 +392,8 @@ def stage_files(
         first, rest = _first_per_table(datasets)
         for batch in (first, rest):
             list(pool.map(inheritable_thread_target(spark)(stage_one), batch))
-    loads = orphans.select("id").unionByName(todo.select("id"))
-    return current_log(spark, options.log_path).join(loads, "id", "left_semi")
+    run_ids = orphans.select("id").unionByName(todo.select("id"))
+    return current_log(spark, options.log_path).join(run_ids, "id", "left_semi")
 
 
 def _first_per_table(datasets: list[Row]) -> tuple[list[Row], list[Row]]:
