@@ -19,9 +19,14 @@ from quayside.sources.listing import flag_latest
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event is one load: errors failed, sign-ups still run."""
     day = F.date_format("ts", "yyyyMMdd")
-    path = F.concat(F.lit("in/"), "event_type", F.lit("/"), day, F.lit("/u"), "user_id", F.lit(".csv"))
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    state = when_text("event_type", {"error": "FAILED", "signup": "RUNNING"}, "SUCCESS")
+    events = table(spark, sf_dir, "events").withColumns(
+        {
+            "k": F.get_json_object("props", "$.k").cast("bigint"),
+            "path": F.concat(F.lit("in/"), "event_type", F.lit("/"), day, F.lit("/u"), "user_id", F.lit(".csv")),
+            "state": when_text("event_type", {"error": "FAILED", "signup": "RUNNING"}, "SUCCESS"),
+        }
+    )
+    k, path, state = F.col("k"), F.col("path"), F.col("state")
     results = F.when(
         state == "SUCCESS",
         F.array(
@@ -40,7 +45,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     end = F.col("ts") + F.make_dt_interval(mins=F.floor("value").cast("int"))
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.when(F.col("event_type") == "purchase", 19000101).otherwise(cob_of("ts")).alias("cob_id"),
         F.concat(F.lit("ds_"), "user_id").alias("dataset_name"),
