@@ -380,7 +380,7 @@ def staged_orders(spark, sf_dir):
     )
     span = orders.agg(F.trunc(F.to_date(F.min("o_orderdate")), "month"), F.to_date(F.max("o_orderdate"))).toDF("a", "z")
     days = calendar(span, orders.select(F.to_date("o_orderdate")).where(F.lit(False)))
-    catalog = dataset_catalog(parameters, feed_rollup(field_catalog(files, fields, "INT_SALES")))
+    catalog = dataset_catalog(parameters, feed_rollup(field_catalog(files, fields, "DVLP_SALES")))
     as_of = F.lit("2002-01-01 00:00:00").cast("timestamp")
     expected = at_cob(with_cobs(catalog, days, as_of, days=3000))
     manifest = manifest_of(list_files(spark, f"{root}/in", r"[.]csv$"), root)

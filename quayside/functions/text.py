@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Byte-order marks as they look after single-byte decoding.
 BOM_TEXTS = ["ï»¿", "þÿ", "ÿþ"]
 
+# Entry that stands for a missing trigger text.
+DEFAULT_TRIGGER = ("Adf", "none")
+
 
 def lit_or_col(value) -> Column:
     return value if isinstance(value, Column) else F.col(value)
@@ -50,7 +53,7 @@ def trigger_map(c) -> Column:
             F.split_part(p, F.lit(":"), F.lit(2)).alias("v"),
         ),
     )
-    default = F.create_map(F.lit("Adf"), F.lit("none"))
+    default = F.create_map(*[F.lit(v) for v in DEFAULT_TRIGGER])
     # a repeated key keeps its last value, as a dictionary literal would
     keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
     parsed = F.map_from_entries(

@@ -46,7 +46,7 @@ from quayside.sources.scan import (
 from quayside.sources.sinks import (
     clear_partitions,
     not_yet_loaded,
-    path_exists,
+    read_table,
     reload_by_dataset,
     reload_by_file,
 )
@@ -55,6 +55,10 @@ from quayside.sources.sinks import (
 NO_METADATA = "There is no metadata for the folder/file: "
 NO_TABLE = "Object '{}' does not exist or not authorized."
 
+# The environment in which tables may be created or widened.
+DEVELOPMENT = "DVLP"
+NOT_PERMITTED = "Staging table creation requested, but creation is only permitted in the DVLP environment."
+
 # Rows per file that schema inference looks at.
 INFER_ROWS = 10_000
 
@@ -65,8 +69,8 @@ LINEAGE = ["cob_id", "scope", "file_name", "file_row_number", "staged_at", "data
 class StageOptions:
     """Switches of a staging run.
 
-    ``allow_create`` lets the run create a missing table or add columns; leave it
-    off outside development. ``header_mapping`` reads field positions from the
+    ``allow_create`` asks for missing tables and columns to be created, which is
+    done for databases of the development environment only. ``header_mapping`` reads field positions from the
     file header where there is one. ``side_by_side`` datasets are loaded at once.
     """
 
@@ -212,13 +216,13 @@ def _shape_to_table(df: DataFrame, path: str, table: str, options: StageOptions)
     spark = df.sparkSession
     helpers = [PATH, BLOCK, SEQ, BAD]
     fresh = [c for c in df.columns if c not in helpers]
-    if not path_exists(spark, path):
+    stored = read_table(spark, path)
+    if stored is None:
         if not options.allow_create:
             raise ValueError(NO_TABLE.format(table))
         if not fresh:
             raise ValueError(f"No columns to create staging table {table}")
         return df, "Table created"
-    stored = spark.read.option("mergeSchema", True).parquet(path)
     have = {k.lower(): v for k, v in stored.dtypes}
     new = [c for c in fresh if c.lower() not in have]
     shape = {c: have.get(c.lower(), k) for c, k in df.dtypes if c in fresh and (options.allow_create or c not in new)}
@@ -235,9 +239,8 @@ def _stage_dataset(spark, dataset: Row, paths: list[str], cobs: list[int], optio
     feed = dataset["feed"]
     table = feed["destination_full_table_name"]
     path = table_path(options, table)
-    known = None
-    if path_exists(spark, path):
-        known = {c.lower() for c in spark.read.option("mergeSchema", True).parquet(path).columns}
+    stored = read_table(spark, path)
+    known = None if stored is None else {c.lower() for c in stored.columns}
     rows = read_feed(spark, paths, feed, options, known)
     shaped, message = _shape_to_table(rows, path, table, options)
 
@@ -367,7 +370,10 @@ def stage_files(
         paths, cobs = sorted({r[0] for r in given}), sorted({r[1] for r in given})
         if dataset["is_trigger_file"]:
             paths = _folder_files(spark, paths, dataset["source_file_name_pattern"])
-        run = options if dataset["allow_infer_schema"] else replace(options, header_mapping=False)
+        database = options.database_target or dataset["feed"]["current_database_name"]
+        creating = options.allow_create and database.split("_")[0].upper() == DEVELOPMENT
+        mapping = options.header_mapping and bool(dataset["allow_infer_schema"])
+        run = replace(options, allow_create=creating, header_mapping=mapping)
         try:
             # a reload by file rewrites partitions that other datasets may share
             with table_lock if dataset["feed"]["delete_stage_by_file_name"] else nullcontext():
@@ -375,6 +381,8 @@ def stage_files(
         except Exception as e:  # noqa: BLE001 - any failure of a dataset is logged
             failure = result_of(exception=F.lit(str(e)[:4000]), is_error=F.lit(True))
             return log(mine, "FAILED", failure)
+        if options.allow_create and not creating:
+            message = NOT_PERMITTED
         copied = _all_results(results) if dataset["is_trigger_file"] else F.col("_results")
         success = result_of(
             msg_copy_result=copied,

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.paths import ancestors, folder_parts, slash_wrapped
-from quayside.functions.text import split_part
 
 LISTING_KEYS = ["cob_id", "stage_name", "folder", "file_extension"]
 
@@ -98,7 +97,3 @@ def append_listing(log: DataFrame, fresh: DataFrame, keys: Sequence[str] = LISTI
         .drop("_listed")
     )
     return older.unionByName(fresh.withColumn("flag_last_version", F.lit(True)), allowMissingColumns=True)
-
-
-def extension_of(c) -> Column:
-    return split_part(c, ".", -1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored rows with all columns ever loaded; None before the first row."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
 def _write(df: DataFrame, path: str, mode: str, partitions: Sequence[str]) -> None:
     # rebalance: small partitions are written by one task, a hot one by several
     (
@@ -70,7 +83,8 @@ def reload_by_file(
     so the table is never read and overwritten by the same plan.
     """
     spark = df.sparkSession
-    if not path_exists(spark, path):
+    table = read_table(spark, path)
+    if table is None:
         return append_load(df, path, partitions)
 
     def keyed(d):
@@ -80,7 +94,7 @@ def reload_by_file(
     incoming_path, merged_path = f"{work}/incoming", f"{work}/merged"
     df.write.parquet(incoming_path)
     incoming = keyed(spark.read.parquet(incoming_path))
-    stored = keyed(spark.read.option("mergeSchema", True).parquet(path))
+    stored = keyed(table)
     keys = ["cob_id", file_key]
     new_files = incoming.select(*keys).distinct()
     # partitions to rewrite: where the files lie now, and where their new rows go

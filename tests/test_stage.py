@@ -121,6 +121,19 @@ def test_creation_needs_permission(spark, tmp_path):
     assert site.rows("STAGING.SYS_T", "T_Id", "NEW_ONE") == [(1, 5)]
 
 
+def test_creation_is_for_development_only(spark, tmp_path):
+    site = Site(spark, tmp_path, [file_row(skip=1)], FIELDS, [param_row()])
+    site.write("in/20240105/f.csv", "Id,Note\nbad,a\n")
+    assert site.stage()["ds", "f.csv"]["process_result"]["msg_copy_result"][0]["status"] == "LOAD_SKIPPED"
+    site.write("in/20240105/f.csv", "Id,Note,extra\n1,a,b\n")
+    refused = site.stage(database_target="PROD_SALES")["ds", "f.csv"]
+    assert refused["process_status"] == "FAILED" and "does not exist" in refused["process_result"]["exception"]
+    assert site.stage()["ds", "f.csv"]["process_status"] == "SUCCESS"
+    kept = site.stage(database_target="PROD_SALES")["ds", "f.csv"]
+    assert kept["process_status"] == "SUCCESS" and "only permitted" in kept["process_result"]["create_table_result"]
+    assert site.rows("STAGING.SYS_T", "T_Id", "EXTRA") == [(1, "b")]
+
+
 def test_empty_reload_clears_the_earlier_load(spark, tmp_path):
     site = Site(spark, tmp_path, [file_row()], FIELDS, [param_row()])
     site.write("in/20240105/f.csv", "Id,Note\n1,a\n")
