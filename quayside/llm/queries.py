@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import table
+from quayside.llm.language import identify
+from quayside.llm.near_dup import near_duplicates
 from quayside.llm.personal import BASE as PERSONAL_BASE
 from quayside.llm.personal import KINDS as PERSONAL_KINDS
 from quayside.llm.personal import find_personal
@@ -76,6 +78,15 @@ FROM u LEFT JOIN LATERAL (
 """
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words_in_shingle=2)
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return identify(documents, documents)
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(find_personal(table(spark, sf_dir, "documents")), PERSONAL_KINDS[:PERSONAL_BASE])
 
@@ -87,6 +98,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_url_filter": op3_url_filter,
+    "op4_near_duplicates": op4_near_duplicates,
+    "op5_language": op5_language,
     "op7_personal_data": op7_personal_data,
     "op10_sentencepiece": op10_sentencepiece,
 }
