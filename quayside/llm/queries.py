@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import table
+from quayside.llm.decontaminate import contaminated
 from quayside.llm.language import identify
 from quayside.llm.near_dup import near_duplicates
 from quayside.llm.personal import BASE as PERSONAL_BASE
@@ -14,6 +15,7 @@ from quayside.llm.personal import find_personal
 from quayside.llm.piece_bpe import encode_texts
 from quayside.llm.secret_parts import KINDS as SECRET_KINDS
 from quayside.llm.secret_parts import find_secrets
+from quayside.llm.syncmers import compare_with_edits
 from quayside.llm.url_rules import judge_urls
 
 
@@ -87,10 +89,38 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents, documents)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(find_personal(table(spark, sf_dir, "documents")), PERSONAL_KINDS[:PERSONAL_BASE])
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.transform("items", lambda i: i.cast("string")), ",")
+    return found.select("doc_id", "contaminated", "n_items", items.alias("items"))
+
+
+OP8_SQL = r"""
+WITH w AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+l AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM w),
+s AS (
+  SELECT DISTINCT kind, id, unnest([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) AS g FROM l),
+q AS (SELECT id, count(*) AS n FROM s WHERE kind = 'b' GROUP BY id),
+c AS (
+  SELECT d.id AS doc_id, b.id AS item_id FROM s d JOIN s b ON d.g = b.g JOIN q ON q.id = b.id
+  WHERE d.kind = 'd' AND b.kind = 'b' GROUP BY d.id, b.id, q.n HAVING 100 * count(*) >= 80 * q.n),
+a AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS items FROM c GROUP BY doc_id)
+SELECT d.doc_id, a.n IS NOT NULL AS contaminated, coalesce(a.n, 0) AS n_items, coalesce(a.items, '') AS items
+FROM documents d LEFT JOIN a ON a.doc_id = d.doc_id
+"""
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), piece_model(), ids=False)
 
@@ -100,7 +130,9 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_language": op5_language,
+    "op6_fingerprints": op6_fingerprints,
     "op7_personal_data": op7_personal_data,
+    "op8_decontaminate": op8_decontaminate,
     "op10_sentencepiece": op10_sentencepiece,
 }
-ORACLES = {"op3_url_filter": OP3_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op8_decontaminate": OP8_SQL}
