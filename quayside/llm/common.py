@@ -10,10 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 1 << 20
+#: Rows of a few numbers (about 40 MB) up to which a table is broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +57,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def arrow_map(df: DataFrame, run, schema: str) -> DataFrame:
+def carried(df: DataFrame, text_col: str) -> DataFrame:
+    """(id, text) with all columns of the row as the id, for operators that pass the id through."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
+def with_id(df: DataFrame, columns: str) -> StructType:
+    """The schema of df's column ``id`` and further columns."""
+    return StructType([df.schema["id"], *StructType.fromDDL(columns).fields])
+
+
+def arrow_map(df: DataFrame, run, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` for functions of this package."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -74,6 +87,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """With a broadcast hint if it has at most BROADCAST_ROWS rows, or sums to that in ``weight`` (how many values a row
+    holds); this is counted. Else Spark shuffles it."""
+    size = df.count() if weight is None else df.agg(F.sum(weight + 1)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_ROWS else df
+
+
 # ---------------------------------------------------------------- text in bounded chunks
 
 

@@ -16,10 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored
+from quayside.llm.common import small, stored
 
-#: Rows of a few longs up to which sketches and candidates are broadcast (about 40 MB); more are shuffled.
-BROADCAST_ROWS = 500_000
 WORDS = 5
 
 
@@ -48,11 +46,6 @@ def shingle_texts(words: Column, size: Column) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " ")))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """With a broadcast hint if it has few rows, which is counted."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def contained_items(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
     words_in_shingle: int = WORDS, percent: int = 80,
@@ -90,12 +83,12 @@ def contained_items(
     if not kept:
         kept = [F.array().cast("array<long>")]
     own = texts.select("id", F.explode(F.concat(*kept)).alias("h"))
-    hits = own.join(_small(sketch.select("item", "h")), "h").select("id", "item").distinct()
+    hits = own.join(small(sketch.select("item", "h")), "h").select("id", "item").distinct()
     pairs = stored(hits, "decontaminate-pairs")
 
     exact = wanted.select("item", "size", "q", "need", F.col("texts").alias("item_texts"))
-    found = texts.join(_small(pairs).withColumnRenamed("id", "pair_id"), F.col("id").eqNullSafe(F.col("pair_id")))
-    found = found.join(_small(exact), "item")
+    found = texts.join(small(pairs).withColumnRenamed("id", "pair_id"), F.col("id").eqNullSafe(F.col("pair_id")))
+    found = found.join(small(exact, F.col("q")), "item")
     common = F.size(F.array_intersect(shingle_texts(F.col("w"), F.col("size")), F.col("item_texts")))
     found = found.select("id", "item", "need", "q", common.alias("common")).where("common >= need")
     found = found.groupBy("id", "item").agg(F.max("common").cast("long").alias("n_common"), F.max("q").cast("long").alias("n_item"))

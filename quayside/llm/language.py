@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map, chunks, text_bytes
+from quayside.llm.common import arrow_map, chunks, text_bytes, with_id
 
 #: Labelled documents of one language that its sample is taken from.
 SAMPLE_DOCS = 400
@@ -213,12 +213,18 @@ def identify(
     every text where nothing could be learned gets ``und`` with score 0. Otherwise ``score`` is 1 divided by the sum of
     the languages' shares (1 for the best, less for those that need more phrases), so 1 is certain. A null id is never
     held out. Repeated rows are predicted each; other columns are ignored."""
-    spark = df.sparkSession
-    samples = spark.sparkContext.broadcast(tuple(sorted(sample_texts(labelled, id_col, text_col, lang_col).items())))
-    kind = df.schema[id_col].dataType.simpleString()
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    out = predict(texts, sample_texts(labelled, id_col, text_col, lang_col))
+    return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+
+
+def predict(texts: DataFrame, samples: dict[str, str]) -> DataFrame:
+    """(id, lang_pred, score) for the rows (id, text); the id may be of any type."""
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(tuple(sorted(samples.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_of(samples.value)
+        model = model_of(shared.value)
         for batch in batches:
             names, scores = [], []
             for a, b in _predict(model, *text_bytes(batch.column(1))):
@@ -227,6 +233,4 @@ def identify(
             arrays = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "lang_pred", "score"])
 
-    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = arrow_map(texts, run, f"id {kind}, lang_pred string, score double")
-    return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+    return arrow_map(texts, run, with_id(texts, "lang_pred string, score double"))

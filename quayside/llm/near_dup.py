@@ -21,13 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map, checkpointed, chunks, components, constants, mix, shingles, stored, text_bytes, words
+from quayside.llm.common import arrow_map, checkpointed, chunks, components, constants, mix, shingles, small, stored, text_bytes, words
 
 BANDS = 50
 ROWS = 3
 PERMUTATIONS = BANDS * ROWS
-#: Rows of two longs up to which a table of ids is broadcast (about 40 MB); larger ones are shuffled.
-BROADCAST_ROWS = 500_000
 
 _FACTOR = constants(23, PERMUTATIONS)[:, None]
 _SHIFT = constants(29, PERMUTATIONS)[:, None]
@@ -98,16 +96,11 @@ def _judge(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = texts.join(_small(pairs), F.col("id") == F.col("b")).select("a", "b", F.col("text").alias("t"))
+    one = texts.join(small(pairs), F.col("id") == F.col("b")).select("a", "b", F.col("text").alias("t"))
     two = one.join(texts, F.col("id") == F.col("a")).select("a", "b", "t", "text")
     return arrow_map(two, run, "a long, b long").distinct()
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """With a broadcast hint if it has few rows, which is counted."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -127,7 +120,7 @@ def near_duplicates(
     member = classes.select("node", "n", F.explode("bands").alias("band"))
     shared = member.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
     member = stored(member.join(shared.select("band", "hub"), "band").select("band", "node", "n", "hub"), "near-dup-members")
-    nodes = _small(member.select(F.col("node").alias("id")).distinct())
+    nodes = small(member.select(F.col("node").alias("id")).distinct())
     texts = stored(rows.join(nodes, "id", "left_semi"), "near-dup-texts")
 
     def fits(a: str, b: str) -> str:

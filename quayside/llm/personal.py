@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map
+from quayside.llm.common import arrow_map, with_id
 
 # in the order in which spans are listed; the first four are reported whenever their own rule holds
 KINDS = ("email", "ip", "card", "phone", "iban", "national_id")
@@ -151,11 +151,14 @@ def find_personal(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ``spans`` is an array of (kind, start, end, score) by kind as in KINDS, then start. A null text has no spans and
     stays null; an empty one stays empty. Repeated rows and null ids are kept as they are; other columns are ignored.
     Every search is linear in the length of the text."""
-    kind = df.schema[id_col].dataType.simpleString()
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return search(texts).select(F.col("id").alias(id_col), "masked", "spans")
+
+
+def search(texts: DataFrame) -> DataFrame:
+    """(id, masked, spans) for the rows (id, text); the id may be of any type."""
     spans = "array<struct<kind:string,start:long,end:long,score:double>>"
-    out = arrow_map(texts, _found, f"id {kind}, masked string, spans {spans}")
-    return out.select(F.col("id").alias(id_col), "masked", "spans")
+    return arrow_map(texts, _found, with_id(texts, f"masked string, spans {spans}"))
 
 
 def digest(spans: list[tuple[str, int, int, float]]) -> str:

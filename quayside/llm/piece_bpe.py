@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map
+from quayside.llm.common import arrow_map, with_id
 
 CACHE = 250_000
 SPACE = "▁"
@@ -231,7 +231,6 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     spark = df.sparkSession
     pieces = spark.sparkContext.broadcast(read_pieces(model_path))
     key = hashlib.sha256(repr(pieces.value).encode()).hexdigest()
-    kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _models.get(key)
@@ -253,7 +252,7 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
             names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "decoded", "token_ids"]
             yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
 
-    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", decoded string, token_ids array<int>" if ids else ""
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return arrow_map(texts, run, schema).withColumnRenamed("id", id_col)
+    return arrow_map(texts, run, with_id(texts, schema)).withColumnRenamed("id", id_col)

@@ -9,6 +9,7 @@ from quayside.llm.common import table
 from quayside.llm.decontaminate import contaminated
 from quayside.llm.language import identify
 from quayside.llm.near_dup import near_duplicates
+from quayside.llm.passages import passage_classes
 from quayside.llm.personal import BASE as PERSONAL_BASE
 from quayside.llm.personal import KINDS as PERSONAL_KINDS
 from quayside.llm.personal import find_personal
@@ -48,6 +49,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(find_secrets(table(spark, sf_dir, "documents")), SECRET_KINDS[:3])
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_classes(table(spark, sf_dir, "documents"))
+
+
 # host, path, action
 URL_RULES = [
     ("org", "/", "allow"),
@@ -127,6 +132,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_repeated_passages": op2_repeated_passages,
     "op3_url_filter": op3_url_filter,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_language": op5_language,
