@@ -7,13 +7,14 @@ a group is a compact window (left end, node, right end). Only windows of at leas
 the nodes that are the smallest of some run of WINDOW shingles, so one sliding minimum finds them with both ends, about
 2 / WINDOW of all shingles for each function.
 
-Windows of equal function and value meet by a shuffle. Of the documents that share a value the smallest and the largest
-id stand for the group, and every other one is laid over both (an interval join: the windows are put on each other at
-their nodes and must overlap by WINDOW shingles). Pairs of documents in which enough functions agree about overlapping
-intervals are verified on the shingles: a passage is a run of WINDOW-shingle pieces that each share at least
-``PERCENT`` of their shingles with the other document's piece beside it. Documents whose windows found no
-passage try again among themselves until a round finds nothing new. A group costs two pairs for each member, whatever
-its size.
+The windows of FUNCTIONS functions are intersected inside the document (an interval join of runs along the text), so
+that what is left has the same smallest values for all of them, and meet other documents' windows with these values by a
+shuffle. Of the documents in such a group the smallest and the largest id stand for it, likewise among those whose
+windows reach as far to the left or to the right of the node, and every other one is laid over these at the node (the
+intervals must overlap by WINDOW shingles). Pairs of documents are verified on the shingles: a passage is a run of
+WINDOW-shingle pieces that each share at least ``PERCENT`` of their shingles with the other document's piece beside it.
+Windows that no passage covers try again among themselves, without those that stood for their group, until a round
+finds nothing new. A group costs a few pairs for each member, whatever its size.
 """
 
 from __future__ import annotations
@@ -30,12 +31,14 @@ from quayside.llm.common import arrow_map, checkpointed, chunks, components, con
 SHINGLE = 5
 #: Shingles of the shortest passage; 46 five-word shingles are 50 words.
 WINDOW = 46
-FUNCTIONS = 6
-#: Functions that must agree. At a similarity of 0.8 fewer than 3 of 6 agree with probability 0.017; exact repeats agree in all.
-AGREE = 3
+#: Groups of functions, and functions in each, that must agree in one group. Pieces of similarity 0.8 agree in none
+#: with probability 0.047, of 0.9 with 0.007; a passage has a chance at each of its places, exact repeats always agree.
+BANDS = 3
+FUNCTIONS = 2
 PERCENT = 80
 
-_SEED = constants(53, FUNCTIONS)
+_SEED = constants(53, BANDS * FUNCTIONS).reshape(BANDS, FUNCTIONS)
+_TERM = constants(59, FUNCTIONS)
 
 
 def sequences(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -46,32 +49,47 @@ def sequences(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.n
         yield lo, shingle, np.searchsorted(doc[at], np.arange(hi - lo + 1))
 
 
-def compact_windows(shingle: np.ndarray, begin: np.ndarray, seed: np.uint64, window: int = WINDOW):
-    """(text, value, left, node, right) of the windows of at least ``window`` shingles, places from the text's first."""
+def smallest(shingle: np.ndarray, seed: np.uint64, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """The hash values, and for each run of ``window`` shingles the place of its smallest one, of equal ones the first."""
     n = len(shingle)
-    none = np.zeros(0, np.int64)
-    if n < window:
-        return none, np.zeros(0, np.uint64), none, none, none
-    value = mix(shingle ^ seed)
-    # the value's upper bits with the place below them: the smallest is the first of equal values
-    least, have = (value & np.uint64(0xFFFFFFFFFF000000)) | np.arange(n, dtype=np.uint64) % np.uint64(1 << 24), 1
     if n > 1 << 24:
-        raise ValueError("a chunk of more than 16 million shingles")
+        raise ValueError("a text of more than 16 million words")
+    value = mix(shingle ^ seed)
+    # the value's upper bits with the place below them
+    least, have = (value & np.uint64(0xFFFFFFFFFF000000)) | np.arange(n, dtype=np.uint64), 1
     while have < window:
         step = min(have, window - have)
         least = np.minimum(least[: len(least) - step], least[step:])
         have += step
-    node = (least & np.uint64(0xFFFFFF)).astype(np.int64)
-    start = np.arange(len(node))
+    return value, (least & np.uint64(0xFFFFFF)).astype(np.int64)
+
+
+def compact_windows(shingle: np.ndarray, begin: np.ndarray, seeds: np.ndarray, window: int = WINDOW):
+    """(text, key, left, node, right) of the compact windows that all functions of a band share: the subsequences of at
+    least ``window`` shingles whose smallest values are the same nodes. Places count from the text's first shingle,
+    ``node`` is the first function's."""
+    none = np.zeros(0, np.int64)
+    if len(shingle) < window:
+        return none, np.zeros(0, np.uint64), none, none, none
+    found = [smallest(shingle, seed, window) for seed in seeds]
+    start = np.arange(len(shingle) - window + 1)
     text = np.searchsorted(begin, start, "right") - 1
     whole = start + window <= begin[text + 1]
-    node, start, text = node[whole], start[whole], text[whole]
-    if not len(node):
+    start, text = start[whole], text[whole]
+    if not len(start):
         return none, np.zeros(0, np.uint64), none, none, none
-    new = np.flatnonzero(np.concatenate([[True], (node[1:] != node[:-1]) | (text[1:] != text[:-1])]))
-    last = np.concatenate([new[1:], [len(node)]]) - 1
+    nodes = [node[whole] for _, node in found]
+    new = np.ones(len(start), bool)
+    new[1:] = text[1:] != text[:-1]
+    for node in nodes:
+        new[1:] |= node[1:] != node[:-1]
+    new = np.flatnonzero(new)
+    last = np.concatenate([new[1:], [len(start)]]) - 1
+    key = np.zeros(len(new), np.uint64)
+    for (value, _), node, term in zip(found, nodes, _TERM, strict=False):
+        key += mix(value[node[new]] * term)
     base = begin[text[new]]
-    return text[new], value[node[new]], start[new] - base, node[new] - base, start[last] + window - 1 - base
+    return text[new], mix(key), start[new] - base, nodes[0][new] - base, start[last] + window - 1 - base
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,17 +97,14 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for lo, shingle, begin in sequences(*text_bytes(batch.column(1))):
             out = []
-            for f in range(FUNCTIONS):
-                text, value, left, node, right = compact_windows(shingle, begin, _SEED[f])
-                key = (mix(value) & np.uint64(0xFFFFFFFFFFFFFFF8)) | np.uint64(f)  # the function in the lowest bits
+            for band in range(BANDS):
+                text, key, left, node, right = compact_windows(shingle, begin, _SEED[band])
+                key = (key & np.uint64(0xFFFFFFFFFFFFFFF8)) | np.uint64(band)
                 out.append((ids[lo + text], key.view(np.int64), (left << 42) | (node << 21) | right))
             columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "key", "at"])
 
 
-_REGION = "lo long, hi long, shift long"
-
-
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (a, b, regions, text of a, text of b): one row for each passage, (a, b, places in a, places in b)."""
     for batch in batches:
@@ -135,16 +150,25 @@ def passages(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, window:
     starts = np.flatnonzero(good)
     if not len(starts):
         return []
-    cut = np.flatnonzero(np.diff(starts) > 1) + 1
-    for run in np.split(starts, cut):
+    for run in _runs(starts):
         p, q = int(run[0]), int(run[-1]) + window - 1
-        both = len(np.intersect1d(own[p : q + 1], other[p : q + 1]))
-        every = len(np.union1d(own[p : q + 1], other[p : q + 1]))
-        if 100 * both >= PERCENT * every:
+        if _alike(own[p : q + 1], other[p : q + 1]):
             out.append((lo + p, lo + q))
+            continue
+        each = [i for i in run if _alike(own[i : i + window], other[i : i + window])]
+        out += [(lo + int(r[0]), lo + int(r[-1]) + window - 1) for r in _runs(np.array(each, np.int64)) if len(r)]
     return out
 
 
+def _runs(places: np.ndarray) -> list[np.ndarray]:
+    return np.split(places, np.flatnonzero(np.diff(places) > 1) + 1)
+
+
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y))
+    return 100 * both >= PERCENT * len(np.union1d(x, y))
+
+
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Passages of at least 50 words that occur nearly the same in another document: (spans, links).
 
@@ -166,27 +190,27 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     right = lambda c: F.col(c).bitwiseAND((1 << 21) - 1)
     found, tried, open_windows = None, None, member
     while True:
-        hubs = open_windows.groupBy("key").agg(
-            F.min(F.struct("id", "at")).alias("x"), F.max(F.struct("id", "at")).alias("y")
-        ).where("x.id < y.id")
-        one = hubs.select("key", F.explode(F.array("x", "y")).alias("h")).select("key", F.col("h.id").alias("hub"), F.col("h.at").alias("hub_at"))
-        laid = open_windows.join(one, "key").where("id <> hub")
+        # the key alone, with how far the window reaches to the left, and to the right: each has its hubs
+        near = F.array(F.lit(0), 2 * (node("at") - left("at")) + 1, 2 * (right("at") - node("at")) + 2)
+        sided = open_windows.select("key", "id", "at", F.explode(near).alias("side"))
+        hubs = sided.groupBy("key", "side").agg(F.min(F.struct("id", "at")).alias("x"), F.max(F.struct("id", "at")).alias("y"))
+        hubs = hubs.where("x.id < y.id").select("key", "side", F.explode(F.array("x", "y")).alias("h"))
+        hub = hubs.select("key", "side", F.col("h.id").alias("hub"), F.col("h.at").alias("hub_at"))
+        laid = sided.join(hub, ["key", "side"]).where("id <> hub")
         shift = node("at") - node("hub_at")
         lo = F.greatest(left("at"), left("hub_at") + shift)
         hi = F.least(right("at"), right("hub_at") + shift)
-        laid = laid.select("id", "hub", F.col("key").bitwiseAND(7).alias("f"), lo.alias("lo"), hi.alias("hi"), shift.alias("shift"))
+        laid = laid.select("id", "hub", lo.alias("lo"), hi.alias("hi"), shift.alias("shift"))
         laid = laid.where(F.col("hi") - F.col("lo") + 1 >= WINDOW)
         # one direction for each pair
         swap = F.col("id") < F.col("hub")
         laid = laid.select(
-            F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"), "f",
+            F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"),
             F.when(swap, F.col("lo") - F.col("shift")).otherwise(F.col("lo")).alias("lo"),
             F.when(swap, F.col("hi") - F.col("shift")).otherwise(F.col("hi")).alias("hi"),
             F.when(swap, -F.col("shift")).otherwise(F.col("shift")).alias("shift"),
         )
-        pairs = laid.groupBy("a", "b").agg(
-            F.countDistinct("f").alias("n"), F.collect_set(F.struct("lo", "hi", "shift")).alias("regions")
-        ).where(F.col("n") >= AGREE).drop("n")
+        pairs = laid.groupBy("a", "b").agg(F.collect_set(F.struct("lo", "hi", "shift")).alias("regions"))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "passages-pairs")
@@ -202,9 +226,10 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         both = new.select(F.col("a").alias("id"), F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi"))
         both = both.unionByName(new.select(F.col("b").alias("id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi")))
         done = _united(both)
-        # a window is settled if its node lies in a passage that was found
-        covered = open_windows.join(done, "id").where(node("at").between(F.col("lo"), F.col("hi")))
-        open_windows = checkpointed(open_windows.join(covered.select("key", "id", "at").distinct(), ["key", "id", "at"], "left_anti"))
+        # a window is settled if a passage that was found covers it, or if it stood for its group
+        covered = open_windows.join(done, "id").where((F.col("lo") <= left("at")) & (right("at") <= F.col("hi")))
+        settled = covered.select("key", "id", "at").unionByName(hub.select("key", F.col("hub").alias("id"), F.col("hub_at").alias("at")))
+        open_windows = checkpointed(open_windows.join(settled.distinct(), ["key", "id", "at"], "left_anti"))
     both = found.select(F.col("a").alias("id"), F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi"))
     both = both.unionByName(found.select(F.col("b").alias("id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi")))
     return _united(both), found.select("a", "b").distinct()
