@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.llm.byte_repeats import remove_repeats
 from quayside.llm.common import table
 from quayside.llm.decontaminate import contaminated
 from quayside.llm.language import identify
@@ -126,6 +127,10 @@ FROM documents d LEFT JOIN a ON a.doc_id = d.doc_id
 """
 
 
+def op9_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), piece_model(), ids=False)
 
@@ -139,6 +144,7 @@ QUERIES = {
     "op6_fingerprints": op6_fingerprints,
     "op7_personal_data": op7_personal_data,
     "op8_decontaminate": op8_decontaminate,
+    "op9_byte_repeats": op9_byte_repeats,
     "op10_sentencepiece": op10_sentencepiece,
 }
 ORACLES = {"op3_url_filter": OP3_SQL, "op8_decontaminate": OP8_SQL}
