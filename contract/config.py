@@ -92,23 +92,26 @@ fields AS (
          CASE WHEN l_discount < 0.03 THEN 'upper(f_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_'
               || strftime(l_shipdate, '%Y%m%d') || ')' END AS derived_expression
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+size_rule(plain, sized, digits, fraction, form) AS (VALUES
+  (TRUE, NULL, NULL, NULL, ''), (FALSE, TRUE, NULL, NULL, '(L)'), (FALSE, FALSE, TRUE, FALSE, '(P)'),
+  (FALSE, FALSE, FALSE, FALSE, '(38)'), (FALSE, FALSE, TRUE, TRUE, '(P,S)'), (FALSE, FALSE, FALSE, TRUE, '')),
+frame_rule(kind, digits, form) AS (VALUES ('DATE', NULL, 'DateType()'), ('NUMERIC', FALSE, 'IntegerType()'),
+  ('NUMERIC', TRUE, 'DecimalType(P,S)')),
 catalog AS (
   SELECT s.source_system_code, s.source_feed_code, s.stage_name, s.file_format, s.is_enabled,
          CASE WHEN destination_schema_name LIKE '%STAGING%'
               THEN destination_schema_name || '.' || s.source_system_code || '_' || destination_table_name
               ELSE destination_schema_name || '.' || destination_table_name END AS destination_full_table_name,
          coalesce(timezone, 'Europe/London') AS timezone, source_field_name, target_field_name, field_ordinal,
-         data_type_name || CASE WHEN data_type_name IN ('DOUBLE', 'DATE') THEN ''
-              WHEN len > 0 THEN '(' || len || ')' WHEN prec > 0 AND scale = 0 THEN '(' || prec || ')'
-              WHEN prec = 0 AND scale = 0 THEN '(38)' WHEN prec > 0 AND scale > 0 THEN '(' || prec || ',' || scale || ')'
-              ELSE '' END AS data_type_size,
-         CASE WHEN data_type_name = 'DATE' THEN 'DateType()' WHEN data_type_name = 'VARCHAR' THEN 'StringType()'
-              WHEN data_type_name = 'NUMERIC' AND prec = 0 THEN 'IntegerType()'
-              WHEN data_type_name = 'NUMERIC' AND prec > 0 THEN 'DecimalType(' || prec || ',' || scale || ')'
-              ELSE 'StringType()' END AS frame_data_type,
+         data_type_name || replace(replace(replace(size_rule.form, 'L', len::VARCHAR), 'P', prec::VARCHAR), 'S', scale::VARCHAR) AS data_type_size,
+         coalesce(replace(replace(frame_rule.form, 'P', prec::VARCHAR), 'S', scale::VARCHAR), 'StringType()') AS frame_data_type,
          is_in_source, is_in_target, derived_expression, 'INT_SALES' AS current_database_name, 'INT' AS environment
   FROM feeds s LEFT JOIN fields f ON lower(s.source_system_code) = lower(f.source_system_code)
-       AND lower(s.source_feed_code) = lower(f.source_feed_code) AND f.is_deleted = FALSE)"""
+       AND lower(s.source_feed_code) = lower(f.source_feed_code) AND f.is_deleted = FALSE
+       LEFT JOIN size_rule ON size_rule.plain = (data_type_name IN ('DOUBLE', 'DATE'))
+            AND coalesce(size_rule.sized, len > 0) = (len > 0)
+            AND coalesce(size_rule.digits, prec > 0) = (prec > 0) AND coalesce(size_rule.fraction, scale > 0) = (scale > 0)
+       LEFT JOIN frame_rule ON frame_rule.kind = data_type_name AND coalesce(frame_rule.digits, prec > 0) = (prec > 0))"""
 
 _CATALOG_COLUMNS = [
     "source_system_code", "source_feed_code", "stage_name", "file_format", "is_enabled", "destination_full_table_name",

@@ -98,29 +98,17 @@ loads AS (
 
 
 def _bounds_sql(loads_name: str, tag: str = "") -> str:
-    """The quartile definition written out with row numbers and scalar subqueries."""
+    """Quartiles as elements of each dataset's sorted list; element 0 is no element."""
     return f"""
-ordered{tag} AS (
-  SELECT dataset_name, CAST(rows_loaded AS DOUBLE) AS n,
-         count(*) OVER (PARTITION BY dataset_name) AS c,
-         row_number() OVER (PARTITION BY dataset_name ORDER BY rows_loaded ASC NULLS LAST) AS rn
-  FROM {loads_name}),
-marked{tag} AS (
-  SELECT *, CASE WHEN rn = floor(c * 0.75) THEN 'Q3' WHEN rn = floor(c * 0.25) THEN 'Q1' END AS q FROM ordered{tag}),
-picked{tag} AS (
-  SELECT d.dataset_name,
-         (SELECT max(m.n) FROM marked{tag} m WHERE m.q = 'Q3' AND m.dataset_name = d.dataset_name) AS q_three,
-         (SELECT max(m.n) FROM marked{tag} m WHERE m.q = 'Q1' AND m.dataset_name = d.dataset_name) AS q_one
-  FROM (SELECT DISTINCT dataset_name FROM ordered{tag}) d),
-limits{tag} AS (
-  SELECT *, round(1.5 * (q_three - q_one), 0) AS outlier_range FROM picked{tag}),
+history{tag} AS (
+  SELECT dataset_name, list_sort(list(CAST(rows_loaded AS DOUBLE)), 'ASC', 'NULLS LAST') AS n FROM {loads_name} GROUP BY dataset_name),
+spread{tag} AS (
+  SELECT dataset_name, n[CAST(floor(0.25 * len(n)) AS BIGINT)] AS q_one, n[CAST(floor(0.75 * len(n)) AS BIGINT)] AS q_three FROM history{tag}),
+fence{tag} AS (SELECT *, round(1.5 * (q_three - q_one), 0) AS outlier_range FROM spread{tag}),
+ends{tag} AS (
+  SELECT *, if(q_one < outlier_range, 0.0, q_one - outlier_range) AS lower_bound, q_three + outlier_range AS upper_bound FROM fence{tag}),
 bounds{tag} AS (
-  SELECT dataset_name, q_three, q_one, outlier_range,
-         CASE WHEN q_one - outlier_range < 0 THEN 0.0 ELSE q_one - outlier_range END AS lower_bound,
-         q_three + outlier_range AS upper_bound,
-         '[' || format('{{:,}}', CAST(round(CASE WHEN q_one - outlier_range < 0 THEN 0 ELSE q_one - outlier_range END, 0) AS BIGINT))
-         || ' - ' || format('{{:,}}', CAST(round(q_three + outlier_range, 0) AS BIGINT)) || ']' AS bounds
-  FROM limits{tag})"""
+  SELECT *, format('[{{:,}} - {{:,}}]', CAST(round(lower_bound) AS BIGINT), CAST(round(upper_bound) AS BIGINT)) AS bounds FROM ends{tag})"""
 
 
 _BOUND_COLS = """dataset_name, q_three, q_one, outlier_range, CAST(lower_bound AS DOUBLE) AS lower_bound,
@@ -354,18 +342,17 @@ log AS (
          CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'SQL compilation error: bad cast'
               WHEN l_returnflag = 'R' THEN 'timeout' END AS exception
   FROM lineitem),
+history AS (
+  SELECT path, max(start_timestamp) FILTER (process_status <> 'FAILED') AS last_good,
+         count(*) FILTER (process_status = 'FAILED' AND regexp_matches(exception,
+           'There is no metadata for the folder/file|Object.*does not exist or not authorized|SQL compilation error')) AS n_hopeless
+  FROM log GROUP BY path),
 unstaged AS (
-  SELECT l.cob_id, l.stage_name, 'sales' AS container_name, replace(l.external_file_path, 'data.csv', '') AS folder_path,
-         'data.csv' AS file_name, l.external_file_path, l.last_modified
-  FROM listed l
-  WHERE l.flag_last_version AND l.o_totalprice > 100000
-    AND NOT EXISTS (SELECT 1 FROM log s WHERE s.path = l.external_file_path
-                    AND s.start_timestamp > l.last_modified AND s.process_status <> 'FAILED')
-    AND NOT EXISTS (SELECT 1 FROM log s WHERE s.path = l.external_file_path AND s.process_status = 'FAILED'
-                    AND (s.exception LIKE '%There is no metadata for the folder/file%'
-                         OR s.exception LIKE '%Object%does not exist or not authorized%'
-                         OR s.exception LIKE '%SQL compilation error%'))
-    AND l.last_modified + INTERVAL 30 MINUTE < TIMESTAMP '2001-12-31')"""
+  SELECT cob_id, stage_name, 'sales' AS container_name, regexp_replace(external_file_path, '[^/]*$', '') AS folder_path,
+         'data.csv' AS file_name, external_file_path, last_modified
+  FROM listed LEFT JOIN history ON path = external_file_path
+  WHERE flag_last_version AND o_totalprice > 100000 AND coalesce(last_good <= last_modified, true)
+    AND coalesce(n_hopeless, 0) = 0 AND last_modified < TIMESTAMP '2001-12-31' - INTERVAL 30 MINUTE)"""
 
 SQL_UNSTAGED_FILES = f"""WITH {_UNSTAGED}
 SELECT cob_id, stage_name, container_name, folder_path, file_name, external_file_path,

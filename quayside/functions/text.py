@@ -85,3 +85,17 @@ def glob_like(name, pattern) -> Column:
     """Case-insensitive LIKE whose pattern comes from data, ``*`` standing for ``%``."""
     as_like = F.replace(F.upper(lit_or_col(pattern)), F.lit("*"), F.lit("%"))
     return F.like(F.upper(lit_or_col(name)), as_like)
+
+
+def csv_cells(line: Column, delimiter: str) -> Column:
+    """Cells of a line as they stand, quotes included; a delimiter inside double quotes does not split. Every cell is
+    found as a delimiter and what follows it, so the search is linear and needs no look-ahead."""
+    d, other = f"\\Q{delimiter}\\E", f"[^\\Q{delimiter}\\E]"
+    quoted = r'\x20*+"[^"]*+(?:""[^"]*+)*+"'
+    cell = f"{d}({quoted}{other}*+|{other}*+)"
+    return F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(cell), F.lit(1))
+
+
+def unquoted(cell: Column) -> Column:
+    """A cell without the quotes around it; doubled quotes inside are single ones."""
+    return F.replace(F.regexp_replace(cell, '(?s)^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))

@@ -13,14 +13,15 @@ from quayside.operators.merge import AUDIT
 def compare_tables(
     base: DataFrame, other: DataFrame, base_name: str, other_name: str, ignore: Sequence[str] = tuple(AUDIT)
 ) -> DataFrame:
-    """Rows present once over both sides, tagged with their side. Both sides go
-    through one aggregation, so copies collapse before the shuffle."""
+    """Rows that one side has more often than the other, tagged with that side and
+    repeated as often as they are in surplus. Both sides go through one aggregation,
+    so copies collapse before the shuffle."""
     columns = [c for c in base.columns if c not in ignore]
-    both = base.select(F.lit(base_name).alias("side"), *columns).unionByName(
-        other.select(F.lit(other_name).alias("side"), *columns)
-    )
-    alone = both.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), F.first("side").alias("side"))
-    return alone.where("_n = 1").select("side", *columns)
+    both = base.select(*columns, F.lit(1).alias("_n")).unionByName(other.select(*columns, F.lit(-1).alias("_n")))
+    surplus = both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    side = F.when(F.col("_n") > 0, base_name).otherwise(other_name)
+    copies = F.explode(F.array_repeat(side, F.abs("_n").cast("int"))).alias("side")
+    return surplus.select(copies, *columns).select("side", *columns)
 
 
 def compare_cells(

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.names import header_name
-from quayside.functions.text import strip_bom
+from quayside.functions.text import csv_cells, strip_bom
 
 
 def header_cells(headers: DataFrame, delimiter: str = ",") -> DataFrame:
-    """``(path, position, cell)`` from ``(path, header)``, position from 1."""
-    cells = F.split(strip_bom("header"), f"\\Q{delimiter}\\E")
+    """``(path, position, cell)`` from ``(path, header)``, position from 1. A delimiter
+    inside double quotes belongs to the cell, as it does in the rows."""
+    cells = csv_cells(strip_bom("header"), delimiter)
     return headers.select("path", F.posexplode(cells).alias("_p", "cell")).select(
         "path",
         (F.col("_p") + 1).alias("position"),

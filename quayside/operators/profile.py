@@ -1,4 +1,4 @@
-"""Propose field metadata from samples of delimited files."""
+"""Propose field metadata from the lines of delimited files."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.names import profiled_name
-from quayside.functions.text import strip_bom
+from quayside.functions.text import csv_cells, strip_bom, unquoted
 
 # Delimiters tried, in order of preference on a tie.
 DELIMITERS = [",", "|", ";", "\t"]
@@ -36,28 +36,26 @@ def split_cells(line: Column, delimiter: Column) -> Column:
     """Cells of a line; a delimiter inside double quotes does not split."""
     cells = None
     for d in DELIMITERS:
-        pattern = f'\\Q{d}\\E(?=(?:[^"]*"[^"]*")*[^"]*$)'
-        here = F.split(line, pattern)
+        here = csv_cells(line, d)
         cells = F.when(delimiter == d, here) if cells is None else cells.when(delimiter == d, here)
-    return F.transform(cells, lambda c: F.replace(F.regexp_replace(c, '^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))
+    return F.transform(cells, unquoted)
 
 
-def profile_delimited(sample: DataFrame) -> DataFrame:
-    """Field metadata of each file from its sampled lines ``(path, line_no, line)``,
-    line 1 being the header.
+def profile_delimited(lines: DataFrame) -> DataFrame:
+    """Field metadata of each file from all its lines ``(path, is_header, line)``.
 
-    A column is NUMERIC(38,0) when every sampled cell is an integer,
+    A column is NUMERIC(38,0) when every cell is an integer,
     NUMERIC(38,18) when every filled cell is a number (blanks turn integers into
     this type), VARCHAR(1000) for other text. Columns of another kind, such as
     truth values, are left out.
     """
-    heads = sample.where("line_no = 1").select("path", strip_bom("line").alias("header"))
+    heads = lines.where("is_header").select("path", strip_bom("line").alias("header"))
     heads = heads.withColumn("delimiter", delimiter_of(F.col("header")))
     names = heads.select(
         "path", F.posexplode(split_cells(F.col("header"), F.col("delimiter"))).alias("_p", "source_field_name")
     )
     cells = (
-        sample.where("line_no > 1")
+        lines.where("NOT is_header")
         .join(heads.select("path", "delimiter"), "path")
         .select("path", F.posexplode(split_cells(F.col("line"), F.col("delimiter"))).alias("_p", "cell"))
     )
@@ -92,7 +90,7 @@ def profile_delimited(sample: DataFrame) -> DataFrame:
 
 
 def infer_types(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Narrowest type of each text column over the given (sampled) rows, in one
+    """Narrowest type of each text column over the given rows, in one
     aggregation: ``(column_name, type_name, precision, scale)``."""
     ladder = [("BOOLEAN", "boolean"), ("NUMERIC", "decimal(38,0)"), ("DOUBLE", "double"),
               ("DATE", "date"), ("TIMESTAMP", "timestamp")]

@@ -73,7 +73,8 @@ def cast_cell(cell: Column, field: Field, formats: Formats) -> tuple[Column, Col
     else:
         target = spark_type(kind, field.precision, field.scale)
         if target == "string":
-            value = filled if not field.length else F.substring(filled, 1, field.length)
+            # the length is a check: longer text is a bad cell, it is never cut
+            value = filled if not field.length else F.when(F.length(filled) <= field.length, filled)
         else:
             value = filled.try_cast(target)
     return value, filled.isNotNull()

@@ -86,7 +86,7 @@ def load_status(
     )
     report = at_cob(report, "cob_id")
 
-    expected = F.to_timestamp(
+    expected = F.try_to_timestamp(
         F.concat_ws(" ", F.col("next_business_day").cast("string"), F.col("expected_stage_time"))
     )
     expected = F.when(F.col("expected_stage_time").isNotNull(), expected)

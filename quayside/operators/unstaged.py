@@ -12,6 +12,7 @@ KNOWN_FAILURES = [
     "%There is no metadata for the folder/file%",
     "%Object%does not exist or not authorized%",
     "%SQL compilation error%",
+    "%File Format not found%",
 ]
 
 

@@ -7,16 +7,18 @@ per dataset, not per file.
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from functools import reduce
 from threading import Lock
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.names import header_name, inferred_name
@@ -33,6 +35,7 @@ from quayside.session import scratch_path
 from quayside.sources.formats import FileFormat, get_format
 from quayside.sources.scan import (
     BLOCK,
+    CORRUPT,
     PATH,
     SEQ,
     header_lines,
@@ -53,15 +56,13 @@ from quayside.sources.sinks import (
 
 # Text of the failures a retry cannot mend.
 NO_METADATA = "There is no metadata for the folder/file: "
+COMPILATION = "SQL compilation error:"
 NO_TABLE = "Object '{}' does not exist or not authorized."
 
 # The environment in which tables may be created or widened.
 DEVELOPMENT = "DVLP"
 NOT_PERMITTED = "Staging table creation requested, but creation is only permitted in the DVLP environment."
 
-# Rows per file that schema inference looks at.
-INFER_ROWS = 10_000
-
 LINEAGE = ["cob_id", "scope", "file_name", "file_row_number", "staged_at", "dataset_name"]
 
 
@@ -146,8 +147,7 @@ def _by_header(spark, paths, header, fmt, fields, formats, options, known) -> Da
     types = {}
     if loose and fields:
         columns = [f"c{c['position']}" for c in loose]
-        sample = raw.where(F.col(BLOCK) == 0).withColumn("_rn", _row_in_file()).where(F.col("_rn") <= INFER_ROWS)
-        types = {r["column_name"]: r["type_name"] for r in infer_types(sample, columns).collect()}
+        types = {r["column_name"]: r["type_name"] for r in infer_types(raw, columns).collect()}
     extra = [
         Field(c["cell"], c["target"], 10_000 + c["position"], types.get(f"c{c['position']}", "STRING"), precision=38)
         for c in loose
@@ -157,8 +157,24 @@ def _by_header(spark, paths, header, fmt, fields, formats, options, known) -> Da
     return typed_projection(raw, [*fields, *extra], _iso_for(formats, extra), positions, keep=[PATH, BLOCK, SEQ])
 
 
-def _row_in_file() -> Column:
-    return F.row_number().over(Window.partitionBy(PATH).orderBy(SEQ))
+def _undeclared(raw: DataFrame, fields: list[Field], known: set[str] | None, options: StageOptions) -> list[Field]:
+    """Columns of a JSON or Parquet scan that no field declares: text is typed by all its rows, other types stay."""
+    declared = {f.source_name.strip().upper() for f in fields}
+    loose = [c for c in raw.columns if c not in (PATH, BLOCK, SEQ, CORRUPT) and c.strip().upper() not in declared]
+    targets = raw.sparkSession.range(1).select(*[inferred_name(F.lit(c)).alias(f"n{i}") for i, c in enumerate(loose)]).first()
+    named = list(zip(loose, targets, strict=True))
+    if known is not None and not options.allow_create:
+        named = [(c, n) for c, n in named if n.lower() in known]
+    kinds = dict(raw.dtypes)
+    text = [c for c, _ in named if kinds[c] == "string"]
+    types = {r["column_name"]: r["type_name"] for r in infer_types(raw, text).collect()} if text else {}
+    out = []
+    for i, (c, name) in enumerate(named):
+        if c in types:
+            out.append(Field(c, name, 20_000 + i, types[c], precision=38))
+        else:
+            out.append(Field(c, name, 20_000 + i, "STRING", in_source=False, derived=f"`{c}`"))
+    return out
 
 
 def _iso_for(formats: Formats, extra: list[Field]) -> Formats:
@@ -185,8 +201,21 @@ def read_feed(spark, paths: Sequence[str], feed: Row, options: StageOptions, kno
         df = typed_projection(lines, fields, formats, keep=keep)
     else:
         names = {f.source_name: f.source_name for f in fields if f.in_source}
-        schema = ", ".join(f"`{n}` string" for n in names) if fmt.kind == "json" else None
-        df = typed_projection(read_named(spark, paths, fmt, schema), fields, formats, names, keep=keep)
+        loose, schema = options.header_mapping, None
+        if fmt.kind == "json":
+            # every record is looked at for further columns
+            seen = spark.read.option("columnNameOfCorruptRecord", CORRUPT).json(list(paths)).columns if loose else []
+            declared = {n.strip().upper() for n in names}
+            columns = [*names, *(c for c in seen if c != CORRUPT and c.strip().upper() not in declared)]
+            schema = ", ".join(f"`{c}` string" for c in columns)
+        raw = read_named(spark, paths, fmt, schema)
+        if fmt.kind == "parquet" and loose:
+            # fields that the files lack are left out, as they are by header
+            present = {c.strip().upper(): c for c in raw.columns}
+            names = {n: present[n.strip().upper()] for n in names if n.strip().upper() in present}
+        extra = _undeclared(raw, fields, known, options) if loose else []
+        names |= {f.source_name: f.source_name for f in extra if f.in_source}
+        df = typed_projection(raw, [*fields, *extra], _iso_for(formats, extra), names, keep=keep)
     return df
 
 
@@ -296,7 +325,7 @@ def stage_files(
     others; files without a dataset are logged as FAILED.
     """
     work = scratch_path(spark, options.target_root, "stage")
-    log_lock, table_lock = Lock(), Lock()
+    log_lock, table_locks = Lock(), defaultdict(Lock)
     # one start time for the whole run, also when the caller passes the clock
     as_of = F.lit(spark.range(1).select(as_of.cast("timestamp")).first()[0])
     files = enrich_manifest(manifest)
@@ -375,11 +404,11 @@ def stage_files(
         mapping = options.header_mapping and bool(dataset["allow_infer_schema"])
         run = replace(options, allow_create=creating, header_mapping=mapping)
         try:
-            # a reload by file rewrites partitions that other datasets may share
-            with table_lock if dataset["feed"]["delete_stage_by_file_name"] else nullcontext():
+            # one writer at a time for a table: a reload by file rewrites partitions that other datasets may share
+            with table_locks[dataset["feed"]["destination_full_table_name"]]:
                 results, table, columns, message = _stage_dataset(spark, dataset, paths, cobs, run, as_of, work)
         except Exception as e:  # noqa: BLE001 - any failure of a dataset is logged
-            failure = result_of(exception=F.lit(str(e)[:4000]), is_error=F.lit(True))
+            failure = result_of(exception=F.lit(_told(e)), is_error=F.lit(True))
             return log(mine, "FAILED", failure)
         if options.allow_create and not creating:
             message = NOT_PERMITTED
@@ -404,6 +433,11 @@ def stage_files(
     return current_log(spark, options.log_path).join(run_ids, "id", "left_semi")
 
 
+def _told(e: Exception) -> str:
+    """The whole text of a failure. An analysis error, which no retry mends, is named as such."""
+    return f"{COMPILATION} {e}" if isinstance(e, AnalysisException) else str(e)
+
+
 def _first_per_table(datasets: list[Row]) -> tuple[list[Row], list[Row]]:
     first: dict[str, Row] = {}
     for d in datasets:
@@ -431,4 +465,6 @@ def _folder_files(spark: SparkSession, triggers: list[str], pattern: str) -> lis
     """Files a trigger file stands for: those beside it that match the pattern."""
     folders = sorted({t.rsplit("/", 1)[0] for t in triggers})
     listing = spark.read.format("binaryFile").load(folders).select(F.col("path").alias(PATH))
-    return [r[0] for r in matching(listing, pattern.replace("*", ".*") + "$").collect()]
+    # the whole file name must match; everything but * stands for itself
+    name = "[^/]*".join(re.escape(part) for part in pattern.split("*"))
+    return [r[0] for r in matching(listing, f"(^|/){name}$").collect()]

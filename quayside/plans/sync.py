@@ -32,5 +32,15 @@ def prepare_parameters(seed: DataFrame) -> DataFrame:
 def sync_table(name: str, stored: DataFrame, seed: DataFrame, as_of: Column) -> DataFrame:
     """New content of one configuration table."""
     if name == "stage_me_parameters":
-        seed = prepare_parameters(seed)
-    return merge_sync(stored, seed, KEYS[name], as_of).select(*stored.columns)
+        # a row without a path takes the dataset out
+        seed = prepare_parameters(seed.where("file_path is not null"))
+    if name == "source_field":
+        seed = seed.withColumn("source_field_name", F.trim("source_field_name"))
+    # keys match without case; the seed's spelling is stored
+    keys = KEYS[name]
+    folded = [f"_key_{k}" for k in keys]
+
+    def fold(df: DataFrame) -> DataFrame:
+        return df.withColumns({f: F.upper(F.trim(F.col(k).cast("string"))) for f, k in zip(folded, keys, strict=True)})
+
+    return merge_sync(fold(stored), fold(seed), folded, as_of).select(*stored.columns)

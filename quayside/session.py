@@ -12,8 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # samples of up to 10,000 rows per file are cut down before they are shuffled
-    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # splits of a file depend on its size only, not on the executors that happen to be registered
+    "spark.sql.files.minPartitionNum": "200",
     # windows-1252 files need the JVM charset list
     "spark.sql.legacy.javaCharsets": "true",
 }

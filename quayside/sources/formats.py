@@ -12,6 +12,7 @@ class FileFormat:
     quote: str = ""
     encoding: str = "windows-1252"
     delimiter: str = ","
+    multiline: bool = False  # quoted cells may hold line ends; a file is then one split
 
     def with_delimiter(self, delimiter: str) -> FileFormat:
         return replace(self, delimiter=delimiter)
@@ -23,9 +24,9 @@ class FileFormat:
 
 # Format names used by feed configuration and what they mean.
 FORMATS = {
-    "CSV_FORMAT": FileFormat("csv", header="skip", quote='"'),
-    "CSV_FORMAT_PARSE_HEADER": FileFormat("csv", header="parse", quote='"'),
-    "CSV_FORMAT_NO_HEADER": FileFormat("csv", quote='"'),
+    "CSV_FORMAT": FileFormat("csv", header="skip", quote='"', multiline=True),
+    "CSV_FORMAT_PARSE_HEADER": FileFormat("csv", header="parse", quote='"', multiline=True),
+    "CSV_FORMAT_NO_HEADER": FileFormat("csv", quote='"', multiline=True),
     "CSV_FORMAT_NO_ENCLOSE": FileFormat("csv", header="skip"),
     "CSV_FORMAT_NO_ENCLOSE_PARSE_HEADER": FileFormat("csv", header="parse"),
     "CSV_FORMAT_NO_ENCLOSE_NO_HEADER": FileFormat("csv"),

@@ -13,12 +13,17 @@ from quayside.sources.formats import FileFormat
 # Lineage helper columns every scan carries.
 PATH, BLOCK, SEQ, CORRUPT = "_path", "_block", "_seq", "_corrupt"
 
-_PLAIN_CHARSETS = {"UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}
+_CHARSETS = "spark.sql.legacy.javaCharsets"
+_PLAIN_CHARSETS = {"UTF-8", "US-ASCII", "ISO-8859-1"}
 
 
 def _allow_charset(spark: SparkSession, encoding: str) -> None:
-    if encoding.upper() not in _PLAIN_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    """Line ends are looked for as single bytes, which charsets of two- and four-byte units do not have; other charsets
+    of the JVM need a session setting, which build_session makes and a reader does not change."""
+    if encoding.upper().startswith(("UTF-16", "UTF-32")):
+        raise ValueError(f"files in {encoding} cannot be split into lines; convert them to UTF-8")
+    if encoding.upper() not in _PLAIN_CHARSETS and spark.conf.get(_CHARSETS, "false") != "true":
+        raise ValueError(f"reading {encoding} needs {_CHARSETS}=true in the session")
 
 
 def _with_lineage(df: DataFrame) -> DataFrame:
@@ -55,6 +60,8 @@ def read_delimited(
         # a doubled quote inside a quoted cell; no escape character otherwise
         .option("escape", fmt.quote)
         .option("encoding", fmt.encoding)
+        # a quoted cell may hold line ends; such files are not split
+        .option("multiLine", fmt.multiline)
         .option("columnNameOfCorruptRecord", CORRUPT)
         # empty cells stay empty text here, the projection turns them to NULL
         .option("emptyValue", "")
@@ -71,11 +78,19 @@ def read_delimited(
 def read_named(
     spark: SparkSession, paths: str | Sequence[str], fmt: FileFormat, schema: str | None = None, **options
 ) -> DataFrame:
-    """Scan whose columns are addressed by name: JSON or Parquet."""
+    """Scan whose columns are addressed by name: JSON or Parquet. A JSON record that cannot be parsed, or not to
+    the schema, keeps its text in ``_corrupt``."""
     reader = spark.read.options(**options)
-    if schema:
+    if fmt.kind == "json":
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        reader = reader.schema(", ".join(filter(None, [schema, f"{CORRUPT} string"])))
+    elif schema:
         reader = reader.schema(schema)
     df = reader.format(fmt.kind).load(paths)
+    if fmt.kind == "json" and len(df.columns) > 1:
+        # the reader refuses to serve this column alone, so it is tied to a data column
+        other = next(c for c in df.columns if c != CORRUPT)
+        df = df.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).when(F.length(f"`{other}`") < 0, F.col(f"`{other}`")))
     return _with_lineage(df)
 
 
@@ -124,15 +139,13 @@ def header_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str
     return lines.groupBy(F.col(PATH).alias("path")).agg(strip_bom(F.min_by("value", SEQ)).alias("header"))
 
 
-def sample_lines(lines: DataFrame, per_file: int) -> DataFrame:
-    """The first lines of each file as ``(path, line_no, line)``. Every task
-    keeps at most ``per_file`` lines per file before anything is shuffled."""
-    rank = F.row_number().over(Window.partitionBy(PATH).orderBy(SEQ))
-    return (
-        lines.where(F.col(BLOCK) == 0)
-        .withColumn("line_no", rank)
-        .where(F.col("line_no") <= per_file)
-        .select(F.col(PATH).alias("path"), "line_no", F.col("value").alias("line"))
+def marked_lines(lines: DataFrame) -> DataFrame:
+    """Every line as ``(path, is_header, line)``; a file's header is its first line. The place of the header comes from
+    one small aggregate per file."""
+    first = lines.where(F.col(BLOCK) == 0).groupBy(PATH).agg(F.min(SEQ).alias("_first"))
+    is_header = (F.col(BLOCK) == 0) & (F.col(SEQ) == F.col("_first"))
+    return lines.join(first, PATH, "left").select(
+        F.col(PATH).alias("path"), F.coalesce(is_header, F.lit(False)).alias("is_header"), F.col("value").alias("line")
     )
 
 

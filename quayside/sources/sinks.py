@@ -65,22 +65,16 @@ def clear_partitions(spark: SparkSession, path: str, values: Iterable[tuple[int,
             fs.delete(part, True)
 
 
-def replace_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``existing`` without the rows of any key that ``incoming`` carries, plus
-    ``incoming``. Only the distinct keys of ``incoming`` are joined."""
-    touched = incoming.select(*keys).distinct()
-    kept = existing.join(touched, list(keys), "left_anti")
-    return kept.unionByName(incoming, allowMissingColumns=True)
-
-
 def reload_by_file(
     df: DataFrame, path: str, partitions: Sequence[str] = LOAD_PARTITIONS, file_key: str = "file_key"
 ) -> None:
     """Replace the rows of the files in ``df`` inside the partitions they touch.
 
     A file is found by ``(cob_id, file name without slashes)``, whatever dataset
-    it was loaded under. The new partitions are first written beside the table,
-    so the table is never read and overwritten by the same plan.
+    it was loaded under. Spark writes dynamic partitions to a staging folder and
+    moves them when all are written, so the rows are read from the table and
+    written to it once; the incoming rows and the touched partitions are written
+    beside it first, because they are read more than once.
     """
     spark = df.sparkSession
     table = read_table(spark, path)
@@ -91,7 +85,7 @@ def reload_by_file(
         return d.withColumn(file_key, F.replace("file_name", F.lit("/"), F.lit("")))
 
     work = scratch_path(spark, path, "reload")
-    incoming_path, merged_path = f"{work}/incoming", f"{work}/merged"
+    incoming_path, touched_path = f"{work}/incoming", f"{work}/touched"
     df.write.parquet(incoming_path)
     incoming = keyed(spark.read.parquet(incoming_path))
     stored = keyed(table)
@@ -100,13 +94,21 @@ def reload_by_file(
     # partitions to rewrite: where the files lie now, and where their new rows go
     lies = stored.join(new_files, keys, "left_semi").select(*partitions)
     touched = lies.unionByName(incoming.select(*partitions)).distinct()
+    touched.write.parquet(touched_path)
+    touched = spark.read.schema(touched.schema).parquet(touched_path)
     kept = stored.join(touched, list(partitions), "left_semi").join(new_files, keys, "left_anti")
+    filled = kept.select(*partitions).unionByName(incoming.select(*partitions)).distinct()
+    emptied = touched.join(filled, list(partitions), "left_anti").collect()
     merged = kept.unionByName(incoming, allowMissingColumns=True).drop(file_key)
-    merged.write.partitionBy(*partitions).parquet(merged_path)
-    ready = spark.read.schema(merged.schema).parquet(merged_path)
-    emptied = touched.join(ready.select(*partitions).distinct(), list(partitions), "left_anti").collect()
-    _write(ready, path, "overwrite", partitions)
+    _write(merged, path, "overwrite", partitions)
     clear_partitions(spark, path, [tuple(r) for r in emptied])
+    remove_path(spark, work)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that this run made."""
+    fs, folder = _hadoop_path(spark, path)
+    fs.delete(folder, True)
 
 
 def not_yet_loaded(manifest: DataFrame, log: DataFrame, keys: Sequence[str], status: str = "process_status") -> DataFrame:

@@ -83,11 +83,11 @@ def test_load_totals_and_latest_state(spark):
 # ------------------------------------------------------------------ merge
 
 
-def test_merge_worked_example(spark):
-    target = spark.createDataFrame([(10, "old"), (10, "too_old"), (11, "old")], "key int, value string")
-    source = spark.createDataFrame([(10, "new"), (12, "new"), (13, "old")], "key int, value string")
-    out = merge.merge_upsert(target, source, ["key"], insert=["key"], matched_when=F.col("t.value") == "too_old")
-    assert rows_of(out) == [(10, "new"), (10, "old"), (11, "old"), (12, None), (13, None)]
+def test_merge_upsert_conditions(spark):
+    target = spark.createDataFrame([(1, "kept"), (1, "stale"), (2, "alone")], "id int, state string")
+    source = spark.createDataFrame([(1, "fresh"), (5, "added"), (6, "more")], "id int, state string")
+    out = merge.merge_upsert(target, source, ["id"], insert=["id"], matched_when=F.col("t.state") == "stale")
+    assert rows_of(out) == [(1, "fresh"), (1, "kept"), (2, "alone"), (5, None), (6, None)]
 
 
 KEYED = st.dictionaries(st.integers(0, 8), st.integers(0, 3), max_size=6)
@@ -124,6 +124,9 @@ def test_compare(spark):
     other = spark.createDataFrame([(1, "a", 9), (2, "x", 2), (4, None, 4)], "k int, v string, last_modified int")
     assert rows_of(compare.compare_tables(base, base, "b", "t")) == []
     assert rows_of(compare.compare_tables(base, other, "b", "t"), "k", "side") == [("b", 2, "b"), ("t", 2, "x"), ("b", 3, "c"), ("t", 4, None)]
+    twice = base.unionByName(base.where("k = 1")).unionByName(base.where("k = 1"))
+    assert rows_of(compare.compare_tables(twice, other.where("k = 1"), "b", "t"), "k") == [("b", 1, "a")] * 2 + [("b", 2, "b"), ("b", 3, "c")]
+    assert rows_of(compare.compare_tables(base, twice, "b", "t")) == [("t", 1, "a")] * 2
     assert rows_of(compare.compare_cells(base, other, ["k"])) == [(2, "v", "b", "x"), (3, "v", "c", None)]
 
 
@@ -165,7 +168,7 @@ def test_typed_projection(spark):
     out = project.typed_projection(df, fields)
     assert out.columns == ["num", "day", "at", "txt", "upper_txt", "const", "_bad"]
     first, second, third = out.collect()
-    assert (first["num"], first["day"], first["txt"], first["upper_txt"], first["const"]) == (1, None, "abc", "ABCDEF", "k1")
+    assert (first["num"], first["day"], first["txt"], first["upper_txt"], first["const"]) == (1, None, None, "ABCDEF", "k1")
     assert first["at"] == dt.datetime(2024, 7, 1, 11) and first["_bad"]
     assert second["num"] is None and second["upper_txt"] is None and not second["_bad"]
     assert third["day"] == dt.date(2024, 1, 5) and third["_bad"]
@@ -198,8 +201,8 @@ def test_profile(spark):
         "tie": ["a;b,c", "1;2,3"],
         "tab": ["a\tb", "1\t", "3\t4"],
     }
-    sample = spark.createDataFrame([(p, i + 1, x) for p, lines in files.items() for i, x in enumerate(lines)], "path string, line_no int, line string")
-    got = {(r["path"], r["source_field_name"]): r for r in profile.profile_delimited(sample).collect()}
+    lines = spark.createDataFrame([(p, i == 0, x) for p, lines in files.items() for i, x in enumerate(lines)], "path string, is_header boolean, line string")
+    got = {(r["path"], r["source_field_name"]): r for r in profile.profile_delimited(lines).collect()}
     kinds = {k: (r["data_type_name"], r["data_type_length"], r["data_type_precision"], r["data_type_scale"]) for k, r in got.items()}
     integer, floating, string = ("NUMERIC", 0, 38, 0), ("NUMERIC", 0, 38, 18), ("VARCHAR", 1000, 0, 0)
     assert kinds == {
@@ -210,6 +213,22 @@ def test_profile(spark):
     assert got["comma", "tradeId"]["target_field_name"] == "TRADE_ID" and got["comma", "void"]["field_ordinal"] == 6
 
 
+def test_profile_reads_all_lines_and_wide_ones(spark):
+    rows = [("late", True, "n,m")] + [("late", False, f"{i},1") for i in range(300)] + [("late", False, "word,1")]
+    wide = ",".join('"a,b"' for _ in range(6000))
+    rows += [("wide", True, wide), ("wide", False, wide)]
+    got = profile.profile_delimited(spark.createDataFrame(rows, "path string, is_header boolean, line string"))
+    kinds = {r["source_field_name"]: r["data_type_name"] for r in got.where("path = 'late'").collect()}
+    assert kinds == {"n": "VARCHAR", "m": "NUMERIC"}
+    assert got.where("path = 'wide'").count() == 6000
+
+
+def test_quoted_headers(spark):
+    heads = spark.createDataFrame([("f", '"a,b", "c ""d""" ,e,')], "path string, header string")
+    got = [(r["position"], r["cell"]) for r in headers.header_cells(heads).orderBy("position").collect()]
+    assert got == [(1, "a,b"), (2, "c d"), (3, "e"), (4, "")]
+
+
 def test_infer_types(spark):
     df = spark.createDataFrame([("1", "1.5", "2024-01-05", "true", "x", "", "2024-01-05 01:02:03")] * 2 + [("", "2", "", "False", "1", "", "")], ", ".join(f"c{i} string" for i in range(1, 8)))
     got = [r["type_name"] for r in profile.infer_types(df, df.columns).orderBy("position").collect()]

@@ -172,6 +172,15 @@ def test_sync_parameters(spark):
     assert [r["allow_infer_schema"] for r in out] == [True, True] and out[0]["tags"] == ["a", "b"]
 
 
+def test_sync_fields_trims_and_ignores_case(spark):
+    then, now = dt.datetime(2020, 1, 1), dt.datetime(2024, 1, 1)
+    shape = "source_system_code string, source_feed_code string, source_field_name string, field_ordinal int"
+    stored = spark.createDataFrame([("S", "F", "fld", 1, then, then)], shape + ", first_time_inserted timestamp, last_modified timestamp")
+    seed = spark.createDataFrame([("s", "f", " Fld ", 2)], shape)
+    (row,) = sync.sync_table("source_field", stored, seed, F.lit(now)).collect()
+    assert (row["source_field_name"], row["field_ordinal"], row["first_time_inserted"], row["last_modified"]) == ("Fld", 2, then, now)
+
+
 def test_overall_config(spark):
     files = spark.createDataFrame([file_row(), file_row("alone")], FILE)
     fields = spark.createDataFrame([field_row("a", 1)], FIELD)

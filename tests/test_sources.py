@@ -63,7 +63,7 @@ def test_row_numbers_over_many_splits(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
     try:
-        df = scan.read_delimited(spark, [big, small], formats.get_format("CSV_FORMAT"), 2)
+        df = scan.read_delimited(spark, [big, small], formats.get_format("CSV_FORMAT_NO_ENCLOSE"), 2)
         assert df.select(scan.BLOCK).distinct().count() > 5
         numbered = scan.number_rows(df)
         plan = numbered._jdf.queryExecution().optimizedPlan().toString()
@@ -89,10 +89,12 @@ def test_headers_and_samples(spark, tmp_path):
     b = write(tmp_path / "b.csv", "k\n" + "\n".join(map(str, range(300))) + "\n")
     heads = {r["path"].rsplit("/", 1)[1]: r["header"] for r in scan.header_lines(spark, [a, b], "windows-1252").collect()}
     assert heads == {"a.csv": "id,name", "b.csv": "k"}
-    sample = scan.sample_lines(scan.read_lines(spark, [a, b]), 100)
-    counts = {r["path"].rsplit("/", 1)[1]: r["count"] for r in sample.groupBy("path").count().collect()}
-    assert counts == {"a.csv": 2, "b.csv": 100}
-    assert sample.where("path LIKE '%b.csv' AND line_no = 100").first()["line"] == "98"
+    lines = scan.marked_lines(scan.read_lines(spark, [a, b]))
+    counts = {(r["path"].rsplit("/", 1)[1], r["is_header"]): r["count"] for r in lines.groupBy("path", "is_header").count().collect()}
+    assert counts == {("a.csv", True): 1, ("a.csv", False): 1, ("b.csv", True): 1, ("b.csv", False): 300}
+    assert lines.where("path LIKE '%b.csv' AND is_header").first()["line"] == "k"
+    with pytest.raises(ValueError, match="cannot be split"):
+        scan.read_lines(spark, [a], "UTF-16")
     assert scan.sample_rows(spark.range(50), 7, seed=1).count() == 7 and scan.sample_rows(spark.range(50), 3).count() == 3
 
 

@@ -187,6 +187,41 @@ def test_trigger_file_loads_its_folder(spark, tmp_path):
     assert site.rows("STAGING.SYS_T", "T_Id") == [(1,), (2,)]
 
 
+def test_dirty_cells(spark, tmp_path):
+    """Line ends and delimiters inside quotes, in the header too; text longer than its field."""
+    site = Site(spark, tmp_path, [file_row(skip=1)], [field_row("a,b", 1), field_row("Note", 2, length=8)], [param_row()])
+    site.write("in/20240105/f1.csv", '"a,b",note\n"line1\nline2",x\ny,"p,q"\nz,much longer than eight\n')
+    result = site.stage()["ds", "f1.csv"]["process_result"]["msg_copy_result"][0]
+    assert (result["rows_parsed"], result["rows_loaded"], result["errors_seen"]) == (3, 0, 1)
+    site = Site(spark, tmp_path / "ok", [file_row(skip=2)], [field_row("a,b", 1), field_row("Note", 2, length=8)], [param_row()])
+    site.write("in/20240105/f1.csv", '"a,b",note\n"line1\nline2",x\ny,"p,q"\nz,much longer than eight\n')
+    site.stage()
+    assert site.rows("STAGING.SYS_T", "`T_a,b`", "T_Note") == [("line1\nline2", "x"), ("y", "p,q")]
+
+
+def test_columns_are_typed_by_all_rows(spark, tmp_path):
+    site = Site(spark, tmp_path, [file_row()], [field_row("Id", 1)], [param_row()])
+    site.write("in/20240105/f1.csv", "id,late\n" + "".join(f"{i},{i}\n" for i in range(10_003)) + "x,word\n")
+    assert site.stage()["ds", "f1.csv"]["process_status"] == "SUCCESS"
+    assert site.rows("STAGING.SYS_T", "LATE", where="T_Id = 'x'") == [("word",)]
+
+
+def test_broken_json_is_an_error(spark, tmp_path):
+    site = Site(spark, tmp_path, [file_row(fmt="JSON_FORMAT", skip=2)], [field_row("a", 1)], [param_row(file="*.json")])
+    site.write("in/20240105/f.json", '{"a": "1"}\n{bad json\n{"a": "2"}\n', "utf-8")
+    result = site.stage()["ds", "f.json"]["process_result"]["msg_copy_result"][0]
+    assert (result["rows_parsed"], result["rows_loaded"], result["errors_seen"]) == (3, 2, 1)
+    assert site.rows("STAGING.SYS_T", "T_a") == [("1",), ("2",)]
+
+
+def test_parquet_without_declared_fields(spark, tmp_path):
+    site = Site(spark, tmp_path, [file_row(fmt="PARQUET_FORMAT")], [field_row("other", 1)], [param_row(file="*.parquet")])
+    spark.range(3).selectExpr("id", "cast(id as string) AS word").coalesce(1).write.parquet(f"{site.root}/in/in/20240105")
+    (entry,) = site.stage(r"[.]parquet$").values()
+    assert entry["process_status"] == "SUCCESS", entry["process_result"]["exception"]
+    assert site.rows("STAGING.SYS_T", "ID", "WORD") == [(0, 0), (1, 1), (2, 2)]
+
+
 def test_monitoring_loop(spark, tmp_path):
     site = Site(spark, tmp_path, [file_row()], FIELDS, [param_row(time="09:00:00")])
     site.write("in/20240105/f1.csv", "Id,Note\n1,a\n")
