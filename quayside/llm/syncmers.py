@@ -110,7 +110,7 @@ def with_successors(df: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     count = min(MOST_RANGES, RANGES * parts)
     cuts = df.approxQuantile("id", [i / count for i in range(1, count)], 0.25 / count) if count > 1 else []
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     keyed = df.withColumn("place", F.coalesce(F.col("id").cast("double"), F.lit(-1.7e308)))
     ranged = Bucketizer(splits=splits, inputCol="place", outputCol="b").transform(keyed)
     ranged = ranged.select(F.col("b").cast("int").alias("range"), "id", "text")
