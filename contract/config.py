@@ -16,6 +16,7 @@ from quayside.plans.catalog import feed_rollup, field_catalog
 from quayside.plans.catalog import overall_config as build_overall_config
 from quayside.plans.expected import at_cob, dataset_catalog, enrich_manifest, match_datasets, with_cobs
 from quayside.plans.expected import upload_plan as build_upload_plan
+from quayside.plans.sync import sync_table
 from quayside.plans.validate import metadata_problems as find_problems
 
 # ---------------------------------------------------------------- shaped inputs
@@ -658,6 +659,44 @@ SELECT 'base' AS side, * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM e)
 UNION ALL SELECT 'target', * FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM b)"""
 
 
+def compare_repeated(spark, sf_dir):
+    """Line items without their keys: many rows are equal, on either side more often than on the other."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_discount")
+    other = rows.where("l_discount > 0.02").unionByName(rows.where("l_quantity < 10"))
+    return compare_tables(rows, other, "base", "target")
+
+
+SQL_COMPARE_REPEATED = """
+WITH b AS (SELECT l_returnflag, l_linestatus, l_linenumber, l_quantity, l_discount FROM lineitem),
+e AS (SELECT * FROM b WHERE l_discount > 0.02 UNION ALL SELECT * FROM b WHERE l_quantity < 10)
+SELECT 'base' AS side, * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM e)
+UNION ALL SELECT 'target', * FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM b)"""
+
+
+def synced_fields(spark, sf_dir):
+    """Field rows of a seed, padded and in other case, over those stored for the orders that are not pending."""
+    shape = [F.col("o_orderpriority").alias("source_system_code"), F.col("o_orderstatus").alias("source_feed_code")]
+    orders = table(spark, sf_dir, "orders")
+    name = F.concat(F.lit("Field"), "o_orderkey")
+    stored = orders.where("o_orderstatus <> 'P'").select(
+        *shape, name.alias("source_field_name"), F.col("o_custkey").alias("field_ordinal"),
+        F.col("o_orderdate").alias("first_time_inserted"), F.col("o_orderdate").alias("last_modified"),
+    )
+    seed = orders.where("o_totalprice > 50000").select(
+        F.lower("o_orderpriority").alias("source_system_code"), F.lower("o_orderstatus").alias("source_feed_code"),
+        F.concat(F.lit(" "), F.upper(name), F.lit("  ")).alias("source_field_name"), F.lit(1).cast("bigint").alias("field_ordinal"),
+    )
+    return _stamped(sync_table("source_field", stored, seed, F.lit(_NOW).cast("timestamp_ntz")))
+
+
+SQL_SYNCED_FIELDS = f"""
+SELECT lower(o_orderpriority) AS source_system_code, lower(o_orderstatus) AS source_feed_code, 'FIELD' || o_orderkey AS source_field_name,
+       CAST(1 AS BIGINT) AS field_ordinal,
+       CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ELSE '{_NOW}' END AS first_time_inserted,
+       '{_NOW}' AS last_modified
+FROM orders WHERE o_totalprice > 50000"""
+
+
 def compare_order_cells(spark, sf_dir):
     base = table(spark, sf_dir, "orders").drop("o_orderdate", "o_totalprice")
     return compare_cells(base, _edited(spark, sf_dir).drop("o_orderdate", "o_totalprice"), ["o_orderkey"])
@@ -702,6 +741,8 @@ QUERIES = {
     "missing_references": missing_orders,
     "metadata_problems": problems,
     "compare_tables": compare_orders,
+    "compare_repeated": compare_repeated,
+    "sync_fields": synced_fields,
     "compare_cells": compare_order_cells,
     "conform_schema": conform_schema,
 }
@@ -726,6 +767,8 @@ ORACLES = {
     "missing_references": SQL_MISSING_ORDERS,
     "metadata_problems": SQL_PROBLEMS,
     "compare_tables": SQL_COMPARE_ORDERS,
+    "compare_repeated": SQL_COMPARE_REPEATED,
+    "sync_fields": SQL_SYNCED_FIELDS,
     "compare_cells": SQL_COMPARE_CELLS,
     "conform_schema": SQL_CONFORM_SCHEMA,
 }

@@ -329,9 +329,9 @@ SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT), 'EXT.BOX', 'in/o' || o_orde
 FROM orders WHERE o_orderstatus <> 'P'"""
 
 
-def staged_orders(spark, sf_dir):
-    """Orders written as delimited files, one folder per month, then staged from
-    configuration: matched, cast, checked, given lineage and loaded."""
+def staged_orders(spark, sf_dir, kind="csv"):
+    """Orders written as files, one folder per month, then staged from configuration: matched, cast, checked, given
+    lineage and loaded. The note, with quotes, delimiters and a line end, is not declared: its column is inferred."""
     root = work_dir(spark, "stage")
     orders = table(spark, sf_dir, "orders")
     month = cob_of(F.trunc(F.to_date("o_orderdate"), "month"))
@@ -340,27 +340,26 @@ def staged_orders(spark, sf_dir):
         F.col("o_custkey").cast("string").alias("customer"),
         F.when(F.col("o_totalprice") > 1000, F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("price"),
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"),
-        F.concat(F.lit('a "b", '), "o_orderpriority").alias("note"),
+        F.concat(F.lit('a "b",\n'), "o_orderpriority").alias("note"),
         # folders become status=F/month=m-20010131; "-" sets the COB apart
         F.concat(F.lit("m-"), month).alias("month"),
         F.col("o_orderstatus").alias("status"),
     )
     folders = ["status", "month"]
-    (
-        text.hint("rebalance", *folders).write.partitionBy(*folders)
-        .option("header", True).option("escape", '"').csv(f"{root}/in")
-    )
+    writer = text.hint("rebalance", *folders).write.partitionBy(*folders).option("header", True).option("escape", '"')
+    writer.format(kind).save(f"{root}/in")
 
     files = orders.select("o_orderstatus").distinct().select(
         F.lit("ORD").alias("source_system_code"), F.col("o_orderstatus").alias("source_feed_code"),
         F.lit("EXT.IN").alias("stage_name"), F.lit(None).cast("string").alias("source_file_path"),
         F.lit(None).cast("string").alias("source_file_name_pattern"), F.lit("DW").alias("destination_schema_name"),
         F.lit("ORDERS").alias("destination_table_name"), F.lit(True).alias("is_enabled"),
-        F.lit("CSV_FORMAT").alias("file_format"), F.lit("DD/MM/YYYY").alias("date_input_format"),
+        F.lit(f"{kind.upper()}_FORMAT").alias("file_format"), F.lit("DD/MM/YYYY").alias("date_input_format"),
         F.lit("DD/MM/YYYY HH24:MI:SS").alias("timestamp_input_format"), F.lit(1).alias("skip_row_on_error"),
         F.lit(False).alias("delete_stage_by_file_name"), F.lit("UTC").alias("timezone"),
     )
-    declared = [("KEY", "order_key", 1, "VARCHAR", 40, 0, 0), ("Customer", "customer_id", 2, "NUMERIC", 0, 0, 0),
+    # headers match without case, names inside records as they are written
+    declared = [("KEY" if kind == "csv" else "Key", "order_key", 1, "VARCHAR", 40, 0, 0), ("Customer" if kind == "csv" else "customer", "customer_id", 2, "NUMERIC", 0, 0, 0),
                 ("price", "price", 3, "NUMERIC", 0, 18, 2), ("day", "order_day", 4, "DATE", 0, 0, 0)]
     field = F.explode(F.array(*[F.struct(*[F.lit(v) for v in d]) for d in declared])).alias("d")
     names = ["source_field_name", "target_field_name", "field_ordinal", "data_type_name", "data_type_length",
@@ -375,7 +374,7 @@ def staged_orders(spark, sf_dir):
         F.concat(F.lit("orders_"), "source_feed_code").alias("dataset_name"), "source_system_code", "source_feed_code",
         F.lit("").alias("container_name"),
         F.concat(F.lit("/in/status="), "source_feed_code", F.lit("/month=m-|:YYYYMMDD:|/")).alias("file_path"),
-        F.lit("*.csv").alias("file_name"), F.lit(True).alias("is_enabled"), F.lit(False).alias("is_trigger_file"),
+        F.lit(f"*.{kind}").alias("file_name"), F.lit(True).alias("is_enabled"), F.lit(False).alias("is_trigger_file"),
         F.lit(True).alias("allow_reload"), F.lit(False).alias("is_cloud_copy"), F.lit(True).alias("allow_infer_schema"),
         F.col("source_feed_code").alias("entity_code"), none.alias("department_code"), none.alias("region"),
         none.alias("market"), none.alias("expected_stage_time"), none.alias("warehouse_size"),
@@ -386,7 +385,7 @@ def staged_orders(spark, sf_dir):
     catalog = dataset_catalog(parameters, feed_rollup(field_catalog(files, fields, "DVLP_SALES")))
     as_of = F.lit("2002-01-01 00:00:00").cast("timestamp")
     expected = at_cob(with_cobs(catalog, days, as_of, days=3000))
-    manifest = manifest_of(list_files(spark, f"{root}/in", r"[.]csv$"), root)
+    manifest = manifest_of(list_files(spark, f"{root}/in", rf"[.]{kind}$"), root)
     # the files' charset is one of the JVM's
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     options = StageOptions(root, f"{root}/out", f"{root}/log", allow_create=True)
@@ -399,9 +398,17 @@ def staged_orders(spark, sf_dir):
     )
 
 
+def staged_json(spark, sf_dir):
+    return staged_orders(spark, sf_dir, "json")
+
+
+def staged_parquet(spark, sf_dir):
+    return staged_orders(spark, sf_dir, "parquet")
+
+
 SQL_STAGED_ORDERS = """
 SELECT 'k' || o_orderkey AS order_key, o_custkey AS customer_id, CASE WHEN o_totalprice > 1000 THEN o_totalprice END AS price,
-       CAST(o_orderdate AS DATE) AS order_day, 'a "b", ' || o_orderpriority AS note, o_orderstatus AS entity_code,
+       CAST(o_orderdate AS DATE) AS order_day, 'a "b",' || chr(10) || o_orderpriority AS note, o_orderstatus AS entity_code,
        'orders_' || o_orderstatus AS dataset_name
 FROM orders"""
 
@@ -435,6 +442,8 @@ QUERIES = {
     "file_listing": file_listing,
     "list_storage": storage_listing,
     "stage_files": staged_orders,
+    "stage_json": staged_json,
+    "stage_parquet": staged_parquet,
     "stream_ingest": stream_ingest,
 }
 
@@ -452,5 +461,7 @@ ORACLES = {
     "file_listing": SQL_FILE_LISTING,
     "list_storage": SQL_STORAGE_LISTING,
     "stage_files": SQL_STAGED_ORDERS,
+    "stage_json": SQL_STAGED_ORDERS,
+    "stage_parquet": SQL_STAGED_ORDERS,
     "stream_ingest": SQL_STREAM_INGEST,
 }

@@ -159,3 +159,9 @@ def literal_anchor(folder) -> Column:
     return F.when(
         ~F.rlike(folder, F.lit("[%_]")), folder
     ).otherwise(F.regexp_extract(folder, "^((?:/|[^%_/]+/)*)", 1))
+
+
+def depth(path) -> Column:
+    """Slashes in a path: how deep a folder lies."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))

@@ -3,8 +3,8 @@
 A window over one group would put the whole group into one task. Here equal
 values are counted first (partial aggregation collapses repeats), the distinct
 values of a group are cut into value-ordered buckets, and ranks are running
-counts inside a bucket plus the counts of the buckets before it. The number of
-buckets per group is bounded by the width of a double, not by the data.
+counts inside a bucket plus the counts of the buckets before it. The limits of the
+buckets are quantiles of the group's own distinct values.
 """
 
 from __future__ import annotations
@@ -14,24 +14,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PER_DOUBLING = 256
+#: Buckets of a group; their limits are quantiles of the group's distinct values.
+BUCKETS = 128
 
 
-def _bucket(value: Column) -> Column:
-    """Order-preserving bucket number; NULL sorts after every value."""
-    size = F.floor(F.log2(F.abs(value) + 1) * _PER_DOUBLING)
-    return F.coalesce(F.when(value < 0, -size).otherwise(size), F.lit(1 << 40))
+def _bucketed(counted: DataFrame, group: list[str], value: str) -> DataFrame:
+    """``counted`` with an order-preserving ``_bucket``; NULL has the last one. The buckets of a group hold about
+    equally many distinct values, wherever these lie."""
+    number = F.col(value).cast("double")
+    shares = [i / BUCKETS for i in range(1, BUCKETS)]
+    limits = counted.groupBy(*group).agg(F.percentile_approx(number, shares, 20 * BUCKETS).alias("_limits"))
+    limits = limits.withColumnsRenamed({g: f"_g_{g}" for g in group})
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    place = F.size(F.filter(F.array_distinct(F.coalesce("_limits", F.array().cast("array<double>"))), lambda x: x < number))
+    bucket = F.when(number.isNull(), BUCKETS).otherwise(place)
+    return counted.join(limits, same, "left").withColumn("_bucket", bucket).drop("_limits", *[f"_g_{g}" for g in group])
 
 
 def value_ranks(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """One row per group and distinct value: ``n_at_value`` rows hold ranks
     ``first_rank .. last_rank`` of ``group_rows``, ascending, NULL last."""
     group = list(group)
-    counted = (
-        df.groupBy(*group, value)
-        .agg(F.count(F.lit(1)).alias("n_at_value"))
-        .withColumn("_bucket", _bucket(F.col(value).cast("double")))
-    )
+    counted = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_at_value"))
+    counted = _bucketed(counted, group, value)
     inside = (
         Window.partitionBy(*group, "_bucket")
         .orderBy(F.col(value).asc_nulls_last())

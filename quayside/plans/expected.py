@@ -10,6 +10,7 @@ from quayside.functions.paths import (
     ancestors,
     cob_from_path,
     container_name,
+    depth,
     expand_source_path,
     expand_template,
     file_extension,
@@ -131,6 +132,8 @@ def match_datasets(files: DataFrame, expected: DataFrame, how: str = "inner") ->
         F.col("file_name_cob").alias("_name"),
         *[F.col(c) for c in expected.columns if c not in files.columns],
     )
+    # only ancestors of a depth that some dataset's folder has are shuffled, so the root is not a hot key
+    keyed = keyed.where(F.array_contains(datasets.agg(F.collect_set(depth("_a"))).scalar(), depth("_anchor")))
     on = (
         (F.col("cob_id") == F.col("_cob"))
         & (F.col("_container") == F.col("_c"))

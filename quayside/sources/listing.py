@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.paths import ancestors, folder_parts, slash_wrapped
+from quayside.functions.paths import ancestors, depth, folder_parts, slash_wrapped
 
 LISTING_KEYS = ["cob_id", "stage_name", "folder", "file_extension"]
 
@@ -68,7 +68,9 @@ def list_storage(listing: DataFrame, expected: DataFrame, stage_url, as_of: Colu
         .withColumn("_parts", folder_parts(F.regexp_extract("file_path", "^(.*/)?[^/]*$", 1)))
         .withColumn("_folder", F.explode(ancestors("_parts")))
     )
-    files = files.select("_folder", *listing.columns, "file_path")
+    # only ancestors of a depth that some expected folder has are shuffled, so the root is not a hot key
+    depths = wanted.agg(F.collect_set(depth("_folder"))).scalar()
+    files = files.where(F.array_contains(depths, depth("_folder"))).select("_folder", *listing.columns, "file_path")
     # the listing pattern is <folder>.*.<extension>: one more character, then the extension
     reaches = (
         F.endswith(F.col("file_path"), F.col("file_extension"))

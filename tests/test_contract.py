@@ -35,11 +35,6 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,F))" in plan
 
 
-def test_samples_are_cut_before_the_shuffle(spark):
-    plan = QUERIES["profile_delimited"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
-    assert "WindowGroupLimit" in plan
-
-
 def test_expected_cob_filter_runs_before_the_paths_are_built(spark):
     df = QUERIES["expected_datasets"](spark, SF).where("cob_id = 20010105")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
