@@ -290,7 +290,7 @@ def _supplier_datasets(spark, sf_dir):
 def expected_datasets(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     as_of = F.lit("2001-06-30").cast("date")
-    out = at_cob(with_cobs(_supplier_datasets(spark, sf_dir), _order_calendar(orders), as_of))
+    out = at_cob(with_cobs(_supplier_datasets(spark, sf_dir), _order_calendar(orders), as_of, days=180))
     return out.select(
         "dataset_name", "cob_id", "stage_name", "file_extension", "file_name_no_extension", "source_file_name_pattern",
         "folder_pattern_cob", "folder_path_cob", "file_name_cob", "folder_pattern",

@@ -226,7 +226,7 @@ def load_status(spark, sf_dir):
         F.when(F.col("user_id") > 20, "09:00:00").alias("expected_stage_time"),
     )
     report = status.load_status(
-        log, _event_calendar(events), catalog, loads.outlier_bounds(finished), F.lit(_AS_OF).cast("timestamp")
+        log, _event_calendar(events), catalog, loads.outlier_bounds(finished), F.lit(_AS_OF).cast("timestamp"), horizon=180
     )
     return report.select(
         "staging_log_id", "cob_id", "stage_status", "dataset_name", "log_file_path", "log_file_name",
@@ -393,7 +393,7 @@ def date_dimension(spark, sf_dir):
     """The 730 days up to the last shipment, with the lines shipped on each."""
     lineitem = table(spark, sf_dir, "lineitem")
     per_day = lineitem.groupBy(F.to_date("l_shipdate").alias("date")).agg(F.count(F.lit(1)).alias("n_lines"))
-    dimension = usage.date_dimension(per_day.agg(F.max("date").alias("last_day")))
+    dimension = usage.date_dimension(per_day.agg(F.max("date").alias("last_day")), days=730)
     return dimension.join(per_day, "date", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
 
 

@@ -20,7 +20,7 @@ from quayside.plans.stage import StageOptions, manifest_of, stage_files, table_p
 from quayside.session import scratch_path
 from quayside.sources.formats import FORMATS
 from quayside.sources.listing import list_files, list_storage
-from quayside.sources.scan import BLOCK, PATH, SEQ, marked_lines, number_rows, read_named
+from quayside.sources.scan import BLOCK, PATH, ROW, SEQ, marked_lines, number_rows, read_named
 from quayside.sources.sinks import append_load, not_yet_loaded, reload_by_dataset, reload_by_file
 from quayside.streaming.ingest import file_stream, ingest
 
@@ -266,7 +266,7 @@ FROM c"""
 def row_numbers(spark, sf_dir):
     """Row numbers given to every line of the line item file, summed up."""
     lines = number_rows(read_named(spark, f"{sf_dir}/lineitem.parquet", FORMATS["PARQUET_FORMAT"]).select(
-        "l_orderkey", PATH, BLOCK, SEQ
+        "l_orderkey", PATH, BLOCK, SEQ, ROW
     ))
     return lines.groupBy(F.regexp_extract(PATH, "([^/]+)[.]parquet", 1).alias("file")).agg(
         F.count(F.lit(1)).alias("n_rows"),

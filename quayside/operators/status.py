@@ -39,7 +39,7 @@ def load_status(
     catalog: DataFrame,
     bounds: DataFrame,
     as_of: Column,
-    horizon: int = 180,
+    horizon: int,
 ) -> DataFrame:
     """One row per load whose COB is a calendar day.
 

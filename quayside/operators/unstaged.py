@@ -101,7 +101,7 @@ def cob_range(df: DataFrame, k: int) -> DataFrame:
     return last_cobs(df, k).agg(F.min("cob_id").alias("cob_start"), F.max("cob_id").alias("cob_end"))
 
 
-def retry_set(unstaged: DataFrame, listing: DataFrame, k: int = 5) -> DataFrame:
+def retry_set(unstaged: DataFrame, listing: DataFrame, k: int) -> DataFrame:
     """Unstaged files of the ``k`` latest listed COBs, as staging arguments."""
     span = cob_range(listing.where("flag_last_version"), k)
     first, last = span.select("cob_start").scalar(), span.select("cob_end").scalar()

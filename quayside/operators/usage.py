@@ -38,7 +38,7 @@ UNKNOWN_SIZE = "Unknow"
 _TIB = float(1024**4)
 
 
-def date_dimension(as_of: DataFrame, days: int = 730) -> DataFrame:
+def date_dimension(as_of: DataFrame, days: int) -> DataFrame:
     """The ``days`` days up to and including a date. ``as_of`` is a one-row,
     one-column DataFrame holding that date."""
     last = F.col(as_of.columns[0])

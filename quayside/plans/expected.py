@@ -29,7 +29,7 @@ from quayside.plans.catalog import FEED_KEYS
 _SCOPE = ["entity_code", "department_code", "region", "market"]
 
 
-def latest_cobs(calendar: DataFrame, as_of: Column, days: int = 180) -> DataFrame:
+def latest_cobs(calendar: DataFrame, as_of: Column, days: int) -> DataFrame:
     """The ``days`` latest calendar COBs up to a date."""
     return (
         calendar.where(F.col("my_date") <= as_of.cast("date")).select("cob_id").orderBy(F.desc("cob_id")).limit(days)
@@ -80,7 +80,7 @@ def at_cob(datasets: DataFrame, cob: str = "cob_id") -> DataFrame:
     )
 
 
-def with_cobs(catalog: DataFrame, calendar: DataFrame, as_of: Column, days: int = 180) -> DataFrame:
+def with_cobs(catalog: DataFrame, calendar: DataFrame, as_of: Column, days: int) -> DataFrame:
     """Each dataset once per latest COB and once for the static COB. The COB list
     (at most ``days`` + 1 numbers) is a scalar subquery, so there is no join."""
     cobs = latest_cobs(calendar, as_of, days).agg(F.array_agg("cob_id").alias("c")).scalar()
@@ -89,7 +89,7 @@ def with_cobs(catalog: DataFrame, calendar: DataFrame, as_of: Column, days: int
 
 
 def expected_datasets(
-    parameters: DataFrame, rollup: DataFrame, calendar: DataFrame, as_of: Column, days: int = 180
+    parameters: DataFrame, rollup: DataFrame, calendar: DataFrame, as_of: Column, days: int
 ) -> DataFrame:
     """Every enabled dataset with its expected folder and file for each COB."""
     return at_cob(with_cobs(dataset_catalog(parameters, rollup), calendar, as_of, days))

@@ -13,7 +13,7 @@ from quayside.sources.listing import list_files, list_storage
 
 
 def list_latest(
-    spark: SparkSession, root: str, expected: DataFrame, log: DataFrame, as_of: Column, k: int = 3
+    spark: SparkSession, root: str, expected: DataFrame, log: DataFrame, as_of: Column, k: int
 ) -> DataFrame:
     """List the folders expected for the ``k`` latest loaded COBs."""
     span = cob_range(log, k)
@@ -24,7 +24,7 @@ def list_latest(
 
 
 def list_and_retry(
-    spark: SparkSession, listing: DataFrame, expected: DataFrame, options: StageOptions, as_of: Column, k: int = 5
+    spark: SparkSession, listing: DataFrame, expected: DataFrame, options: StageOptions, as_of: Column, k: int
 ) -> DataFrame:
     """Stage the unstaged files of the ``k`` latest listed COBs again."""
     log = current_log(spark, options.log_path)

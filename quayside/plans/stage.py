@@ -37,6 +37,7 @@ from quayside.sources.scan import (
     BLOCK,
     CORRUPT,
     PATH,
+    ROW,
     SEQ,
     header_lines,
     matching,
@@ -160,7 +161,7 @@ def _by_header(spark, paths, header, fmt, fields, formats, options, known) -> Da
 def _undeclared(raw: DataFrame, fields: list[Field], known: set[str] | None, options: StageOptions) -> list[Field]:
     """Columns of a JSON or Parquet scan that no field declares: text is typed by all its rows, other types stay."""
     declared = {f.source_name.strip().upper() for f in fields}
-    loose = [c for c in raw.columns if c not in (PATH, BLOCK, SEQ, CORRUPT) and c.strip().upper() not in declared]
+    loose = [c for c in raw.columns if c not in (PATH, BLOCK, SEQ, ROW, CORRUPT) and c.strip().upper() not in declared]
     targets = raw.sparkSession.range(1).select(*[inferred_name(F.lit(c)).alias(f"n{i}") for i, c in enumerate(loose)]).first()
     named = list(zip(loose, targets, strict=True))
     if known is not None and not options.allow_create:
@@ -192,6 +193,8 @@ def read_feed(spark, paths: Sequence[str], feed: Row, options: StageOptions, kno
         feed["timezone"] or Formats.timezone,
     )
     keep = [PATH, BLOCK, SEQ]
+    if fmt.kind == "parquet":
+        keep.append(ROW)
     if fmt.kind == "csv":
         df = _delimited(spark, paths, fmt, fields, formats, options, known)
     elif fmt.kind == "text":
@@ -243,7 +246,7 @@ def _with_lineage(df: DataFrame, dataset: Row, options: StageOptions, as_of: Col
 def _shape_to_table(df: DataFrame, path: str, table: str, options: StageOptions) -> tuple[DataFrame, str]:
     """Fit the rows to the target's columns, creating or widening it if allowed."""
     spark = df.sparkSession
-    helpers = [PATH, BLOCK, SEQ, BAD]
+    helpers = [PATH, BLOCK, SEQ, ROW, BAD]
     fresh = [c for c in df.columns if c not in helpers]
     stored = read_table(spark, path)
     if stored is None:

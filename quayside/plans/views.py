@@ -20,6 +20,11 @@ TABLES = [
 ]
 
 
+# COBs of how many days the reports look back on, and days of the date dimension.
+COB_DAYS = 180
+DIMENSION_DAYS = 730
+
+
 def build_views(tables: Mapping[str, DataFrame], database: str, as_of: Column, is_production: bool = False) -> dict[str, DataFrame]:
     """Every view whose tables are given. Names carry the prefix ``vw_``."""
     t, out = dict(tables), {}
@@ -33,18 +38,18 @@ def build_views(tables: Mapping[str, DataFrame], database: str, as_of: Column, i
         if have("stage_me_parameters"):
             out["vw_overall_config"] = overall_config(catalog, t["stage_me_parameters"])
         if have("stage_me_parameters", "calendar"):
-            expected = expected_datasets(t["stage_me_parameters"], rollup, t["calendar"], as_of)
+            expected = expected_datasets(t["stage_me_parameters"], rollup, t["calendar"], as_of, COB_DAYS)
             out["vw_expected_datasets"] = expected
             if have("load_log", "outlier_bounds"):
                 datasets = dataset_catalog(t["stage_me_parameters"], rollup)
-                out["vw_load_status"] = load_status(t["load_log"], t["calendar"], datasets, t["outlier_bounds"], as_of)
+                out["vw_load_status"] = load_status(t["load_log"], t["calendar"], datasets, t["outlier_bounds"], as_of, COB_DAYS)
             if have("load_log", "file_listing"):
                 out["vw_unstaged_files"] = unstaged_files(t["file_listing"], expected, t["load_log"], as_of, is_production)
     if have("load_log"):
         finished = loads.with_load_totals(t["load_log"]).select("dataset_name", "rows_loaded", "process_status")
         out["vw_outlier_bounds"] = loads.outlier_bounds(finished)
         today = t["load_log"].sparkSession.range(1).select(as_of.cast("date").alias("today"))
-        out["vw_date_dimension"] = usage.date_dimension(today)
+        out["vw_date_dimension"] = usage.date_dimension(today, DIMENSION_DAYS)
     reports = {
         "pipe_history": [("vw_pipe_usage", usage.pipe_usage)],
         "storage_usage": [("vw_storage_monthly", usage.storage_monthly)],

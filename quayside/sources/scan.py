@@ -12,6 +12,8 @@ from quayside.sources.formats import FileFormat
 
 # Lineage helper columns every scan carries.
 PATH, BLOCK, SEQ, CORRUPT = "_path", "_block", "_seq", "_corrupt"
+# the row's place in its file, where the reader knows it (Parquet)
+ROW = "_row"
 
 _CHARSETS = "spark.sql.legacy.javaCharsets"
 _PLAIN_CHARSETS = {"UTF-8", "US-ASCII", "ISO-8859-1"}
@@ -26,9 +28,10 @@ def _allow_charset(spark: SparkSession, encoding: str) -> None:
         raise ValueError(f"reading {encoding} needs {_CHARSETS}=true in the session")
 
 
-def _with_lineage(df: DataFrame) -> DataFrame:
+def _with_lineage(df: DataFrame, rows: bool = False) -> DataFrame:
     return df.select(
         "*",
+        *([F.col("_metadata.row_index").alias(ROW)] if rows else []),
         F.col("_metadata.file_path").alias(PATH),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(SEQ),
@@ -91,7 +94,7 @@ def read_named(
         # the reader refuses to serve this column alone, so it is tied to a data column
         other = next(c for c in df.columns if c != CORRUPT)
         df = df.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).when(F.length(f"`{other}`") < 0, F.col(f"`{other}`")))
-    return _with_lineage(df)
+    return _with_lineage(df, rows=fmt.kind == "parquet")
 
 
 def matching(df: DataFrame, regex: str) -> DataFrame:
@@ -110,8 +113,8 @@ def split_stats(df: DataFrame, **measures) -> DataFrame:
 
 
 def number_rows(df: DataFrame, into: str = "file_row_number", splits: DataFrame | None = None) -> DataFrame:
-    """1-based row number within each file, in file order, without a shuffle of
-    the rows and however large a file is.
+    """1-based row number within each file, in file order, however large a file is.
+    Parquet knows its row numbers; for lines they come from the splits.
 
     The sequence number of a row counts the rows its task has read, so its place
     in a split is the distance to the first sequence number of that split; the
@@ -120,6 +123,8 @@ def number_rows(df: DataFrame, into: str = "file_row_number", splits: DataFrame
     same scan. Should the two passes be cut into tasks differently, some row of a
     moved split falls outside its recorded range and the job fails.
     """
+    if ROW in df.columns:
+        return df.withColumn(into, F.col(ROW) + 1).drop(ROW)
     before = Window.partitionBy(PATH).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (splits if splits is not None else split_stats(df)).select(
         PATH, BLOCK, "_first", "_last", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")

@@ -266,12 +266,12 @@ def test_unstaged_rules(spark):
     assert rows_of(out.select("file_name")) == [("new.csv",), ("retryable.csv",), ("stale.csv",)]
     row = out.where("file_name = 'new.csv'").first()
     assert (row["folder_path"], row["container_name"], row["task_name"]) == ("/in/", "sales", "_in_new20240110")
-    assert unstaged.retry_set(out, listing).count() == 3
+    assert unstaged.retry_set(out, listing, 5).count() == 3
 
 
 def test_usage_edges(spark):
     history = spark.createDataFrame([(1, "PROD_DW_LOAD_WH"), (1, "PROD_DW_LOAD_WH"), (2, "INT_X_2XL"), (3, "ODD")], "warehouse_id int, warehouse_name string")
     got = rows_of(usage.compute_clusters(history, ("LOAD",)).select("warehouse_id", "warehouse_name", "warehouse_size", "environment_code"))
     assert got == [(1, "PROD_DW_LOAD_WH_XS", "X-Small", "PROD"), (2, "INT_X_2XL", "2X-Large", "INT_"), (3, "ODD", "Unknow", "ODD")]
-    days = usage.date_dimension(spark.sql("SELECT date '2024-03-01' AS d"))
+    days = usage.date_dimension(spark.sql("SELECT date '2024-03-01' AS d"), 730)
     assert days.count() == 730 and days.agg(F.min("date")).first()[0] == dt.date(2022, 3, 3)

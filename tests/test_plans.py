@@ -124,7 +124,7 @@ def test_match_is_the_theta_join(spark, config):
         [param_row("plain"), param_row("wild", "/i_/|:YYYYMMDD:|/", "F?_|:YYYYMMDD:|*".replace("?", "")),
          param_row("boxed", container="sales"), param_row("root", "/", "*.csv"), param_row("static", "/in/", "s.csv")],
     )
-    exp = expected.at_cob(expected.with_cobs(cat, days, F.lit(dt.date(2024, 1, 31))))
+    exp = expected.at_cob(expected.with_cobs(cat, days, F.lit(dt.date(2024, 1, 31)), 180))
     files = spark.createDataFrame(
         [("in/20240105/sub/", "f1.csv", ""), ("/IX//20240105", "fa20240105.csv", None), ("in/20240105", "F2.CSV", "test1-sales"),
          ("in", "s.csv", ""), ("other/20240105", "f1.csv", ""), ("", "q.csv", "")],
@@ -143,7 +143,7 @@ def test_upload_plan(spark, config):
     days = calendar.calendar(span(spark, "2024-01-01", "2024-01-31"), spark.createDataFrame([], "d date"))
     files = [file_row(path="//srv/|:ENVIRONMENT:|/|:YYYYMM:|/"), file_row("none"), file_row("off", path="p", enabled=False)]
     cat = config(files, [], [param_row("b", file="b.csv"), param_row("a", file="a_|:YYYYMMDD:|.csv"), param_row("n", feed="none"), param_row("o", feed="off")])
-    exp = expected.at_cob(expected.with_cobs(cat, days, F.lit(dt.date(2024, 1, 31))))
+    exp = expected.at_cob(expected.with_cobs(cat, days, F.lit(dt.date(2024, 1, 31)), 180))
     out = expected.upload_plan(spark.createDataFrame(files, FILE), exp, 20240105, "INT_SALES").collect()
     assert len(out) == 1
     assert out[0]["file_detail"] == '{"source_file_path":"//srv/int/202401/","destination_file_path":"/in/20240105/","file_list":["a_20240105.csv","b.csv"]}'

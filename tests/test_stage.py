@@ -28,7 +28,7 @@ class Site:
         self.catalog = expected.dataset_catalog(pm, catalog.feed_rollup(catalog.field_catalog(fl, fd, "DVLP_SALES")))
         ends = spark.sql("SELECT date '2024-01-01' AS a, date '2024-01-31' AS z")
         self.calendar = calendar.calendar(ends, spark.createDataFrame([], "d date"))
-        self.expected = expected.at_cob(expected.with_cobs(self.catalog, self.calendar, F.lit(AS_OF)))
+        self.expected = expected.at_cob(expected.with_cobs(self.catalog, self.calendar, F.lit(AS_OF), 180))
         self.options = StageOptions(f"{self.root}/in", f"{self.root}/out", f"{self.root}/log", **{"allow_create": True, **options})
 
     def write(self, name, text, encoding="windows-1252"):
@@ -228,13 +228,13 @@ def test_monitoring_loop(spark, tmp_path):
     site.write("in/20240105/f2.csv", "Id,Note\n2,b\n")
     site.stage("f1")
     log = current_log(spark, site.options.log_path)
-    report = status.load_status(log, site.calendar, site.catalog, loads.outlier_bounds(loads.with_load_totals(log)), F.lit(AS_OF)).first()
+    report = status.load_status(log, site.calendar, site.catalog, loads.outlier_bounds(loads.with_load_totals(log)), F.lit(AS_OF), 180).first()
     assert report["staging_progress"] == "Staging finished" and report["kpi_expected_end"] == "Overdue"
     assert report["expected_staging_timestamp"] == dt.datetime(2024, 1, 8, 9) and report["folder_path_cob"] == "/in/20240105/"
     later = dt.datetime(2124, 1, 1)
-    listed = monitor.list_latest(spark, f"file:{site.root}/in", site.expected, log, F.lit(later)).withColumn("flag_last_version", F.lit(True))
+    listed = monitor.list_latest(spark, f"file:{site.root}/in", site.expected, log, F.lit(later), 3).withColumn("flag_last_version", F.lit(True))
     assert listed.where("name IS NOT NULL").count() == 2 and listed.where("name IS NULL").count() == 1
-    monitor.list_and_retry(spark, listed, with_literal_names(site.expected, "f2.csv"), site.options, F.lit(later))
+    monitor.list_and_retry(spark, listed, with_literal_names(site.expected, "f2.csv"), site.options, F.lit(later), 5)
     state = {r["process_parameters"]["file_name"]: r["process_status"] for r in current_log(spark, site.options.log_path).collect()}
     assert state == {"f1.csv": "SUCCESS", "f2.csv": "SUCCESS"}
     assert site.rows("STAGING.SYS_T", "T_Id") == [(2,)]
