@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 1 << 20
-#: Rows of a few numbers (about 40 MB) up to which a table is broadcast.
-BROADCAST_ROWS = 500_000
+#: Rows of a few numbers (about 20 MB) up to which a table is broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,10 +6,12 @@ value are kept, so one evaluation gives two nearly independent signature values.
 1e-5 (3e-7 for large sets), and every shared band makes it a candidate; nothing else is dropped.
 
 Documents with equal sets form a class first and one of them stands for it. Inside a bucket (the documents that share a
-band) not all pairs are made: first each document is held against the smallest document of its buckets, then each
-bucket whose documents are in several components against its smallest one, then against its 8, 64, ... smallest ones,
-always leaving out pairs that are in one component already or were judged. This goes on until no pair is left, so every
-link between components is found, while a bucket of thousands of copies costs one pair for each.
+band) not all pairs are made. The weight of a document is the size of its buckets, summed; the original of many copies
+is the heaviest, because the copies share more bands with it than with each other. First each document is held against
+the heaviest document of its buckets, then each bucket whose documents are in several components against its heaviest
+one, then against its 8, 64, ... heaviest ones, always leaving out pairs that are in one component already, were judged,
+or cannot be similar enough by what each has in common with the same hub. This goes on until no pair is left, so every link between components is found, while a bucket of thousands of
+copies costs one pair for each.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import arrow_map, checkpointed, chunks, components, constants, mix, shingles, small, stored, text_bytes, words
@@ -83,22 +85,35 @@ def _sketch(df: DataFrame, size: int) -> DataFrame:
 
 
 def _judge(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough. The texts come by two joins on an id; a document that many
-    pairs hold is a skewed key of the left side, which Spark splits."""
+    """(a, b, common, linked) of the pairs (a, b): common shingles, and whether the sets are similar enough. The texts
+    come by two joins on an id; a document that many pairs hold is a skewed key of the left side, which Spark splits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left = shingle_sets(*text_bytes(batch.column(2)), size)
             right = shingle_sets(*text_bytes(batch.column(3)), size)
-            keep = []
+            common, linked = [], []
             for x, y in zip(left, right, strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                common.append(both)
+                linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            arrays = [*batch.columns[:2], pa.array(common, pa.int64()), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "common", "linked"])
 
     one = texts.join(small(pairs), F.col("id") == F.col("b")).select("a", "b", F.col("text").alias("t"))
     two = one.join(texts, F.col("id") == F.col("a")).select("a", "b", "t", "text")
-    return arrow_map(two, run, "a long, b long").distinct()
+    every = arrow_map(two, run, "a long, b long, common long, linked boolean")
+    return every.groupBy("a", "b").agg(F.max("common").alias("common"), F.max("linked").alias("linked"))
+
+
+def _possible(x: Column, y: Column, percent: int) -> Column:
+    """Whether two documents of different components can be similar enough, by exact bounds: their sizes, and if they
+    were held against the same hub, what they have in common with it. Shingles they share are in the hub (no more than
+    either has there) or outside of it (no more than either has outside)."""
+    sizes = 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])
+    common = F.least(x["o"], y["o"]) + F.least(x["n"] - x["o"], y["n"] - y["o"])
+    bound = 100 * common >= percent * (x["n"] + y["n"] - common)
+    return (x["c"] != y["c"]) & sizes & F.coalesce((x["hub"] != y["hub"]) | bound, F.lit(True))
 
 
 def near_duplicates(
@@ -118,45 +133,50 @@ def near_duplicates(
     classes = sketch.where("n > 0 and id is not null").groupBy("n", "hi", "lo")
     classes = stored(classes.agg(F.min("id").alias("node"), F.min_by("bands", "id").alias("bands")), "near-dup-classes")
     member = classes.select("node", "n", F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
-    member = stored(member.join(shared.select("band", "hub"), "band").select("band", "node", "n", "hub"), "near-dup-members")
+    shared = member.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("m"))
+    member = stored(member.join(shared.where("x < y").select("band", "m"), "band"), "near-dup-buckets")
+    weight = member.groupBy("node").agg(F.sum("m").alias("weight"))
+    member = stored(member.join(weight, "node").select("band", "node", "n", "weight"), "near-dup-members")
     nodes = small(member.select(F.col("node").alias("id")).distinct())
     texts = stored(rows.join(nodes, "id", "left_semi"), "near-dup-texts")
 
-    def fits(a: str, b: str) -> str:
-        """Sets of such sizes can be similar enough."""
-        return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
-
-    first = member.where("node > hub").groupBy("node").agg(F.min("hub").alias("hub"))
-    pairs = checkpointed(first.select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    place = F.struct("weight", -F.col("node"))  # the heaviest, of equal ones the smallest id
+    hub = member.groupBy("band").agg(F.max(place).alias("h"))
+    first = member.join(hub, "band").where(F.col("node") != -F.col("h.col2")).groupBy("node").agg(F.max("h").alias("h"))
+    first = checkpointed(first.select("node", (-F.col("h.col2")).alias("hub")))
+    pairs = checkpointed(first.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
     judged, links, labels, hubs = pairs, None, None, 0
     while True:
         if not pairs.isEmpty():
-            linked = checkpointed(_judge(pairs, texts, words_in_shingle, percent))
+            result = checkpointed(_judge(pairs, texts, words_in_shingle, percent))
+            linked = result.where("linked").select("a", "b")
             links = linked if links is None else links.unionByName(linked)
             if hubs == 0 or not linked.isEmpty():
                 labels = checkpointed(components(links))
         if labels is None:
             break
+        if hubs == 0:
+            # what each document has in common with its hub; not for an id with several texts
+            single = classes.groupBy("node").count().where("count = 1").select("node")
+            same = (F.col("a") == F.least("node", "hub")) & (F.col("b") == F.greatest("node", "hub"))
+            base = checkpointed(first.join(result, same).join(single, "node").select("node", "hub", F.col("common").alias("o")))
         # buckets whose documents are in several components
         here = member.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
         several = here.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("m")).where("x < y")
-        here = here.join(several.select("band", "m"), "band")
-        if hubs == 0:
-            hubs = 1
-            hub = here.where("node = hub").groupBy("band").agg(F.min("node").alias("a"), F.min("c").alias("ac"), F.min("n").alias("an"))
-            other = here.select("band", F.col("node").alias("b"), F.col("c").alias("bc"), F.col("n").alias("bn"))
-        else:
-            largest = several.agg(F.max("m")).first()[0] or 0
-            if hubs >= largest:
-                break
-            hubs *= 8
-            ranked = here.withColumn("r", F.row_number().over(Window.partitionBy("band").orderBy("node", "n")))
-            hub = ranked.where(F.col("r") <= hubs).select(
-                "band", F.col("node").alias("a"), F.col("c").alias("ac"), F.col("n").alias("an")
-            )
-            other = ranked.select("band", F.col("node").alias("b"), F.col("c").alias("bc"), F.col("n").alias("bn"))
-        fresh = other.join(hub, "band").where("a < b and ac <> bc").where(fits("an", "bn")).select("a", "b").distinct()
+        here = here.join(several.select("band", "m"), "band").join(base, "node", "left")
+        largest = several.agg(F.max("m")).first()[0] or 0
+        if hubs and hubs >= largest:
+            break
+        before, hubs = hubs, min(8 * hubs, hubs + 512) or 1
+        ranked = here.withColumn("r", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("weight"), "node", "n")))
+        ranked = ranked.select("band", "r", F.struct("node", "c", "n", "hub", "o").alias("d"))
+        new = ranked.where((F.col("r") > before) & (F.col("r") <= hubs)).groupBy("band").agg(F.collect_list("d").alias("hubs"))
+        # the possible hubs of a document's buckets, each once; what is impossible goes before the shuffle
+        able = F.transform(F.filter("hubs", lambda h: _possible(F.col("d"), h, percent)), lambda h: h["node"])
+        met = ranked.join(new, "band").select(F.col("d.node").alias("node"), able.alias("hubs")).where(F.size("hubs") > 0)
+        met = met.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("hubs"))).alias("hubs"))
+        met = met.select("node", F.explode("hubs").alias("h"))
+        fresh = met.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
         pairs = checkpointed(fresh.join(judged, ["a", "b"], "left_anti"))
         judged = judged.unionByName(pairs)
     of_class = classes.select("n", "hi", "lo", "node")
