@@ -13,8 +13,9 @@ shuffle. Of the documents in such a group the smallest and the largest id stand
 windows reach as far to the left or to the right of the node, and every other one is laid over these at the node (the
 intervals must overlap by WINDOW shingles). Pairs of documents are verified on the shingles: a passage is a run of
 WINDOW-shingle pieces that each share at least ``PERCENT`` of their shingles with the other document's piece beside it.
-Windows that no passage covers try again among themselves, without those that stood for their group, until a round
-finds nothing new. A group costs a few pairs for each member, whatever its size.
+Windows whose stretch of text is not all in passages try again among themselves, without those that stood for their
+group, as long as a round adds to what is known of them (each tries twice at least). A group costs a few pairs for
+each member and round, whatever its size.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map, checkpointed, chunks, components, constants, mix, shingles, small, stored, text_bytes, words
+from quayside.llm.common import arrow_map, chunks, components, constants, mix, shingles, small, stored, text_bytes, words
 
 SHINGLE = 5
 #: Shingles of the shortest passage; 46 five-word shingles are 50 words.
@@ -112,8 +113,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = _split(batch.column(3)), _split(batch.column(4))
         out: list[tuple] = []
         for a, b, own, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), regions, left, right, strict=True):
-            for lo, hi, shift in _merged(own):
-                out += [(a, b, p, q, p - shift, q - shift) for p, q in passages(x, y, lo, hi, shift)]
+            out += [(a, b, p, q, p - shift, q - shift) for p, q, shift in _verify(x, y, own)]
         columns = list(zip(*out, strict=True)) or [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"])
 
@@ -137,38 +137,42 @@ def _merged(regions: list[dict]) -> list[tuple[int, int, int]]:
 
 
 def passages(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Runs of places lo..hi of x (ends included) whose pieces are near-duplicates of y's pieces ``shift`` before."""
+    """Runs of places lo..hi of x (ends included) whose pieces are near-duplicates of y's pieces ``shift`` before. Pieces
+    of equal length w that have c places in common have the similarity c / (2 w - c)."""
     lo, hi = max(lo, 0, shift), min(hi, len(x) - 1, len(y) - 1 + shift)
     if hi - lo + 1 < window:
         return []
     own, other = x[lo : hi + 1], y[lo - shift : hi + 1 - shift]
-    # shingles common to both pieces, at least: those found in the other's whole region
-    inside = np.concatenate([[0], np.cumsum(np.isin(own, other))])
-    common = inside[window:] - inside[:-window]
-    good = 100 * common >= PERCENT * (2 * window - common)
-    out: list[tuple[int, int]] = []
-    starts = np.flatnonzero(good)
+    place = np.arange(len(own))
+    same = own == other
+    if same.all():
+        return [(lo, hi)]
+    # where each shingle stands in the other text: beside, or else at its first place, or nowhere
+    order = np.argsort(other, kind="stable")
+    at = np.searchsorted(other, own, sorter=order)
+    first = order[np.minimum(at, len(other) - 1)]
+    stands = np.where(same, place, np.where(other[first] == own, first, -1))
+    pieces = np.lib.stride_tricks.sliding_window_view(stands, window)
+    begin = place[: len(pieces), None]
+    common = ((pieces >= begin) & (pieces < begin + window)).sum(axis=1)
+    starts = np.flatnonzero(100 * common >= PERCENT * (2 * window - common))
     if not len(starts):
         return []
-    for run in _runs(starts):
-        p, q = int(run[0]), int(run[-1]) + window - 1
-        if _alike(own[p : q + 1], other[p : q + 1]):
-            out.append((lo + p, lo + q))
-            continue
-        each = [i for i in run if _alike(own[i : i + window], other[i : i + window])]
-        out += [(lo + int(r[0]), lo + int(r[-1]) + window - 1) for r in _runs(np.array(each, np.int64)) if len(r)]
+    runs = np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1)
+    return [(lo + int(r[0]), lo + int(r[-1]) + window - 1) for r in runs]
+
+
+def _verify(x: np.ndarray, y: np.ndarray, regions: list[dict]) -> list[tuple[int, int, int]]:
+    """(first, last, shift) of the passages in all regions. The longest region goes first; one that lies in a passage
+    already, in both texts, can add nothing."""
+    out: list[tuple[int, int, int]] = []
+    for lo, hi, shift in sorted(_merged(regions), key=lambda r: r[0] - r[1]):
+        known = any(p <= lo and hi <= q for p, q, _ in out) and any(p - s <= lo - shift and hi - shift <= q - s for p, q, s in out)
+        if not known:
+            out += [(p, q, shift) for p, q in passages(x, y, lo, hi, shift)]
     return out
 
 
-def _runs(places: np.ndarray) -> list[np.ndarray]:
-    return np.split(places, np.flatnonzero(np.diff(places) > 1) + 1)
-
-
-def _alike(x: np.ndarray, y: np.ndarray) -> bool:
-    both = len(np.intersect1d(x, y))
-    return 100 * both >= PERCENT * len(np.union1d(x, y))
-
-
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Passages of at least 50 words that occur nearly the same in another document: (spans, links).
 
@@ -188,7 +192,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = lambda c: F.shiftright(c, 42)
     node = lambda c: F.shiftright(c, 21).bitwiseAND((1 << 21) - 1)
     right = lambda c: F.col(c).bitwiseAND((1 << 21) - 1)
-    found, tried, open_windows = None, None, member
+    found, tried, open_windows = None, None, member.withColumn("known", F.lit(-1).cast("long"))
     while True:
         # the key alone, with how far the window reaches to the left, and to the right: each has its hubs
         near = F.array(F.lit(0), 2 * (node("at") - left("at")) + 1, 2 * (right("at") - node("at")) + 2)
@@ -223,16 +227,22 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = new if found is None else found.unionByName(new)
         if new.isEmpty():
             break
-        both = new.select(F.col("a").alias("id"), F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi"))
-        both = both.unionByName(new.select(F.col("b").alias("id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi")))
-        done = _united(both)
-        # a window is settled if a passage that was found covers it, or if it stood for its group
-        covered = open_windows.join(done, "id").where((F.col("lo") <= left("at")) & (right("at") <= F.col("hi")))
-        settled = covered.select("key", "id", "at").unionByName(hub.select("key", F.col("hub").alias("id"), F.col("hub_at").alias("at")))
-        open_windows = checkpointed(open_windows.join(settled.distinct(), ["key", "id", "at"], "left_anti"))
-    both = found.select(F.col("a").alias("id"), F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi"))
-    both = both.unionByName(found.select(F.col("b").alias("id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi")))
-    return _united(both), found.select("a", "b").distinct()
+        # how much of each window's stretch is in passages; a window stays while that grows and is not all of it,
+        # unless it stood for its group
+        stretch = right("at") - left("at") + 1
+        part = F.greatest(F.least("hi", right("at")) - F.greatest("lo", left("at")) + 1, F.lit(0))
+        covered = open_windows.join(_united(_both_sides(found)), "id", "left").groupBy("key", "id", "at", "known")
+        covered = covered.agg(F.coalesce(F.sum(part), F.lit(0)).alias("now")).where((F.col("now") > F.col("known")) & (F.col("now") < stretch))
+        stood = hub.select("key", F.col("hub").alias("id"), F.col("hub_at").alias("at")).distinct()
+        left_over = covered.select("key", "id", "at", F.col("now").alias("known")).join(stood, ["key", "id", "at"], "left_anti")
+        open_windows = stored(left_over, "passages-open")
+    return _united(_both_sides(found)), found.select("a", "b").distinct()
+
+
+def _both_sides(found: DataFrame) -> DataFrame:
+    """(id, lo, hi) of the passages of both documents of each pair."""
+    a = found.select(F.col("a").alias("id"), F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi"))
+    return a.unionByName(found.select(F.col("b").alias("id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi"))).distinct()
 
 
 def _united(spans: DataFrame) -> DataFrame:
