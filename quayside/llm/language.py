@@ -170,7 +170,7 @@ def _table(codes: list[int], base: int) -> np.ndarray:
     return table.reshape(-1).astype(np.int32)
 
 
-@lru_cache(2)
+@lru_cache(1)
 def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(samples)
 

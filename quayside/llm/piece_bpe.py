@@ -16,13 +16,16 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import arrow_map, with_id
 
-CACHE = 250_000
+CACHE = 150_000
+#: Texts of about so many characters make one output batch.
+BATCH_CHARS = 1 << 20
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -237,20 +240,29 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         if model is None:
             model = _models[key] = PieceBpe(pieces.value)
         for batch in batches:
-            n, hashes, decoded_hashes, decoded, out = [], [], [], [], []
-            for value in batch.column(1):
-                joined, count, back = model.both(value.as_py())
-                n.append(count)
-                hashes.append(hashlib.sha256(joined.encode()).hexdigest())
-                decoded_hashes.append(hashlib.sha256(back.encode()).hexdigest())
-                if ids:
-                    decoded.append(back)
-                    out.append([int(i) for i in joined.split(",")] if joined else [])
-            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded_hashes, pa.string())]
+            lo = size = 0
+            for hi, value in enumerate(batch.column(1), 1):
+                size += len(value.as_py() or "")
+                if size >= BATCH_CHARS or hi == batch.num_rows:
+                    yield encoded(model, batch.slice(lo, hi - lo))
+                    lo, size = hi, 0
+
+    def encoded(model: PieceBpe, batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, hashes, decoded_hashes, decoded, out = [], [], [], [], [np.zeros(0, np.int32)]
+        for value in batch.column(1):
+            joined, count, back = model.both(value.as_py())
+            n.append(count)
+            hashes.append(hashlib.sha256(joined.encode()).hexdigest())
+            decoded_hashes.append(hashlib.sha256(back.encode()).hexdigest())
             if ids:
-                arrays += [pa.array(decoded, pa.string()), pa.array(out, pa.list_(pa.int32()))]
-            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "decoded", "token_ids"]
-            yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
+                decoded.append(back)
+                out.append(np.array(joined.split(",") if joined else [], np.int32))
+        arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded_hashes, pa.string())]
+        if ids:
+            ends = pa.array(np.cumsum([0, *n]), pa.int32())
+            arrays += [pa.array(decoded, pa.string()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out)))]
+        names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", "decoded", "token_ids"]
+        return pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
 
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", decoded string, token_ids array<int>" if ids else ""
