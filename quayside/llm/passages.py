@@ -37,6 +37,8 @@ WINDOW = 46
 BANDS = 3
 FUNCTIONS = 2
 PERCENT = 80
+#: Runs that are taken together when the smallest value of each is looked for.
+BLOCK = 1 << 23
 
 _SEED = constants(53, BANDS * FUNCTIONS).reshape(BANDS, FUNCTIONS)
 _TERM = constants(59, FUNCTIONS)
@@ -50,19 +52,22 @@ def sequences(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.n
         yield lo, shingle, np.searchsorted(doc[at], np.arange(hi - lo + 1))
 
 
-def smallest(shingle: np.ndarray, seed: np.uint64, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """The hash values, and for each run of ``window`` shingles the place of its smallest one, of equal ones the first."""
-    n = len(shingle)
-    if n > 1 << 24:
-        raise ValueError("a text of more than 16 million words")
+def smallest(shingle: np.ndarray, seed: np.uint64, window: int = WINDOW, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """The hash values, and for each run of ``window`` shingles the place of its smallest one, of equal ones the first.
+    Runs are taken in blocks of ``block``, so that a place in a block and its end fits below the value's upper bits."""
     value = mix(shingle ^ seed)
+    found = [_smallest(value[i : i + block + window - 1], window) + i for i in range(0, len(value) - window + 1, block)]
+    return value, np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def _smallest(value: np.ndarray, window: int) -> np.ndarray:
     # the value's upper bits with the place below them
-    least, have = (value & np.uint64(0xFFFFFFFFFF000000)) | np.arange(n, dtype=np.uint64), 1
+    least, have = (value & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(value), dtype=np.uint64), 1
     while have < window:
         step = min(have, window - have)
         least = np.minimum(least[: len(least) - step], least[step:])
         have += step
-    return value, (least & np.uint64(0xFFFFFF)).astype(np.int64)
+    return (least & np.uint64(0xFFFFFF)).astype(np.int64)
 
 
 def compact_windows(shingle: np.ndarray, begin: np.ndarray, seeds: np.ndarray, window: int = WINDOW):
@@ -101,9 +106,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for band in range(BANDS):
                 text, key, left, node, right = compact_windows(shingle, begin, _SEED[band])
                 key = (key & np.uint64(0xFFFFFFFFFFFFFFF8)) | np.uint64(band)
-                out.append((ids[lo + text], key.view(np.int64), (left << 42) | (node << 21) | right))
+                out.append((ids[lo + text], key.view(np.int64), left, node, right))
             columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "at"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "left", "node", "right"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,16 +187,17 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are ignored; an empty table gives empty results."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("id is not null and text is not null")
-    windows = arrow_map(rows, _windows, "id long, key long, at long")
+    windows = arrow_map(rows, _windows, "id long, key long, left long, node long, right long")
     shared = windows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y")
-    member = stored(windows.join(shared.select("key"), "key").select("key", "id", "at"), "passages-windows")
+    places = F.struct("left", "node", "right").alias("at")
+    member = stored(windows.join(shared.select("key"), "key").select("key", "id", places), "passages-windows")
     nodes = small(member.select("id").distinct())
     texts = rows.join(nodes, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     texts = stored(texts, "passages-texts")
 
-    left = lambda c: F.shiftright(c, 42)
-    node = lambda c: F.shiftright(c, 21).bitwiseAND((1 << 21) - 1)
-    right = lambda c: F.col(c).bitwiseAND((1 << 21) - 1)
+    left = lambda c: F.col(c)["left"]
+    node = lambda c: F.col(c)["node"]
+    right = lambda c: F.col(c)["right"]
     found, tried, open_windows = None, None, member.withColumn("known", F.lit(-1).cast("long"))
     while True:
         # the key alone, with how far the window reaches to the left, and to the right: each has its hubs

@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,6 +198,18 @@ def test_every_exact_repeat_is_covered(spark):
     assert missed <= 0.01 * sum(len(t.split()) - 49 for t in texts)
 
 
+def test_windows_of_very_long_texts():
+    text = " ".join(map(str, range(2_150_000)))  # more than 2 ** 21 shingles
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], ["id", "text"])
+    (out,) = passages._windows(iter([batch]))
+    left, node, right = (out.column(c).to_numpy() for c in ("left", "node", "right"))
+    assert (left <= node).all() and (node <= right).all() and (right - left + 1 >= passages.WINDOW).all()
+    assert left.min() == 0 and right.max() == 2_150_000 - passages.SHINGLE
+    shingle = np.arange(3000, dtype=np.uint64) % np.uint64(700)
+    whole, parts = (passages.smallest(shingle, np.uint64(5), block=n)[1] for n in (1 << 23, 100))
+    assert len(whole) == 3000 - passages.WINDOW + 1 and (whole == parts).all()
+
+
 # ------------------------------------------------------------------ 5 language
 
 
