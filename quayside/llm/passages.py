@@ -9,13 +9,13 @@ the nodes that are the smallest of some run of WINDOW shingles, so one sliding m
 
 The windows of FUNCTIONS functions are intersected inside the document (an interval join of runs along the text), so
 that what is left has the same smallest values for all of them, and meet other documents' windows with these values by a
-shuffle. Of the documents in such a group the smallest and the largest id stand for it, likewise among those whose
-windows reach as far to the left or to the right of the node, and every other one is laid over these at the node (the
-intervals must overlap by WINDOW shingles). Pairs of documents are verified on the shingles: a passage is a run of
-WINDOW-shingle pieces that each share at least ``PERCENT`` of their shingles with the other document's piece beside it.
-Windows whose stretch of text is not all in passages try again among themselves, without those that stood for their
-group, as long as a round adds to what is known of them (each tries twice at least). A group costs a few pairs for
-each member and round, whatever its size.
+shuffle. Windows of equal content form a class first: if it has several documents they are exact repeats as a whole, and
+one window stands for it. Of the classes in such a group the first in the order of ids is the hub and every other one is
+laid over it at the node (the intervals must overlap by WINDOW shingles), then over the first 8, 64, ..., until each
+class has met every other. A pair is left out only if it can add nothing: its overlap lies in passages on both sides and
+its documents are in one component, or the same region was verified before. Pairs are verified on the shingles: a
+passage is a run of WINDOW-shingle pieces that each share at least ``PERCENT`` of their shingles with the other
+document's piece beside it. A group of many different classes whose overlaps stay uncovered costs a pair for each two.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map, chunks, components, constants, mix, shingles, small, stored, text_bytes, words
+from quayside.llm.common import _BASE_INVERSE, arrow_map, chunks, components, constants, mix, powers, shingles, small, stored, text_bytes, words
 
 SHINGLE = 5
 #: Shingles of the shortest passage; 46 five-word shingles are 50 words.
@@ -98,17 +98,28 @@ def compact_windows(shingle: np.ndarray, begin: np.ndarray, seeds: np.ndarray, w
     return text[new], mix(key), start[new] - base, nodes[0][new] - base, start[last] + window - 1 - base
 
 
+def content(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """A hash of the shingles from start to end (exclusive), of how many they are and of the node's place among them."""
+    back = powers(len(prefix), _BASE_INVERSE)
+    shape = (end - start).astype(np.uint64) * _TERM[0] + node.astype(np.uint64) * _TERM[1]
+    return mix(mix((prefix[end] - prefix[start]) * back[start]) + shape).view(np.int64)
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for lo, shingle, begin in sequences(*text_bytes(batch.column(1))):
             out = []
+            prefix = np.zeros(len(shingle) + 1, np.uint64)
+            np.cumsum(mix(shingle) * powers(len(shingle)), out=prefix[1:])
             for band in range(BANDS):
                 text, key, left, node, right = compact_windows(shingle, begin, _SEED[band])
                 key = (key & np.uint64(0xFFFFFFFFFFFFFFF8)) | np.uint64(band)
-                out.append((ids[lo + text], key.view(np.int64), left, node, right))
+                at = begin[text] + left
+                same = content(prefix, at, at + right - left + 1, node - left)
+                out.append((ids[lo + text], key.view(np.int64), left, node, right, same))
             columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "left", "node", "right"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "left", "node", "right", "same"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,62 +198,75 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are ignored; an empty table gives empty results."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("id is not null and text is not null")
-    windows = arrow_map(rows, _windows, "id long, key long, left long, node long, right long")
+    repeated = stored(rows.groupBy("id").count().where("count > 1").select("id"), "passages-repeated")
+    if not repeated.isEmpty():
+        several = rows.join(small(repeated), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+        rows = rows.join(small(repeated), "id", "left_anti").unionByName(several)
+    windows = arrow_map(rows, _windows, "id long, key long, left long, node long, right long, same long")
     shared = windows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y")
-    places = F.struct("left", "node", "right").alias("at")
-    member = stored(windows.join(shared.select("key"), "key").select("key", "id", places), "passages-windows")
-    nodes = small(member.select("id").distinct())
-    texts = rows.join(nodes, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    texts = stored(texts, "passages-texts")
-
-    left = lambda c: F.col(c)["left"]
-    node = lambda c: F.col(c)["node"]
-    right = lambda c: F.col(c)["right"]
-    found, tried, open_windows = None, None, member.withColumn("known", F.lit(-1).cast("long"))
-    while True:
-        # the key alone, with how far the window reaches to the left, and to the right: each has its hubs
-        near = F.array(F.lit(0), 2 * (node("at") - left("at")) + 1, 2 * (right("at") - node("at")) + 2)
-        sided = open_windows.select("key", "id", "at", F.explode(near).alias("side"))
-        hubs = sided.groupBy("key", "side").agg(F.min(F.struct("id", "at")).alias("x"), F.max(F.struct("id", "at")).alias("y"))
-        hubs = hubs.where("x.id < y.id").select("key", "side", F.explode(F.array("x", "y")).alias("h"))
-        hub = hubs.select("key", "side", F.col("h.id").alias("hub"), F.col("h.at").alias("hub_at"))
-        laid = sided.join(hub, ["key", "side"]).where("id <> hub")
-        shift = node("at") - node("hub_at")
-        lo = F.greatest(left("at"), left("hub_at") + shift)
-        hi = F.least(right("at"), right("hub_at") + shift)
-        laid = laid.select("id", "hub", lo.alias("lo"), hi.alias("hi"), shift.alias("shift"))
-        laid = laid.where(F.col("hi") - F.col("lo") + 1 >= WINDOW)
-        # one direction for each pair
-        swap = F.col("id") < F.col("hub")
-        laid = laid.select(
-            F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b"),
-            F.when(swap, F.col("lo") - F.col("shift")).otherwise(F.col("lo")).alias("lo"),
-            F.when(swap, F.col("hi") - F.col("shift")).otherwise(F.col("hi")).alias("hi"),
-            F.when(swap, -F.col("shift")).otherwise(F.col("shift")).alias("shift"),
-        )
-        pairs = laid.groupBy("a", "b").agg(F.collect_set(F.struct("lo", "hi", "shift")).alias("regions"))
+    member = stored(windows.join(shared.select("key"), "key"), "passages-windows")
+
+    # windows of equal content: exact repeats if they are in several documents
+    classes = member.groupBy("key", "same").agg(F.min(F.struct("id", "left", "node", "right")).alias("r"), F.max("id").alias("y"))
+    classes = stored(classes.select("key", "same", "r.*", (F.col("y") > F.col("r.id")).alias("several")), "passages-classes")
+    copies = member.join(classes.where("several").select("key", "same", F.col("id").alias("hub")), ["key", "same"])
+    spans = stored(_united(copies.select("id", F.col("left").alias("lo"), F.col("right").alias("hi"))), "passages-copies")
+    links = copies.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    links = stored(links, "passages-copy-links")
+    # other windows of the one document of a class, for what is found for the first
+    alike = classes.where("not several").select("key", "same", F.col("id").alias("d"), F.col("left").alias("from"), "right")
+    alike = member.select("key", "same", "id", "left").join(alike, ["key", "same"]).where("left <> from")
+    alike = stored(alike.select("id", "from", "right", (F.col("left") - F.col("from")).alias("by")).distinct(), "passages-alike")
+
+    order = Window.partitionBy("key").orderBy("id", "left", "node", "same")
+    ranked = classes.withColumn("r", F.row_number().over(order))
+    groups = ranked.groupBy("key").agg(F.max("r").alias("m")).where("m > 1").select("key", "m")
+    ranked = stored(ranked.join(groups, "key"), "passages-ranked")
+    largest = ranked.agg(F.max("m")).first()[0] or 0
+    nodes = small(ranked.select("id").distinct())
+    texts = stored(rows.join(nodes, "id", "left_semi"), "passages-texts")
+
+    tried, before, hubs = None, 0, 1
+    while before < largest - 1:
+        # each class with its document's component and the span that covers most of it
+        part = F.least("hi", "right") - F.greatest("lo", "left") + 1
+        most = ranked.where(F.col("m") > before + 1).join(spans, "id").where(part > 0).groupBy("key", "same")
+        most = most.agg(F.max_by(F.struct("lo", "hi"), part).alias("c"))
+        labels = components(links).withColumnRenamed("node", "id")
+        now = ranked.where(F.col("m") > before + 1).join(most, ["key", "same"], "left").join(labels, "id", "left")
+        side = F.struct("id", "left", "node", "right", "several", "c", F.coalesce("component", "id").alias("component"))
+        now = stored(now.select("key", "r", side.alias("d")), "passages-now")
+        hub = now.where((F.col("r") > before) & (F.col("r") <= hubs)).select("key", F.col("r").alias("hub_r"), F.col("d").alias("h"))
+        laid = now.where(F.col("r") > before + 1).join(hub, "key").where("r > hub_r")
+        # ids are in order, so d has the larger one
+        laid = laid.select("d", "h", (F.col("d.node") - F.col("h.node")).alias("shift")).where(
+            "d.id <> h.id or (shift <> 0 and d.several <> h.several)"
+        )
+        lo = F.greatest("d.left", F.col("h.left") + F.col("shift"))
+        hi = F.least("d.right", F.col("h.right") + F.col("shift"))
+        laid = laid.withColumn("lo", lo).withColumn("hi", hi).where(F.col("hi") - F.col("lo") + 1 >= WINDOW)
+        covered = "d.c.lo <= lo and hi <= d.c.hi and h.c.lo <= lo - shift and hi - shift <= h.c.hi"
+        laid = laid.where(f"d.component <> h.component or not coalesce({covered}, false)")
+        fresh = laid.select(F.col("d.id").alias("a"), F.col("h.id").alias("b"), "shift", "lo", "hi").distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "passages-pairs")
-        ids = pairs.select("a", "b")
-        tried = ids if tried is None else tried.unionByName(ids)
+            fresh = fresh.join(tried, ["a", "b"], "left_anti")
+        fresh = stored(fresh, "passages-regions")
+        before, hubs = hubs, min(8 * hubs, hubs + 512)
+        if fresh.isEmpty():
+            continue
+        tried = fresh if tried is None else tried.unionByName(fresh)
+        pairs = fresh.groupBy("a", "b").agg(F.collect_list(F.struct("lo", "hi", "shift")).alias("regions"))
         one = texts.join(small(pairs, F.size("regions")), F.col("id") == F.col("a")).select("a", "b", "regions", F.col("text").alias("t"))
         two = one.join(texts, F.col("id") == F.col("b")).select("a", "b", "regions", "t", "text")
-        new = arrow_map(two, _verified, "a long, b long, a_lo long, a_hi long, b_lo long, b_hi long")
-        new = stored(new, "passages-found")
-        found = new if found is None else found.unionByName(new)
-        if new.isEmpty():
-            break
-        # how much of each window's stretch is in passages; a window stays while that grows and is not all of it,
-        # unless it stood for its group
-        stretch = right("at") - left("at") + 1
-        part = F.greatest(F.least("hi", right("at")) - F.greatest("lo", left("at")) + 1, F.lit(0))
-        covered = open_windows.join(_united(_both_sides(found)), "id", "left").groupBy("key", "id", "at", "known")
-        covered = covered.agg(F.coalesce(F.sum(part), F.lit(0)).alias("now")).where((F.col("now") > F.col("known")) & (F.col("now") < stretch))
-        stood = hub.select("key", F.col("hub").alias("id"), F.col("hub_at").alias("at")).distinct()
-        left_over = covered.select("key", "id", "at", F.col("now").alias("known")).join(stood, ["key", "id", "at"], "left_anti")
-        open_windows = stored(left_over, "passages-open")
-    return _united(_both_sides(found)), found.select("a", "b").distinct()
+        new = stored(arrow_map(two, _verified, "a long, b long, a_lo long, a_hi long, b_lo long, b_hi long"), "passages-found")
+        found = _both_sides(new)
+        same = found.join(alike, "id").select(
+            "id", (F.greatest("lo", "from") + F.col("by")).alias("lo"), (F.least("hi", "right") + F.col("by")).alias("hi")
+        )
+        found = found.unionByName(same.where(F.col("hi") - F.col("lo") + 1 >= WINDOW))
+        spans = stored(_united(spans.unionByName(found)), "passages-spans")
+        links = stored(links.unionByName(new.where("a <> b").select("a", "b")).distinct(), "passages-links")
+    return spans, links
 
 
 def _both_sides(found: DataFrame) -> DataFrame:

@@ -198,6 +198,41 @@ def test_every_exact_repeat_is_covered(spark):
     assert missed <= 0.01 * sum(len(t.split()) - 49 for t in texts)
 
 
+def shared_minimum(monkeypatch):
+    """All windows at place 45 are one group, as if they shared their smallest shingles."""
+
+    def windows(shingle, begin, seeds, window=passages.WINDOW):
+        text = np.flatnonzero(np.diff(begin) >= 2 * window - 1)
+        n = len(text)
+        left, node, right = (np.full(n, k, np.int64) for k in (0, window - 1, 2 * window - 2))
+        return text, np.zeros(n, np.uint64), left, node, right
+
+    monkeypatch.setattr(passages, "compact_windows", windows)
+
+
+def in_process(monkeypatch):
+    """The batches on the driver, where the changed function is seen."""
+
+    def run(df, function, schema):
+        batches = df.toArrow().combine_chunks().to_batches()
+        out = [b for b in function(iter(batches))]
+        table = pa.Table.from_batches(out) if out else df.sparkSession.createDataFrame([], schema).toArrow()
+        return df.sparkSession.createDataFrame(table).to(df.sparkSession.createDataFrame([], schema).schema)
+
+    monkeypatch.setattr(passages, "arrow_map", run)
+
+
+def test_every_cluster_of_a_group_meets(spark, monkeypatch):
+    """Six clusters of one group: those in the middle hold neither its smallest nor its largest id."""
+    shared_minimum(monkeypatch)
+    in_process(monkeypatch)
+    body = [prose(600 + k, 100).split() for k in range(6)]
+    edit = lambda w, i: " ".join("edit" if j == i else x for j, x in enumerate(w))
+    texts = [edit(body[k // 3], 20 + 25 * (k % 3)) for k in range(18)]
+    got = {r["doc_id"]: r for r in passages.passage_classes(frame(spark, texts)).collect()}
+    assert all(got[i]["component_id"] == i - i % 3 and got[i]["n_passages"] for i in range(18))
+
+
 def test_windows_of_very_long_texts():
     text = " ".join(map(str, range(2_150_000)))  # more than 2 ** 21 shingles
     batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], ["id", "text"])
