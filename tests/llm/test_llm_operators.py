@@ -222,6 +222,13 @@ def in_process(monkeypatch):
     monkeypatch.setattr(passages, "arrow_map", run)
 
 
+def brute_edges(texts):
+    """Pairs whose windows of ``shared_minimum`` hold a passage."""
+    own = [passages._split(pa.array([t]))[0] for t in texts]
+    n = range(len(texts))
+    return {(i, j) for i in n for j in n if j < i and passages.passages(own[i], own[j], 0, 2 * passages.WINDOW - 2, 0)}
+
+
 def test_every_cluster_of_a_group_meets(spark, monkeypatch):
     """Six clusters of one group: those in the middle hold neither its smallest nor its largest id."""
     shared_minimum(monkeypatch)
@@ -233,6 +240,19 @@ def test_every_cluster_of_a_group_meets(spark, monkeypatch):
     assert all(got[i]["component_id"] == i - i % 3 and got[i]["n_passages"] for i in range(18))
 
 
+def test_star_whose_centre_is_no_hub(spark, monkeypatch):
+    """H and D are near, D and E are near, H and E are not; Z is unlike all."""
+    shared_minimum(monkeypatch)
+    in_process(monkeypatch)
+    w = prose(700, 95).split()
+    edit = lambda at: " ".join("edit" + str(i) if i in at else x for i, x in enumerate(w))
+    texts = [edit({20, 65}), edit(set()), edit({42, 88}), prose(701, 95)]
+    edges = brute_edges(texts)
+    got = {r["doc_id"]: r for r in passages.passage_classes(frame(spark, texts)).collect()}
+    assert edges == {(1, 0), (2, 1)}
+    assert [got[i]["component_id"] for i in range(4)] == [0, 0, 0, 3] and got[2]["n_passages"]
+
+
 def test_windows_of_very_long_texts():
     text = " ".join(map(str, range(2_150_000)))  # more than 2 ** 21 shingles
     batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], ["id", "text"])
