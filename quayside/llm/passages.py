@@ -249,7 +249,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         laid = laid.where(f"d.component <> h.component or not coalesce({covered}, false)")
         fresh = laid.select(F.col("d.id").alias("a"), F.col("h.id").alias("b"), "shift", "lo", "hi").distinct()
         if tried is not None:
-            fresh = fresh.join(tried, ["a", "b"], "left_anti")
+            fresh = fresh.join(tried, ["a", "b", "shift", "lo", "hi"], "left_anti")
         fresh = stored(fresh, "passages-regions")
         before, hubs = hubs, min(8 * hubs, hubs + 512)
         if fresh.isEmpty():

@@ -253,6 +253,25 @@ def test_star_whose_centre_is_no_hub(spark, monkeypatch):
     assert [got[i]["component_id"] for i in range(4)] == [0, 0, 0, 3] and got[2]["n_passages"]
 
 
+def test_pairs_meet_again_at_other_places(spark, monkeypatch):
+    """1 and 2 are laid over each other for one passage in the first round, for the other one only after 0 was hub."""
+    length = 2 * passages.WINDOW - 1
+
+    def windows(shingle, begin, seeds, window=passages.WINDOW):
+        text = np.repeat(np.arange(len(begin) - 1), 2)
+        left = np.tile([0, length], len(begin) - 1)
+        key = np.where(left == 0, shingle[begin[text]], np.uint64(0))
+        return text, key, left, left + window - 1, left + length - 1
+
+    monkeypatch.setattr(passages, "compact_windows", windows)
+    in_process(monkeypatch)
+    w = prose(710, 200).split()
+    edited = " ".join("edit" if i in (45, 140) else x for i, x in enumerate(w))
+    got = {r["doc_id"]: r for r in passages.passage_classes(frame(spark, [prose(711, 200), " ".join(w), edited])).collect()}
+    last = [int(got[i]["spans"].split(",")[-1].split(":")[1]) for i in (1, 2)]
+    assert min(last) >= length + passages.WINDOW and got[0]["n_passages"] == 0
+
+
 def test_windows_of_very_long_texts():
     text = " ".join(map(str, range(2_150_000)))  # more than 2 ** 21 shingles
     batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], ["id", "text"])
