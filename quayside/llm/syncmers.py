@@ -4,8 +4,8 @@ A run of K characters is an anchor if the smallest hash among its runs of S char
 place. Whether it is one depends on these K characters alone, so a passage has the same anchors wherever it stands and
 an edit changes only the anchors it touches. An anchor equal to the one before it (a repeated character) is left out.
 A fingerprint is the anchors' places and hashes in order; two fingerprints are compared by the anchors they share whose
-displacement at least one other shared anchor has too. Texts shorter than SHORT use the shorter runs SHORT_K and SHORT_S,
-because few anchors of the long ones fit in; a text is held against one of the other kind by anchors of its own kind.
+displacement at least one other shared anchor has too. Texts of all lengths use the same runs, so that any two
+fingerprints can be compared; they are short, because few anchors of long ones fit in a short text.
 """
 
 from __future__ import annotations
@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import arrow_map, constants, mix, powers, _BASE_INVERSE
 
-K = 64
-S = 16
-SHORT = 512
-SHORT_K = 16
-SHORT_S = 6
+K = 16
+S = 6
+#: Longer runs, for fewer anchors; no fingerprint uses them.
+LONG_K = 64
+LONG_S = 16
 #: Id ranges for each shuffle partition, and in all; the first id of each range goes to the driver.
 RANGES = 16
 MOST_RANGES = 100_000
@@ -33,10 +33,10 @@ MOST_RANGES = 100_000
 _SALT = constants(47, 2)
 
 
-def anchors(text: str, short: bool | None = None) -> np.ndarray:
+def anchors(text: str, short: bool = True) -> np.ndarray:
     """Rows (place, 32-bit hash); a text shorter than a run is one anchor as a whole, an empty one has none.
-    short: which runs to use; by default the text's length decides."""
-    k, s = (SHORT_K, SHORT_S) if (len(text) < SHORT if short is None else short) else (K, S)
+    short: the runs of fingerprints, else the longer ones."""
+    k, s = (K, S) if short else (LONG_K, LONG_S)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(points)
     if not n:
@@ -79,11 +79,6 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(2 * counts[counts >= support].sum() / (len(at) + len(bt)))
 
 
-def marks_of(text: str, marks: np.ndarray, short: bool) -> np.ndarray:
-    """The text's anchors of the wanted kind; marks: those of its own kind."""
-    return marks if short == (len(text) < SHORT) else anchors(text, short)
-
-
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_chars, fingerprint), one row for each row of ``df``, no shuffle. A null counts as empty."""
     kind = df.schema[id_col].dataType.simpleString()
@@ -145,7 +140,7 @@ def compare_with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     edited = t[: len(t) - half] + text[:half]
                     e = anchors(edited)
                     sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-                    near = [likeness(m, marks_of(x, y, len(t) < SHORT)) for x, y in ((edited, e), (text, marks))]
+                    near = [likeness(m, e), likeness(m, marks)]
                     result = (own, len(t), sha, written(m), written(e), *near)
                     for column, value in zip(out, result, strict=True):
                         column.append(value)

@@ -355,6 +355,15 @@ def test_syncmers_are_context_free():
     assert len(alone) > 5 and alone <= inside
 
 
+def test_fingerprints_of_all_lengths_match(spark):
+    text = prose(6, 200)[:600]
+    long, short = syncmers.anchors(text[:513]), syncmers.anchors(text[:511])
+    assert syncmers.likeness(long, short) > 0.9
+    (row,) = syncmers.compare_with_edits(frame(spark, [text, "end"], [1, 2])).where("doc_id = 1").collect()
+    prints = [np.frombuffer(bytes.fromhex(row[c]), ">u4").reshape(-1, 2) for c in ("fingerprint", "edited_fingerprint")]
+    assert row["near_edited"] == syncmers.likeness(*prints) > 0.5
+
+
 # ------------------------------------------------------------------ 7 personal data
 
 
