@@ -35,11 +35,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates (five-word shingles, similarity 0.8): the smallest id.
 
-    Rows that share an id are one document, of which the row with the smallest text stays; rows with a null id are
-    all kept."""
+    Rows that share an id are one document, of which the row with the smallest text stays, one without words only if
+    no other has any; rows with a null id are all kept."""
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if not repeated.isEmpty():
-        first = Window.partitionBy("doc_id").orderBy("text")
+        first = Window.partitionBy("doc_id").orderBy(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), "text")
         numbered = docs.withColumn("_place", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(first)))
         docs = stored(numbered.where("_place = 1").drop("_place"), "near-dedup-ids")
     result = stored(near_duplicates(docs).where(~F.col("kept")).select("doc_id"), "near-dedup-dropped")
@@ -47,10 +47,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that contain a benchmark item."""
-    found = contained_items(docs, table(spark, sf_dir, "benchmark"))
-    found = stored(found.select(F.col("doc_id").alias("_found")).distinct(), "decontaminate-dropped")
-    return docs.join(small(found), F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """Drops the documents that contain a benchmark item, each row judged by its own text, whatever its id."""
+    row = "_row"
+    while row in [c.lower() for c in docs.columns]:
+        row += "_"
+    # stored, so that a row's number stays the same
+    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
+    found = contained_items(keyed.select(row, "text"), table(spark, sf_dir, "benchmark"), row)
+    found = stored(found.select(row).distinct(), "decontaminate-dropped")
+    return keyed.join(small(found), row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

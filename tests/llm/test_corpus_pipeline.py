@@ -67,3 +67,19 @@ def test_stages_on_odd_documents(spark):
 
 def test_language_rejects_what_no_language_fits():
     assert corpus_pipeline.LEAST_SCORE > 1 / 4 and language.UNDETERMINED == "und" and lower("ÄB") == "Äb"
+
+
+def test_contaminated_rows_leave_alone(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 40").first()["text"]
+    texts = ["a clean text without an id", f"before {item} after", None, "another clean text", item, "clean under a shared id"]
+    ids = [None, None, None, 1, 2, 2]
+    docs = spark.createDataFrame([(i, t, "en", "x") for i, t in zip(ids, texts)], "doc_id long, text string, lang string, _row string")
+    out = corpus_pipeline.decontaminate(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(str(r["text"]) for r in out.collect()) == sorted(str(texts[i]) for i in (0, 2, 3, 5))
+
+
+def test_text_with_words_stays_of_a_shared_id(spark):
+    rows = [(1, None), (1, ""), (1, "words"), (2, None), (2, " ")]
+    out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, "words"), (2, None)]
