@@ -6,7 +6,8 @@ resembles the sample; the count times the logarithm of the sample's length, per
 The language with the fewest normalised phrases wins.
 
 Texts are read as lower-case letters with one space for each run of other characters, and parsed in blocks of ``BLOCK``
-characters (a phrase ends with its block), so that many blocks advance together, one numpy step for each character.
+symbols (a phrase ends with its block), so that many blocks advance together, one numpy step for each symbol. The most
+frequent letters of the samples are one symbol each, every other letter is a few.
 
 The sample is bounded: ``SAMPLE_DOCS`` labelled documents and ``SAMPLE_CHARS`` characters a language, chosen by a hash of
 the document's id. Everything else reads all documents.
@@ -34,9 +35,12 @@ SAMPLE_TOTAL = 320_000
 MOST_LANGUAGES = 200
 #: Characters in a block of the parse.
 BLOCK = 512
-#: Symbols: the space, any letter not listed, the listed letters, and the filling of a block.
+#: Symbols: the space, the listed letters, the digits that spell any other letter, and the filling of a block.
 SYMBOLS = 64
-SPACE, OTHER, FILL = 0, 1, SYMBOLS - 1
+SPACE, FILL = 0, SYMBOLS - 1
+#: A letter that is not listed is spelled by its code point in PLACES digits of base DIGITS, so all letters differ.
+DIGITS, PLACES = 17, 5
+OTHER = FILL - DIGITS
 
 UNDETERMINED = "und"
 
@@ -81,13 +85,14 @@ class Model:
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         self.languages = [k for k, _ in samples]
         known = Counter(c for _, t in samples for c in t.lower() if c.isalpha())
-        listed = sorted(known, key=lambda c: (-known[c], c))[: SYMBOLS - 3]
+        listed = sorted(known, key=lambda c: (-known[c], c))[: OTHER - 1]
         self.symbol = np.zeros(0x110000, np.uint8)
-        self._letters(dict(zip(listed, range(2, SYMBOLS - 1), strict=False)))
+        self.low = np.arange(0x110000, dtype=np.uint32)
+        self._letters(dict(zip(listed, range(1, OTHER), strict=False)))
         size = min(SAMPLE_CHARS, SAMPLE_TOTAL // max(1, len(samples)))
         tables, self.start, self.weight = [], [], []
         for _, text in samples:
-            codes = self.codes(text)[:size].tolist()
+            codes = self.codes(text, size).tolist()
             self.start.append(sum(map(len, tables)))
             tables.append(_table(codes, self.start[-1]))
             self.weight.append(float(np.log2(len(codes) + 2)))
@@ -101,10 +106,21 @@ class Model:
             if c.isalpha():
                 low = c.lower()
                 self.symbol[point] = listed.get(low[0], OTHER)
+                self.low[point] = ord(low[0])
 
-    def codes(self, text: str) -> np.ndarray:
+    def codes(self, text: str, most: int | None = None) -> np.ndarray:
+        """The symbols of the text, or of its first ``most`` characters, runs of spaces counting as one."""
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return _one_space(self.symbol[points])
+        kept = _one_space(self.symbol[points])
+        points = points[kept][:most]
+        codes = self.symbol[points]
+        rare = codes == OTHER
+        if rare.any():
+            codes = np.repeat(codes, np.where(rare, PLACES, 1))
+            at, low = np.flatnonzero(codes == OTHER).reshape(-1, PLACES), self.low[points[rare]]
+            for k in range(PLACES):
+                codes[at[:, k]] = OTHER + low // DIGITS**k % DIGITS
+        return codes
 
     def phrases(self, blocks: np.ndarray) -> np.ndarray:
         """Phrases by language and block. blocks: a row of BLOCK symbols for each."""
@@ -121,11 +137,11 @@ class Model:
 
 
 def _one_space(codes: np.ndarray) -> np.ndarray:
-    """Runs of spaces as one."""
+    """Where no space follows another one."""
     blank = codes == SPACE
-    repeated = np.zeros(len(codes), bool)
-    repeated[1:] = blank[1:] & blank[:-1]
-    return codes[~repeated]
+    kept = np.ones(len(codes), bool)
+    kept[1:] = ~(blank[1:] & blank[:-1])
+    return kept
 
 
 def _table(codes: list[int], base: int) -> np.ndarray:

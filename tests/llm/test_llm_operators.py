@@ -306,6 +306,19 @@ def test_language_of_held_out_documents(spark):
     assert language.identify(df.limit(0), df).count() == 0
 
 
+def test_letters_beyond_the_listed_ones():
+    rng = random.Random(9)
+    first, second = ([chr(at + i) for i in range(200)] for at in (0x4E00, 0x5E00))
+    text = lambda letters, n: " ".join("".join(rng.choice(letters[k : k + 9]) for k in rng.sample(range(190), 4)) for _ in range(n))
+    samples = (("aa", text(first, 900)), ("bb", text(second, 900)))
+    model = language.Model(samples)
+    rare = [chr(0x4E00 + 7 * i) for i in range(300)]
+    assert len({tuple(model.codes(c).tolist()) for c in rare}) == len(rare)
+    data = [text(first, 30), text(second, 30)]
+    names = [n for a, _ in language._predict(model, *language.text_bytes(pa.array(data))) for n in a]
+    assert names == ["aa", "bb"]
+
+
 def test_phrases_are_longest_matches():
     sample = "abracadabra the cat sat on the mat"
     model = language.Model((("x", sample),))
