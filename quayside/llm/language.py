@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,9 @@ SPACE, FILL = 0, SYMBOLS - 1
 DIGITS, PLACES = 17, 5
 OTHER = FILL - DIGITS
 
+#: Phrases that a text of any length may have, so that short texts are not judged by a single one.
+FREE_PHRASES = 2
+
 UNDETERMINED = "und"
 
 
@@ -90,12 +93,13 @@ class Model:
         self.low = np.arange(0x110000, dtype=np.uint32)
         self._letters(dict(zip(listed, range(1, OTHER), strict=False)))
         size = min(SAMPLE_CHARS, SAMPLE_TOTAL // max(1, len(samples)))
-        tables, self.start, self.weight = [], [], []
+        tables, self.start, self.weight, self.sample = [], [], [], []
         for _, text in samples:
             codes = self.codes(text, size).tolist()
             self.start.append(sum(map(len, tables)))
             tables.append(_table(codes, self.start[-1]))
             self.weight.append(float(np.log2(len(codes) + 2)))
+            self.sample.append(codes)
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
 
     def _letters(self, listed: dict[str, int]) -> None:
@@ -124,16 +128,32 @@ class Model:
 
     def phrases(self, blocks: np.ndarray) -> np.ndarray:
         """Phrases by language and block. blocks: a row of BLOCK symbols for each."""
-        steps = np.ascontiguousarray(blocks.T).astype(np.int32)
-        roots = np.array(self.start, np.int32)[:, None]
-        state = np.repeat(roots, len(blocks), axis=1)
-        count = np.zeros(state.shape, np.int32)
-        for symbols in steps:
-            found = self.table[state + symbols]
-            ended = found & 1
-            count += ended
-            state = found - ended
-        return count + (state != roots)
+        return _phrases(self.table, self.start, blocks)
+
+    @cached_property
+    def needs(self) -> np.ndarray:
+        """Bits for each symbol that text of each language needs: the second half of its sample, by the first half."""
+        out = []
+        for codes in self.sample:
+            first, second = codes[: len(codes) // 2], codes[len(codes) // 2 :]
+            blocks = np.full((-(-len(second) // BLOCK), BLOCK), FILL, np.uint8)
+            blocks.reshape(-1)[: len(second)] = second
+            count = _phrases(_table(first, 0), [0], blocks).sum() if second else 1
+            out.append(float(count * np.log2(len(first) + 2) / max(1, len(second))))
+        return np.array(out)
+
+
+def _phrases(table: np.ndarray, start: list[int], blocks: np.ndarray) -> np.ndarray:
+    steps = np.ascontiguousarray(blocks.T).astype(np.int32)
+    roots = np.array(start, np.int32)[:, None]
+    state = np.repeat(roots, len(blocks), axis=1)
+    count = np.zeros(state.shape, np.int32)
+    for symbols in steps:
+        found = table[state + symbols]
+        ended = found & 1
+        count += ended
+        state = found - ended
+    return count + (state != roots)
 
 
 def _one_space(codes: np.ndarray) -> np.ndarray:
@@ -191,7 +211,7 @@ def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(samples)
 
 
-def _predict(model: Model, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[list[str], list[float]]]:
+def _predict(model: Model, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[list[str], list[float], list[float]]]:
     for lo, hi in chunks(offsets):
         texts = [bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(offsets[lo:hi], offsets[lo + 1 : hi + 1], strict=True)]
         codes = [model.codes(t) for t in texts]
@@ -201,7 +221,7 @@ def _predict(model: Model, data: np.ndarray, offsets: np.ndarray) -> Iterator[tu
         flat, first = blocks.reshape(-1), np.concatenate([[0], np.cumsum(sizes)])
         for c, at in zip(codes, first, strict=False):
             flat[at * BLOCK : at * BLOCK + len(c)] = c
-        names, scores = [], []
+        names, scores, fits = [], [], []
         total = np.zeros((len(model.languages), len(codes)))
         if model.languages and len(blocks):
             each = np.zeros((len(model.languages), len(blocks) + 1), np.int64)
@@ -211,13 +231,16 @@ def _predict(model: Model, data: np.ndarray, offsets: np.ndarray) -> Iterator[tu
             if not letters[k] or not model.languages:
                 names.append(UNDETERMINED)
                 scores.append(0.0)
+                fits.append(0.0)
                 continue
             bits = total[:, k] / len(codes[k])
             best = int(np.argmin(bits))  # of equal languages the first by name
             share = (bits[best] / np.maximum(bits, 1e-9)) ** 8
             names.append(model.languages[best])
             scores.append(float(1 / share.sum()) if bits[best] > 0 else 1.0)
-        yield names, scores
+            spare = FREE_PHRASES * model.weight[best] / len(codes[k])
+            fits.append(max(0.0, float((bits[best] - spare) / model.needs[best])))
+        yield names, scores, fits
 
 
 def identify(
@@ -235,18 +258,21 @@ def identify(
 
 
 def predict(texts: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """(id, lang_pred, score) for the rows (id, text); the id may be of any type."""
+    """(id, lang_pred, score, fit) for the rows (id, text); the id may be of any type. ``fit`` is the bits that the best
+    language needs for the text, beyond FREE_PHRASES phrases, by those that labelled text of that language needs: about
+    1 or less for a text in it, whatever other languages there are."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(tuple(sorted(samples.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(shared.value)
         for batch in batches:
-            names, scores = [], []
-            for a, b in _predict(model, *text_bytes(batch.column(1))):
+            names, scores, fits = [], [], []
+            for a, b, c in _predict(model, *text_bytes(batch.column(1))):
                 names += a
                 scores += b
-            arrays = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "lang_pred", "score"])
+                fits += c
+            arrays = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "lang_pred", "score", "fit"])
 
-    return arrow_map(texts, run, with_id(texts, "lang_pred string, score double"))
+    return arrow_map(texts, run, with_id(texts, "lang_pred string, score double, fit double"))

@@ -83,3 +83,10 @@ def test_text_with_words_stays_of_a_shared_id(spark):
     rows = [(1, None), (1, ""), (1, "words"), (2, None), (2, " ")]
     out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
     assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, "words"), (2, None)]
+
+
+def test_text_that_all_languages_fit_equally_stays(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(1000, "a", None), (1001, "e", None), (1002, "\u4e2d\u6587" * 40, None)], docs.schema)
+    out = corpus_pipeline.language(spark, docs.unionByName(odd), SF)
+    assert {r["doc_id"] for r in out.where("doc_id >= 1000").collect()} == {1000, 1001}

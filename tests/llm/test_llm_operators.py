@@ -315,7 +315,7 @@ def test_letters_beyond_the_listed_ones():
     rare = [chr(0x4E00 + 7 * i) for i in range(300)]
     assert len({tuple(model.codes(c).tolist()) for c in rare}) == len(rare)
     data = [text(first, 30), text(second, 30)]
-    names = [n for a, _ in language._predict(model, *language.text_bytes(pa.array(data))) for n in a]
+    names = [n for a, *_ in language._predict(model, *language.text_bytes(pa.array(data))) for n in a]
     assert names == ["aa", "bb"]
 
 
