@@ -78,7 +78,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``stored`` wrote, once nothing reads it any more; for the steps of a longer job."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from quayside.llm.personal import find_personal
 from quayside.llm.piece_bpe import encode_texts
 from quayside.llm.secret_parts import KINDS as SECRET_KINDS
 from quayside.llm.secret_parts import find_secrets
+from quayside.llm.spelling import spelling_variants
 from quayside.llm.syncmers import compare_with_edits
 from quayside.llm.url_rules import judge_urls
 
@@ -135,6 +136,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), piece_model(), ids=False)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_repeated_passages": op2_repeated_passages,
@@ -146,5 +151,6 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_byte_repeats": op9_byte_repeats,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 ORACLES = {"op3_url_filter": OP3_SQL, "op8_decontaminate": OP8_SQL}
