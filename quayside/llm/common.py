@@ -10,11 +10,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 1 << 20
+#: Text of a block: rows that one task looks at together.
+BLOCK_BYTES = 1 << 25
 #: Rows of a few numbers (about 20 MB) up to which a table is broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -130,6 +133,39 @@ def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
+def blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, pa.Table]]:
+    """The rows in tables of about ``most`` bytes of text (the second column), each with a number no other has. A longer
+    text has a table of its own."""
+    held, size = [], 0
+    task, count = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(1))
+        for lo, hi in chunks(offsets, most):
+            held.append(batch.slice(lo, hi - lo))
+            size += int(offsets[hi] - offsets[lo])
+            if size >= most:
+                yield task << 32 | count, pa.Table.from_batches(held).combine_chunks()
+                held, size, count = [], 0, count + 1
+    if held:
+        yield task << 32 | count, pa.Table.from_batches(held).combine_chunks()
+
+
+def planes(values: np.ndarray, size: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Numbers below 2 ** 32, ``size[i]`` of them for row i, as two columns of 16-bit halves, which compress well."""
+    ends = np.concatenate([[0], np.cumsum(2 * size)]).astype(np.int64)
+
+    def column(part: np.ndarray) -> pa.Array:
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(part.astype("<u2").tobytes())])
+
+    return column(values & 0xFFFF).cast(pa.binary()), column(values >> 16).cast(pa.binary())
+
+
+def from_planes(low: pa.ChunkedArray, high: pa.ChunkedArray) -> np.ndarray:
+    """The numbers of all rows one after the other."""
+    low, high = (np.frombuffer(b"".join(c.to_pylist()), "<u2").astype(np.int64) for c in (low, high))
+    return high << 16 | low
+
+
 # ---------------------------------------------------------------- word hashes
 
 # space, tab, line feed, vertical tab, form feed, carriage return
@@ -154,7 +190,6 @@ def constants(seed: int, n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
 
 
-_BYTE = constants(11, 256)[_LOWER]  # a value for each byte, A-Z as a-z
 _RAW_BYTE = constants(13, 256)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -204,9 +239,26 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after = np.zeros(n, bool)
     after[:-1] = inside[1:]
     end = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    prefix = prefix_hash(data, _BYTE)
     doc = np.searchsorted(offsets, start, "right") - 1
-    return range_hash(prefix, start, end), doc, start, end
+    return bytes_hash(_LOWER[data], start, end), doc, start, end
+
+
+def bytes_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each byte range, eight bytes a step: each step mixes what it has with the next eight bytes, so that no
+    sum of parts is left for structured texts to cancel."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    size = end - start
+    h = mix(size.astype(np.uint64) + _RAW_BYTE[7])
+    at = np.arange(len(start))
+    step = 0
+    while len(at):
+        left = np.minimum(size[at] - step, 8).astype(np.uint64)
+        part = eight[start[at] + step] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left))
+        h[at] = mix((h[at] ^ part) * _BASE + _RAW_BYTE[8])
+        step += 8
+        at = at[size[at] > step]
+    return h
 
 
 _TERM = constants(17, 16)

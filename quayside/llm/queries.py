@@ -15,6 +15,7 @@ from quayside.llm.personal import BASE as PERSONAL_BASE
 from quayside.llm.personal import KINDS as PERSONAL_KINDS
 from quayside.llm.personal import find_personal
 from quayside.llm.piece_bpe import encode_texts
+from quayside.llm.scoring import score_texts
 from quayside.llm.secret_parts import KINDS as SECRET_KINDS
 from quayside.llm.secret_parts import find_secrets
 from quayside.llm.spelling import spelling_variants
@@ -140,6 +141,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_repeated_passages": op2_repeated_passages,
@@ -152,5 +157,6 @@ QUERIES = {
     "op9_byte_repeats": op9_byte_repeats,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_lm_scores": op12_lm_scores,
 }
 ORACLES = {"op3_url_filter": OP3_SQL, "op8_decontaminate": OP8_SQL}
