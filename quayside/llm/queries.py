@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.llm.alignment import align_tokens
 from quayside.llm.byte_repeats import remove_repeats
 from quayside.llm.common import table
 from quayside.llm.decontaminate import contaminated
@@ -30,6 +31,13 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_vocabulary() -> str:
+    """Where the public byte-level vocabulary of the alignment query lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _listing(spans: Column) -> Column:
     """kind:start:end, joined by commas."""
     text = F.transform(
@@ -145,6 +153,10 @@ def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), byte_vocabulary(), piece_model())
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_repeated_passages": op2_repeated_passages,
@@ -158,5 +170,6 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_lm_scores": op12_lm_scores,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLES = {"op3_url_filter": OP3_SQL, "op8_decontaminate": OP8_SQL}
