@@ -76,19 +76,19 @@ def arrow_map(df: DataFrame, run, schema: str | StructType) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to shared storage as Parquet and read back, which cuts the lineage."""
+def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """Write to shared storage as Parquet and read back, which cuts the lineage; in one folder for each value of ``by``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the table that ``stored`` wrote, once nothing reads it any more; for the steps of a longer job."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+def discard(df: DataFrame, part: str = "") -> None:
+    """Delete the table that ``stored`` wrote, or the folder of one part, once nothing reads it any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{df.stored_at}/{part}".rstrip("/"))
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 

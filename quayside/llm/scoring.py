@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,8 +29,8 @@ from quayside.llm.common import BLOCK_BYTES, arrow_map, blocks, chunks, constant
 
 #: Bits of a filter (64 MB), always all of them.
 FILTER_BITS = 1 << 29
-#: Bits for each entry at least; with four probes 5 % of the probes of a full filter find what was not entered.
-ENTRY_BITS = 8
+#: Bits for each entry at least; with four probes 6 % of the questions to a full filter find what was not entered.
+ENTRY_BITS = 6
 PROBES = 4
 #: Probes of one entry stay within so many bits.
 BLOCK_BITS = 512
@@ -40,6 +40,8 @@ SAMPLE = 1024
 #: Weight of the single-word probability, in counts.
 MASS = 8.0
 ALPHA = 0.1
+#: Documents of a block that are scored together.
+SCORED = 512
 
 
 def _levels() -> np.ndarray:
@@ -54,6 +56,7 @@ LEVELS = _levels()
 _C = constants(31, len(LEVELS) + 4)
 #: Stands for the end of a text, which is also the context of its first word.
 END = _C[0]
+_SIX = np.uint64((1 << 48) - 1)
 
 
 def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -62,6 +65,7 @@ def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 def places(h: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
     """The bits of an entry in a segment of ``bits``, all within one block of the pair."""
+    h = h & _SIX
     base = (mix(h + _C[3]) % np.uint64(max(1, bits // BLOCK_BITS))).astype(np.int64) * min(bits, BLOCK_BITS)
     inner = mix(h ^ _C[3 + level])
     for k in range(PROBES):
@@ -93,44 +97,71 @@ def _ended(values: np.ndarray, size: np.ndarray, end) -> tuple[np.ndarray, np.nd
     return out, start[:-1]
 
 
-def _training_pairs(tables: Iterator[tuple[int, pa.Table]], every: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Hashes and counts of the pairs in the training texts of each block, of those divisible by ``every``."""
-    for _, rows in tables:
-        h, size = _tokens(rows.column(1).filter(rows.column(2)))
-        tok, _ = _ended(h, size, END)
-        pair = pair_hash(np.concatenate([[END], tok[:-1]]), tok) if len(tok) else tok
-        yield np.unique(pair[pair % np.uint64(every) == 0], return_counts=True)
+def _training_pairs(rows: pa.Table) -> np.ndarray:
+    """Hashes of the pairs in the training texts of a block."""
+    h, size = _tokens(rows.column(1).filter(rows.column(2)))
+    tok, _ = _ended(h, size, END)
+    return pair_hash(np.concatenate([[END], tok[:-1]]), tok) if len(tok) else tok
 
 
-def _pairs(docs: DataFrame, segments: int, every: int, block_bytes: int) -> DataFrame:
-    """(segment, hash, n), still to be summed."""
+def _sampled(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """(hash, n) of the pairs whose hash SAMPLE divides."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, n in _training_pairs(blocks(batches, block_bytes), every):
-            arrays = [pa.array(segment_of(h, segments), pa.int32()), pa.array(h.view(np.int64)), pa.array(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["segment", "hash", "n"])
+        for _, rows in blocks(batches, block_bytes):
+            pair = _training_pairs(rows)
+            h, n = np.unique(pair[pair % np.uint64(SAMPLE) == 0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], ["hash", "n"])
 
-    return arrow_map(docs, run, "segment int, hash long, n long")
+    return arrow_map(docs, run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def _pairs(docs: DataFrame, segments: int, block_bytes: int) -> DataFrame:
+    """(segment, hashes, counts): the pairs of a block that lie in a segment, six bytes for a hash, four for its count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in blocks(batches, block_bytes):
+            h, n = np.unique(_training_pairs(rows), return_counts=True)
+            some, first = np.unique(segment_of(h, segments), return_index=True)
+            six = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            n = n.astype("<u4")
+            ends = [*first[1:].tolist(), len(h)]
+            runs = list(zip(first.tolist(), ends, strict=True))
+            arrays = [pa.array([x[lo:hi].tobytes() for lo, hi in runs], pa.binary()) for x in (six, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *arrays], ["segment", "hashes", "counts"])
+
+    return arrow_map(docs, run, "segment int, hashes binary, counts binary")
 
 
 def _filter(pairs: DataFrame, bits: int) -> DataFrame:
-    """(segment, bits) from pairs (segment, hash, n). Pairs are dealt by segment once, for the sums and the bits."""
+    """(segment, bits): pairs are dealt by segment; a segment's counts are summed and entered, one segment after the other."""
+
+    def entered(segment: int, hashes: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
+        six = np.frombuffer(b"".join(hashes), np.uint8).reshape(-1, 6)
+        eight = np.zeros((len(six), 8), np.uint8)
+        eight[:, :6] = six
+        h, at = np.unique(eight.view("<u8").ravel(), return_inverse=True)
+        n = np.bincount(at, np.frombuffer(b"".join(counts), "<u4")).astype(np.int64)
+        level, out = np.searchsorted(LEVELS, n, "right"), np.zeros(bits // 8, np.uint8)
+        for q in range(1, int(level.max()) + 1):
+            for place in places(h[level >= q], q, bits):
+                np.bitwise_or.at(out, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
+        return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([out.tobytes()], pa.binary())], ["segment", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, np.ndarray] = {}
+        now, hashes, counts = None, [], []
         for batch in batches:
-            segment, h, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            for s in np.unique(segment).tolist():
-                mine = made.setdefault(s, np.zeros(bits // 8, np.uint8))
-                at, level = h[segment == s].view(np.uint64), np.searchsorted(LEVELS, n[segment == s], "right")
-                for q in range(1, int(level.max()) + 1):
-                    for place in places(at[level >= q], q, bits):
-                        np.bitwise_or.at(mine, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
-        for s, mine in made.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([mine.tobytes()], pa.binary())], ["segment", "bits"])
+            for segment, h, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if segment != now and hashes:
+                    yield entered(now, hashes, counts)
+                    hashes, counts = [], []
+                now = segment
+                hashes.append(h)
+                counts.append(n)
+        if hashes:
+            yield entered(now, hashes, counts)
 
-    summed = pairs.repartition("segment").groupBy("segment", "hash").agg(F.sum("n").alias("n"))
-    return arrow_map(summed, run, "segment int, bits binary")
+    return arrow_map(pairs.repartition("segment").sortWithinPartitions("segment"), run, "segment int, bits binary")
 
 
 def counts_of(bits: np.ndarray, h: np.ndarray, first: int, segments: int, segment_bits: int) -> np.ndarray:
@@ -152,8 +183,8 @@ def counts_of(bits: np.ndarray, h: np.ndarray, first: int, segments: int, segmen
 
 
 def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows of two kinds: a document (block, id, train, size, low, high: the numbers of its words), and a word of a block's dictionary
-    (block, code, hash, n in training texts)."""
+    """Rows of two kinds: "text" (block, id, train, size, low, high: the numbers of its words), and "word", one of a block's
+    dictionary (block, code, hash, n in training texts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in blocks(batches, block_bytes):
@@ -167,14 +198,14 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             number = pa.array(np.full(some, block), pa.int64())
             nothing = [pa.nulls(some, t) for t in (pa.int32(), pa.int64(), pa.int64())]
             own = [rows.column(0).combine_chunks(), rows.column(2).combine_chunks(), pa.array(size, pa.int64()), *planes(rank[code], size)]
-            yield pa.RecordBatch.from_arrays([number, *own, *nothing], names)
+            yield pa.RecordBatch.from_arrays([pa.array(["text"] * some), number, *own, *nothing], names)
             some = len(word)
             nothing = [pa.nulls(some, t.type) for t in own]
             own = [pa.array(rank, pa.int32()), pa.array(word.view(np.int64)), pa.array(seen, pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(some, block), pa.int64()), *nothing, *own], names)
+            yield pa.RecordBatch.from_arrays([pa.array(["word"] * some), pa.array(np.full(some, block), pa.int64()), *nothing, *own], names)
 
     schema = StructType(
-        StructType.fromDDL("block long").fields + with_id(docs, "train boolean, size long, low binary, high binary, code int, hash long, n long").fields
+        StructType.fromDDL("kind string, block long").fields + with_id(docs, "train boolean, size long, low binary, high binary, code int, hash long, n long").fields
     )
     names = schema.names
     return arrow_map(docs, run, schema)
@@ -192,29 +223,31 @@ def score_texts(
     spark = df.sparkSession
     owner = F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), (F.crc32(owner) % folds != 0).alias("train"))
-    parts = stored(_blocks(docs, block_bytes), "scoring-blocks")
-    units = parts.where("size is not null").select("block", "id", "train", "size", "low", "high")
-    entries = parts.where("hash is not null").select("block", "code", "hash", "n")
-    counts = stored(entries.groupBy("hash").agg(F.sum("n").alias("c")), "scoring-counts")
-    known = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    parts = stored(_blocks(docs, block_bytes), "scoring-blocks", "kind")
+    units = parts.where("kind = 'text'").select("block", "id", "train", "size", "low", "high")
+    entries = parts.where("kind = 'word'").select("block", "code", "hash", "n")
+    # a word has one row in each block
+    word = Window.partitionBy("hash")
+    counted = entries.select("block", "code", "hash", F.sum("n").over(word).alias("c"), (F.row_number().over(word.orderBy("block")) == 1).alias("first"))
+    dictionary = stored(counted, "scoring-dictionary")
+    seen = dictionary.where("first and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = units.where("train").count()
-    total, distinct = known[0] + ends, known[1] + (ends > 0)
+    total, distinct = seen[0] + ends, seen[1] + (ends > 0)
+    discard(parts, "kind=word")
 
-    sampled = _pairs(docs, 1, SAMPLE, block_bytes).groupBy("hash").agg(F.sum("n").alias("n"))
     level = sum(F.when(F.col("n") >= int(least), 1).otherwise(0) for least in LEVELS[:40])
-    expected = (sampled.agg(F.sum(level)).first()[0] or 0) * SAMPLE
+    expected = (_sampled(docs, block_bytes).agg(F.sum(level)).first()[0] or 0) * SAMPLE
     filters = max(1, -(-expected * ENTRY_BITS * 11 // 10 // filter_bits))
     each = max(1, min(SEGMENTS, filter_bits // BLOCK_BITS))
     segment_bits = filter_bits // each
 
-    dictionary = stored(entries.join(counts, "hash").select("block", "code", "hash", "c"), "scoring-dictionary")
-    pairs = _pairs(docs, filters * each, 1, block_bytes)
+    pairs = _pairs(docs, filters * each, block_bytes)
     schema = with_id(units, "held_out boolean, n_tokens long, n_known long, base_score double, score double, block long, place int")
     scores = []
     for i in range(filters):
         mine = pairs if filters == 1 else pairs.where(F.col("segment").between(i * each, (i + 1) * each - 1))
         bits = np.zeros(filter_bits // 8, np.uint8)
-        for row in _filter(mine, segment_bits).toLocalIterator():
+        for row in _filter(mine, segment_bits).collect():
             at = (row["segment"] - i * each) * (segment_bits // 8)
             bits[at : at + segment_bits // 8] = np.frombuffer(row["bits"], np.uint8)
         sent = spark.sparkContext.broadcast(bits)
@@ -246,19 +279,19 @@ def _scorer(sent, first: int, segments: int, segment_bits: int, total: int, dist
         code = dictionary["code"].to_numpy()
         h[code], c[code] = dictionary["hash"].to_numpy().view(np.uint64), dictionary["c"].to_numpy()
         single = (c + ALPHA) / (total + ALPHA * (distinct + 1))
-        size = units["size"].to_numpy()
-        tok, start = _ended(from_planes(units["low"], units["high"]), size, n)
-        before = np.concatenate([[n], tok[:-1]])
-        count = counts_of(sent.value, pair_hash(h[before], h[tok]), first, segments, segment_bits)
-        mine = count >= 0
-        count = np.minimum(count, np.minimum(c[before], c[tok]))
-        p = np.where(mine, (count + MASS * single[tok]) / (c[before] + MASS), 1.0)
-        each = lambda x: np.add.reduceat(x, start)
-        arrays = [
-            units["id"], pa.array(~units["train"].to_numpy()), pa.array(size + 1, pa.int64()),
-            pa.array(each((c[tok] > 0).astype(np.int64)), pa.int64()), pa.array(each(np.log10(single[tok]))), pa.array(each(np.log10(p))),
-            units["block"], pa.array(np.arange(len(size)), pa.int32()),
-        ]
-        return pa.Table.from_arrays(arrays, names)
+        parts = []
+        for lo in range(0, units.num_rows, SCORED):
+            part = units.slice(lo, SCORED)
+            size = part["size"].to_numpy()
+            tok, start = _ended(from_planes(part["low"], part["high"]), size, n)
+            before = np.concatenate([[n], tok[:-1]])
+            count = counts_of(sent.value, pair_hash(h[before], h[tok]), first, segments, segment_bits)
+            mine = count >= 0
+            count = np.minimum(count, np.minimum(c[before], c[tok]))
+            p = np.where(mine, (count + MASS * single[tok]) / (c[before] + MASS), 1.0)
+            parts.append([size + 1] + [np.add.reduceat(x, start) for x in ((c[tok] > 0).astype(np.int64), np.log10(single[tok]), np.log10(p))])
+        sums = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
+        places = pa.array(np.arange(units.num_rows), pa.int32())
+        return pa.Table.from_arrays([units["id"], pa.array(~units["train"].to_numpy()), *sums, units["block"], places], names)
 
     return run
