@@ -329,6 +329,41 @@ SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT), 'EXT.BOX', 'in/o' || o_orde
 FROM orders WHERE o_orderstatus <> 'P'"""
 
 
+def expected_files(codes, name, folder, kind, declared, days, as_of, bad_rows=1) -> DataFrame:
+    """The datasets of ``codes`` (code) at the COBs of a calendar: one feed and dataset each, all loading into one table."""
+    none = F.lit(None).cast("string")
+    files = codes.select(
+        F.lit("SYS").alias("source_system_code"), F.col("code").alias("source_feed_code"),
+        F.lit("EXT.IN").alias("stage_name"), none.alias("source_file_path"),
+        none.alias("source_file_name_pattern"), F.lit("DW").alias("destination_schema_name"),
+        F.lit(name.upper()).alias("destination_table_name"), F.lit(True).alias("is_enabled"),
+        F.lit(f"{kind.upper()}_FORMAT").alias("file_format"), F.lit("DD/MM/YYYY").alias("date_input_format"),
+        F.lit("DD/MM/YYYY HH24:MI:SS").alias("timestamp_input_format"), F.lit(bad_rows).alias("skip_row_on_error"),
+        F.lit(False).alias("delete_stage_by_file_name"), F.lit("UTC").alias("timezone"),
+    )
+    field = F.explode(F.array(*[F.struct(*[F.lit(v) for v in d]) for d in declared])).alias("d")
+    names = ["source_field_name", "target_field_name", "field_ordinal", "data_type_name", "data_type_length",
+             "data_type_precision", "data_type_scale"]
+    fields = files.select("source_system_code", "source_feed_code", field).select(
+        "source_system_code", "source_feed_code", *[F.col(f"d.col{i + 1}").alias(n) for i, n in enumerate(names)],
+        F.lit(True).alias("is_in_source"), F.lit(True).alias("is_in_target"), F.lit(False).alias("is_deleted"),
+        none.alias("derived_expression"),
+    )
+    before, after = folder.split("|code|")
+    parameters = files.select(
+        F.concat(F.lit(f"{name}_"), "source_feed_code").alias("dataset_name"), "source_system_code", "source_feed_code",
+        F.lit("").alias("container_name"),
+        F.concat(F.lit(before), "source_feed_code", F.lit(after)).alias("file_path"),
+        F.lit(f"*.{kind}").alias("file_name"), F.lit(True).alias("is_enabled"), F.lit(False).alias("is_trigger_file"),
+        F.lit(True).alias("allow_reload"), F.lit(False).alias("is_cloud_copy"), F.lit(True).alias("allow_infer_schema"),
+        F.col("source_feed_code").alias("entity_code"), none.alias("department_code"), none.alias("region"),
+        none.alias("market"), none.alias("expected_stage_time"), none.alias("warehouse_size"),
+        F.array().cast("array<string>").alias("tags"),
+    )
+    catalog = dataset_catalog(parameters, feed_rollup(field_catalog(files, fields, "DVLP_SALES")))
+    return at_cob(with_cobs(catalog, days, as_of, days=3000))
+
+
 def staged_orders(spark, sf_dir, kind="csv"):
     """Orders written as files, one folder per month, then staged from configuration: matched, cast, checked, given
     lineage and loaded. The note, with quotes, delimiters and a line end, is not declared: its column is inferred."""
@@ -349,42 +384,14 @@ def staged_orders(spark, sf_dir, kind="csv"):
     writer = text.hint("rebalance", *folders).write.partitionBy(*folders).option("header", True).option("escape", '"')
     writer.format(kind).save(f"{root}/in")
 
-    files = orders.select("o_orderstatus").distinct().select(
-        F.lit("ORD").alias("source_system_code"), F.col("o_orderstatus").alias("source_feed_code"),
-        F.lit("EXT.IN").alias("stage_name"), F.lit(None).cast("string").alias("source_file_path"),
-        F.lit(None).cast("string").alias("source_file_name_pattern"), F.lit("DW").alias("destination_schema_name"),
-        F.lit("ORDERS").alias("destination_table_name"), F.lit(True).alias("is_enabled"),
-        F.lit(f"{kind.upper()}_FORMAT").alias("file_format"), F.lit("DD/MM/YYYY").alias("date_input_format"),
-        F.lit("DD/MM/YYYY HH24:MI:SS").alias("timestamp_input_format"), F.lit(1).alias("skip_row_on_error"),
-        F.lit(False).alias("delete_stage_by_file_name"), F.lit("UTC").alias("timezone"),
-    )
     # headers match without case, names inside records as they are written
     declared = [("KEY" if kind == "csv" else "Key", "order_key", 1, "VARCHAR", 40, 0, 0), ("Customer" if kind == "csv" else "customer", "customer_id", 2, "NUMERIC", 0, 0, 0),
                 ("price", "price", 3, "NUMERIC", 0, 18, 2), ("day", "order_day", 4, "DATE", 0, 0, 0)]
-    field = F.explode(F.array(*[F.struct(*[F.lit(v) for v in d]) for d in declared])).alias("d")
-    names = ["source_field_name", "target_field_name", "field_ordinal", "data_type_name", "data_type_length",
-             "data_type_precision", "data_type_scale"]
-    fields = files.select("source_system_code", "source_feed_code", field).select(
-        "source_system_code", "source_feed_code", *[F.col(f"d.col{i + 1}").alias(n) for i, n in enumerate(names)],
-        F.lit(True).alias("is_in_source"), F.lit(True).alias("is_in_target"), F.lit(False).alias("is_deleted"),
-        F.lit(None).cast("string").alias("derived_expression"),
-    )
-    none = F.lit(None).cast("string")
-    parameters = files.select(
-        F.concat(F.lit("orders_"), "source_feed_code").alias("dataset_name"), "source_system_code", "source_feed_code",
-        F.lit("").alias("container_name"),
-        F.concat(F.lit("/in/status="), "source_feed_code", F.lit("/month=m-|:YYYYMMDD:|/")).alias("file_path"),
-        F.lit(f"*.{kind}").alias("file_name"), F.lit(True).alias("is_enabled"), F.lit(False).alias("is_trigger_file"),
-        F.lit(True).alias("allow_reload"), F.lit(False).alias("is_cloud_copy"), F.lit(True).alias("allow_infer_schema"),
-        F.col("source_feed_code").alias("entity_code"), none.alias("department_code"), none.alias("region"),
-        none.alias("market"), none.alias("expected_stage_time"), none.alias("warehouse_size"),
-        F.array().cast("array<string>").alias("tags"),
-    )
     span = orders.agg(F.trunc(F.to_date(F.min("o_orderdate")), "month"), F.to_date(F.max("o_orderdate"))).toDF("a", "z")
     days = calendar(span, orders.select(F.to_date("o_orderdate")).where(F.lit(False)))
-    catalog = dataset_catalog(parameters, feed_rollup(field_catalog(files, fields, "DVLP_SALES")))
     as_of = F.lit("2002-01-01 00:00:00").cast("timestamp")
-    expected = at_cob(with_cobs(catalog, days, as_of, days=3000))
+    codes = orders.select(F.col("o_orderstatus").alias("code")).distinct()
+    expected = expected_files(codes, "orders", "/in/status=|code|/month=m-|:YYYYMMDD:|/", kind, declared, days, as_of)
     manifest = manifest_of(list_files(spark, f"{root}/in", rf"[.]{kind}$"), root)
     # the files' charset is one of the JVM's
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")

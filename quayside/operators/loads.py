@@ -49,10 +49,14 @@ def outlier_bounds(loads: DataFrame) -> DataFrame:
     are the values at rank floor(0.75 n) and floor(0.25 n); with three loads or
     fewer there is no lower quartile and the bounds are NULL.
     """
-    counts = loads.where(F.col("process_status") == "SUCCESS").select(
-        "dataset_name", F.col("rows_loaded").cast("double").alias("n")
-    )
-    ranks = value_ranks(counts, ["dataset_name"], "n")
+    counts = loads.where(F.col("process_status") == "SUCCESS").select("dataset_name", "rows_loaded", F.lit(1).alias("n"))
+    return bounds_of_counts(counts)
+
+
+def bounds_of_counts(counts: DataFrame) -> DataFrame:
+    """Bounds from ``(dataset_name, rows_loaded, n)``: how many loads had how many rows."""
+    counts = counts.select("dataset_name", F.col("rows_loaded").cast("double").alias("n"), F.col("n").alias("_times"))
+    ranks = value_ranks(counts, ["dataset_name"], "n", "_times")
 
     def at(share):
         rank = F.floor(F.col("group_rows") * share)

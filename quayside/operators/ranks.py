@@ -33,11 +33,12 @@ def _bucketed(counted: DataFrame, group: list[str], value: str) -> DataFrame:
     return counted.join(limits, same, "left").withColumn("_bucket", bucket).drop("_limits", *[f"_g_{g}" for g in group])
 
 
-def value_ranks(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+def value_ranks(df: DataFrame, group: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
     """One row per group and distinct value: ``n_at_value`` rows hold ranks
-    ``first_rank .. last_rank`` of ``group_rows``, ascending, NULL last."""
+    ``first_rank .. last_rank`` of ``group_rows``, ascending, NULL last. With ``weight`` a row
+    stands for as many."""
     group = list(group)
-    counted = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_at_value"))
+    counted = df.groupBy(*group, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n_at_value"))
     counted = _bucketed(counted, group, value)
     inside = (
         Window.partitionBy(*group, "_bucket")

@@ -73,7 +73,8 @@ class StageOptions:
 
     ``allow_create`` asks for missing tables and columns to be created, which is
     done for databases of the development environment only. ``header_mapping`` reads field positions from the
-    file header where there is one. ``side_by_side`` datasets are loaded at once.
+    file header where there is one. ``side_by_side`` datasets are loaded at once. ``by_file`` replaces
+    earlier rows file by file, whatever the feed asks for.
     """
 
     stage_root: str
@@ -84,6 +85,7 @@ class StageOptions:
     event_trigger: str | None = None
     database_target: str = ""
     side_by_side: int = 4
+    by_file: bool = False
 
 
 def manifest_of(listing: DataFrame, stage_root: str, container: str = "") -> DataFrame:
@@ -294,7 +296,7 @@ def _stage_dataset(spark, dataset: Row, paths: list[str], cobs: list[int], optio
     good = number_rows(shaped, splits=splits).where(~F.col(BAD)).drop(BAD, BLOCK, SEQ)
     good = good.join(errors.where("skipped").select(PATH), PATH, "left_anti")
     good = _with_lineage(good, dataset, options, as_of)
-    if feed["delete_stage_by_file_name"]:
+    if options.by_file or feed["delete_stage_by_file_name"]:
         reload_by_file(good, path)
     else:
         reload_by_dataset(good, path)

@@ -88,9 +88,13 @@ def reload_by_file(
     incoming_path, touched_path = f"{work}/incoming", f"{work}/touched"
     df.write.parquet(incoming_path)
     incoming = keyed(spark.read.parquet(incoming_path))
-    stored = keyed(table)
     keys = ["cob_id", file_key]
     new_files = incoming.select(*keys).distinct()
+    # a file lies in partitions of its COB only; no more are read
+    stored = keyed(table)
+    if "cob_id" in partitions:
+        cobs = [r[0] for r in new_files.select("cob_id").distinct().collect()]
+        stored = stored.where(F.col("cob_id").isin(cobs))
     # partitions to rewrite: where the files lie now, and where their new rows go
     lies = stored.join(new_files, keys, "left_semi").select(*partitions)
     touched = lies.unionByName(incoming.select(*partitions)).distinct()
