@@ -84,10 +84,23 @@ def test_load_totals_and_latest_state(spark):
 
 
 def test_merge_upsert_conditions(spark):
-    target = spark.createDataFrame([(1, "kept"), (1, "stale"), (2, "alone")], "id int, state string")
-    source = spark.createDataFrame([(1, "fresh"), (5, "added"), (6, "more")], "id int, state string")
-    out = merge.merge_upsert(target, source, ["id"], insert=["id"], matched_when=F.col("t.state") == "stale")
-    assert rows_of(out) == [(1, "fresh"), (1, "kept"), (2, "alone"), (5, None), (6, None)]
+    """Two keys, one of them null (never equal), a condition on both sides, and columns that only one of the steps may write."""
+    target = spark.createDataFrame(
+        [("n", 1, 10.0, "old"), ("n", 2, 20.0, "old"), ("s", 1, 30.0, "old"), (None, 1, 40.0, "old")], "area string, no int, amount double, note string"
+    )
+    source = spark.createDataFrame(
+        [("n", 1, 11.0, "new"), ("n", 2, 5.0, "new"), ("w", 9, 90.0, "new"), (None, 1, 41.0, "new")], "area string, no int, amount double, note string"
+    )
+    larger = F.col("s.amount") > F.col("t.amount")
+    out = merge.merge_upsert(target, source, ["area", "no"], update=["amount"], insert=["area", "no", "note"], matched_when=larger)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [
+            ("n", 1, 11.0, "old"),  # larger: its amount only
+            ("n", 2, 20.0, "old"), ("n", 2, None, "new"),  # not larger: unmatched, so both stay
+            ("s", 1, 30.0, "old"), ("w", 9, None, "new"), (None, 1, 40.0, "old"), (None, 1, None, "new"),
+        ],
+        key=str,
+    )
 
 
 KEYED = st.dictionaries(st.integers(0, 8), st.integers(0, 3), max_size=6)
