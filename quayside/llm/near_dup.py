@@ -28,6 +28,8 @@ from quayside.llm.common import arrow_map, checkpointed, chunks, components, con
 BANDS = 50
 ROWS = 3
 PERMUTATIONS = BANDS * ROWS
+#: So many shingles beyond a hub are listed for the bounds; with more the bounds are wider, nothing else changes.
+BEYOND = 128
 
 _FACTOR = constants(23, PERMUTATIONS)[:, None]
 _SHIFT = constants(29, PERMUTATIONS)[:, None]
@@ -84,34 +86,52 @@ def _sketch(df: DataFrame, size: int) -> DataFrame:
     return arrow_map(df, run, "id long, n long, hi long, lo long, bands array<long>")
 
 
-def _judge(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b, common, linked) of the pairs (a, b): common shingles, and whether the sets are similar enough. The texts
+def _beyond(own: np.ndarray, other: np.ndarray) -> np.ndarray | None:
+    """The shingles of one set that the other lacks, as 32-bit hashes; None for more than BEYOND or where two are equal."""
+    rest = np.setdiff1d(own, other, assume_unique=True)
+    if len(rest) > BEYOND:
+        return None
+    short = np.unique((rest >> np.uint64(32)).astype(np.uint32).view(np.int32))
+    return short if len(short) == len(rest) else None
+
+
+def _judge(pairs: DataFrame, texts: DataFrame, size: int, percent: int, beyond: bool = False) -> DataFrame:
+    """(a, b, common, linked[, a_beyond, b_beyond]) of the pairs (a, b): common shingles, whether the sets are similar enough,
+    and what each has beyond the other. The texts
     come by two joins on an id; a document that many pairs hold is a skewed key of the left side, which Spark splits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left = shingle_sets(*text_bytes(batch.column(2)), size)
             right = shingle_sets(*text_bytes(batch.column(3)), size)
-            common, linked = [], []
+            common, linked, more = [], [], ([], [])
             for x, y in zip(left, right, strict=True):
+                if beyond:  # y is the text of a
+                    more[0].append(_beyond(y, x))
+                    more[1].append(_beyond(x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 common.append(both)
                 linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             arrays = [*batch.columns[:2], pa.array(common, pa.int64()), pa.array(linked, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "common", "linked"])
+            if beyond:
+                arrays += [pa.array(m, pa.list_(pa.int32())) for m in more]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     one = texts.join(small(pairs), F.col("id") == F.col("b")).select("a", "b", F.col("text").alias("t"))
     two = one.join(texts, F.col("id") == F.col("a")).select("a", "b", "t", "text")
-    every = arrow_map(two, run, "a long, b long, common long, linked boolean")
-    return every.groupBy("a", "b").agg(F.max("common").alias("common"), F.max("linked").alias("linked"))
+    names = ["a", "b", "common", "linked"] + ["a_beyond", "b_beyond"] * beyond
+    every = arrow_map(two, run, "a long, b long, common long, linked boolean" + ", a_beyond array<int>, b_beyond array<int>" * beyond)
+    return every.groupBy("a", "b").agg(F.max("common").alias("common"), F.max("linked").alias("linked"), *[F.first(c).alias(c) for c in names[4:]])
 
 
 def _possible(x: Column, y: Column, percent: int) -> Column:
     """Whether two documents of different components can be similar enough, by exact bounds: their sizes, and if they
     were held against the same hub, what they have in common with it. Shingles they share are in the hub (no more than
-    either has there) or outside of it (no more than either has outside)."""
+    either has there) or outside of it: those both have there, or where these are not listed no more than either has."""
     sizes = 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])
-    common = F.least(x["o"], y["o"]) + F.least(x["n"] - x["o"], y["n"] - y["o"])
+    listed = x["out"].isNotNull() & y["out"].isNotNull()
+    beyond = F.when(listed, F.size(F.array_intersect(x["out"], y["out"]))).otherwise(F.least(x["n"] - x["o"], y["n"] - y["o"]))
+    common = F.least(x["o"], y["o"]) + beyond
     bound = 100 * common >= percent * (x["n"] + y["n"] - common)
     return (x["c"] != y["c"]) & sizes & F.coalesce((x["hub"] != y["hub"]) | bound, F.lit(True))
 
@@ -148,7 +168,7 @@ def near_duplicates(
     judged, links, labels, hubs = pairs, None, None, 0
     while True:
         if not pairs.isEmpty():
-            result = checkpointed(_judge(pairs, texts, words_in_shingle, percent))
+            result = checkpointed(_judge(pairs, texts, words_in_shingle, percent, beyond=hubs == 0))
             linked = result.where("linked").select("a", "b")
             links = linked if links is None else links.unionByName(linked)
             if hubs == 0 or not linked.isEmpty():
@@ -159,7 +179,8 @@ def near_duplicates(
             # what each document has in common with its hub; not for an id with several texts
             single = classes.groupBy("node").count().where("count = 1").select("node")
             same = (F.col("a") == F.least("node", "hub")) & (F.col("b") == F.greatest("node", "hub"))
-            base = checkpointed(first.join(result, same).join(single, "node").select("node", "hub", F.col("common").alias("o")))
+            out = F.when(F.col("node") == F.col("a"), F.col("a_beyond")).otherwise(F.col("b_beyond"))
+            base = checkpointed(first.join(result, same).join(single, "node").select("node", "hub", F.col("common").alias("o"), out.alias("out")))
         # buckets whose documents are in several components
         here = member.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
         several = here.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("m")).where("x < y")
@@ -169,7 +190,7 @@ def near_duplicates(
             break
         before, hubs = hubs, min(8 * hubs, hubs + 512) or 1
         ranked = here.withColumn("r", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("weight"), "node", "n")))
-        ranked = ranked.select("band", "r", F.struct("node", "c", "n", "hub", "o").alias("d"))
+        ranked = ranked.select("band", "r", F.struct("node", "c", "n", "hub", "o", "out").alias("d"))
         new = ranked.where((F.col("r") > before) & (F.col("r") <= hubs)).groupBy("band").agg(F.collect_list("d").alias("hubs"))
         # the possible hubs of a document's buckets, each once; what is impossible goes before the shuffle
         able = F.transform(F.filter("hubs", lambda h: _possible(F.col("d"), h, percent)), lambda h: h["node"])
