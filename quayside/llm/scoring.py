@@ -122,6 +122,8 @@ def _pairs(docs: DataFrame, segments: int, block_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in blocks(batches, block_bytes):
             h, n = np.unique(_training_pairs(rows), return_counts=True)
+            if not len(h):
+                continue
             some, first = np.unique(segment_of(h, segments), return_index=True)
             six = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
             n = n.astype("<u4")

@@ -4,16 +4,16 @@ import re
 
 import __spark_entry__
 import corpus_pipeline
-from quayside.llm import language, personal
+from quayside.llm import personal
 from quayside.llm.queries import piece_model
-from tests.llm.test_llm_operators import brute_personal, lower, sets_of, sha, word_list
+from tests.llm.test_llm_operators import brute_personal, sets_of, sha, word_list
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
     names = list(__spark_entry__.queries())
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} == {m[0] for n in names if (m := re.match(r"op\d+_", n))}
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} == {m[0] for n in names if (m := re.match(r"op\d+_", n))}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "decontaminate", "personal_data", "sentencepiece"]
 
 
@@ -59,16 +59,13 @@ def test_stages_on_odd_documents(spark):
         assert stage(spark, mixed.limit(0), SF).count() == 0
     assert corpus_pipeline.language(spark, mixed, SF).where("doc_id IN (1000, 1001, 1002)").count() == 0
     once = corpus_pipeline.near_dedup(spark, mixed, SF)
-    assert once.where("doc_id = 0").count() == 1 and once.where("doc_id IS NULL").count() == 1
+    # two texts of one id both stay; the row without an id repeats the first document
+    assert once.where("doc_id = 0").count() == 2 and once.where("doc_id IS NULL").count() == 0
     masked = corpus_pipeline.personal_data(spark, mixed, SF)
     assert masked.count() == mixed.count() and masked.where("text IS NULL").count() == 1
     assert corpus_pipeline.STAGES[-1][1](spark, mixed, SF).count() == mixed.count()
 
 
-def test_language_rejects_what_no_language_fits():
-    assert corpus_pipeline.LEAST_SCORE > 1 / 4 and language.UNDETERMINED == "und" and lower("ÄB") == "Äb"
-
-
 def test_contaminated_rows_leave_alone(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 40").first()["text"]
     texts = ["a clean text without an id", f"before {item} after", None, "another clean text", item, "clean under a shared id"]
@@ -79,10 +76,11 @@ def test_contaminated_rows_leave_alone(spark):
     assert sorted(str(r["text"]) for r in out.collect()) == sorted(str(texts[i]) for i in (0, 2, 3, 5))
 
 
-def test_text_with_words_stays_of_a_shared_id(spark):
-    rows = [(1, None), (1, ""), (1, "words"), (2, None), (2, " ")]
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, None), (1, ""), (1, "words"), (2, None), (2, " "), (3, long), (3, "quite another text"), (4, long), (None, long + " more"), (None, "alone")]
     out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
-    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, "words"), (2, None)]
+    assert sorted(out.collect(), key=str) == sorted((r for r in rows if r[0] != 4 and r[1] != long + " more"), key=str)
 
 
 def test_text_that_all_languages_fit_equally_stays(spark):
