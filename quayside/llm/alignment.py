@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from sentencepiece import SentencePieceProcessor
 
-from quayside.llm.common import BLOCK_BYTES, arrow_map, blocks, chunks, from_planes, planes, ship, stored, with_id
+from quayside.llm.common import BLOCK_BYTES, arrow_map, blocks, chunks, from_planes, kept_model, planes, ship, stored, with_id
 from quayside.llm.piece_bpe import BYTE, NORMAL, SPACE, read_pieces
 
 #: Bytes of a stretch, and the most that may be asked for: a pair's links in a stretch then fit 32 bits.
@@ -219,14 +219,9 @@ def closed_groups(two: TwoTokenizers, a: Tokens, b: Tokens, count_a: np.ndarray,
     )
 
 
-_built: dict[str, TwoTokenizers] = {}
-
-
 def _two(sent) -> TwoTokenizers:
     key, ranks, model, pieces = sent.value
-    if key not in _built:
-        _built[key] = TwoTokenizers(ranks, model, pieces)
-    return _built[key]
+    return kept_model(key, lambda: TwoTokenizers(ranks, model, pieces))
 
 
 def _valid(two: TwoTokenizers, a: list[int], b: list[int], data: bytes) -> bool:
@@ -288,7 +283,7 @@ def _short(docs: DataFrame, sent, block_bytes: int) -> DataFrame:
     columns = with_id(docs, f"{COUNTS}, groups_sha256 string, size long, low binary, high binary, times_low binary, times_high binary, code int, a int, b int, n long")
     schema = StructType(StructType.fromDDL("block long").fields + columns.fields)
     names = schema.names
-    return arrow_map(docs, run, schema)
+    return arrow_map(docs, run, schema, keeps=True)
 
 
 COUNTS = "n_a long, n_b long, n_groups long, n_links long"
@@ -380,7 +375,7 @@ def _cut_texts(docs: DataFrame, sent, range_bytes: int) -> DataFrame:
 
     schema = StructType(StructType.fromDDL("row long, chunk long").fields + with_id(docs, "part string, at long, a0 long, a1 long, b0 long, b1 long").fields)
     names = schema.names
-    return arrow_map(docs, run, schema)
+    return arrow_map(docs, run, schema, keeps=True)
 
 
 def _fragments(parts: DataFrame, sent, schema: StructType) -> DataFrame:
@@ -405,7 +400,7 @@ def _fragments(parts: DataFrame, sent, schema: StructType) -> DataFrame:
                     out.append(_closed_row(two, r["row"], *closed))
                 yield pa.RecordBatch.from_pylist([{"id": r["id"], **o} for o in out], arrow)
 
-    return arrow_map(parts, run, schema)
+    return arrow_map(parts, run, schema, keeps=True)
 
 
 def to_arrow_schema(schema: StructType) -> pa.Schema:

@@ -31,6 +31,8 @@ from quayside.llm.common import arrow_map, chunks, mix, prefix_hash, range_hash,
 LENGTH = 400
 REACH = 64
 GRAM = 16
+#: Bytes of a text that are looked at together; a place in them fits 28 bits.
+WINDOW = 1 << 25
 
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -41,8 +43,6 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, reach: int
     prefix = prefix_hash(data)
     none = np.zeros(0, np.int64)
     n = len(data) - GRAM + 1
-    if len(data) > int(_PLACE):
-        raise ValueError("a text of more than 256 MB")
     if len(data) < length:
         return none, none, none, none, prefix
     at = np.arange(n)
@@ -66,16 +66,28 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, reach: int
     return text[new], start[new], start[last], anchor[new], prefix
 
 
+def pieces(offsets: np.ndarray, length: int):
+    """(first text, end of texts, first byte, last byte exclusive): texts together, or windows of a long one that hold each
+    string whole once. A run that a window cuts is two runs, which are refined like any others."""
+    for lo, hi in chunks(offsets):
+        begin, end = int(offsets[lo]), int(offsets[hi])
+        if end - begin <= WINDOW:
+            yield lo, hi, begin, end
+            continue
+        for at in range(begin, max(begin + 1, end - length + 1), WINDOW):
+            yield lo, hi, at, min(end, at + WINDOW + length - 1)
+
+
 def _named(length: int, reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
-            for lo, hi in chunks(offsets):
-                own = offsets[lo : hi + 1] - offsets[lo]
-                text, first, last, anchor, prefix = runs(data[offsets[lo] : offsets[hi]], own, length, reach)
+            for lo, hi, begin, end in pieces(offsets, length):
+                own = np.clip(offsets[lo : hi + 1], begin, end) - begin
+                text, first, last, anchor, prefix = runs(data[begin:end], own, length, reach)
                 core = range_hash(prefix, anchor, anchor + (length - reach + 1))
                 whole = mix(range_hash(prefix, first, last + length) + (anchor - first).astype(np.uint64))
-                at = ((first - own[text]) << 24) | ((last - first) << 12) | (anchor - first)
+                at = ((first + begin - offsets[lo + text]) << 24) | ((last - first) << 12) | (anchor - first)
                 who = pa.array(lo + text)
                 arrays = [batch.column(0).take(who), batch.column(1).take(who)]
                 arrays += [pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(at, pa.int64())]
@@ -140,8 +152,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty; a shorter text has no such string. Repeated rows are documents of their own, so each repeats the other.
     Null ids are kept; other columns are ignored; an empty table gives an empty result."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    docs = docs.select("id", F.hash("text").alias("salt"), "text")  # the salt tells texts apart that share an id
-    key = "id long, salt int"
+    docs = docs.select("id", F.xxhash64("text").alias("salt"), "text")  # the salt tells texts apart that share an id
+    key = "id long, salt long"
     named = arrow_map(docs, _named(length, reach), f"{key}, core long, whole long, at long")
     cores = named.groupBy("core").count().where("count > 1").select("core")
     live = stored(named.join(cores, "core"), "byte-repeats-runs")

@@ -70,10 +70,27 @@ def with_id(df: DataFrame, columns: str) -> StructType:
     return StructType([df.schema["id"], *StructType.fromDDL(columns).fields])
 
 
-def arrow_map(df: DataFrame, run, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` for functions of this package."""
+_kept: dict = {}
+
+
+def kept_model(key, make):
+    """What a worker has built for ``key``, the only thing of its kind that it keeps."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def arrow_map(df: DataFrame, run, schema: str | StructType, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` for functions of this package. Workers serve one step after the other; a step that does not
+    use ``kept_model`` (``keeps``) frees what an earlier one left there."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _kept.clear()
+        return run(batches)
+
+    return df.mapInArrow(run if keeps else freed, schema)
 
 
 def stored(df: DataFrame, label: str, *by: str) -> DataFrame:

@@ -17,14 +17,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map, chunks, text_bytes, with_id
+from quayside.llm.common import arrow_map, chunks, kept_model, text_bytes, with_id
 
 #: Labelled documents of one language that its sample is taken from.
 SAMPLE_DOCS = 400
@@ -206,11 +206,6 @@ def _table(codes: list[int], base: int) -> np.ndarray:
     return table.reshape(-1).astype(np.int32)
 
 
-@lru_cache(1)
-def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
-    return Model(samples)
-
-
 def _predict(model: Model, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[list[str], list[float], list[float]]]:
     for lo, hi in chunks(offsets):
         texts = [bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(offsets[lo:hi], offsets[lo + 1 : hi + 1], strict=True)]
@@ -257,15 +252,15 @@ def identify(
     return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
 
 
-def predict(texts: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """(id, lang_pred, score, fit) for the rows (id, text); the id may be of any type. ``fit`` is the bits that the best
+def predict(texts: DataFrame, samples: dict[str, str], with_text: bool = False) -> DataFrame:
+    """(id, lang_pred, score, fit[, text]) for the rows (id, text); the id may be of any type. ``fit`` is the bits that the best
     language needs for the text, beyond FREE_PHRASES phrases, by those that labelled text of that language needs: about
     1 or less for a text in it, whatever other languages there are."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(tuple(sorted(samples.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_of(shared.value)
+        model = kept_model(shared.value, lambda: Model(shared.value))
         for batch in batches:
             names, scores, fits = [], [], []
             for a, b, c in _predict(model, *text_bytes(batch.column(1))):
@@ -273,6 +268,6 @@ def predict(texts: DataFrame, samples: dict[str, str]) -> DataFrame:
                 scores += b
                 fits += c
             arrays = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "lang_pred", "score", "fit"])
+            yield pa.RecordBatch.from_arrays(arrays + [batch.column(1)] * with_text, ["id", "lang_pred", "score", "fit"] + ["text"] * with_text)
 
-    return arrow_map(texts, run, with_id(texts, "lang_pred string, score double, fit double"))
+    return arrow_map(texts, run, with_id(texts, "lang_pred string, score double, fit double" + ", text string" * with_text), keeps=True)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map, with_id
+from quayside.llm.common import arrow_map, kept_model, with_id
 
 CACHE = 150_000
 #: Texts of about so many characters make one output batch.
@@ -222,9 +222,6 @@ def _utf8(run: bytearray) -> str:
     return "".join(out)
 
 
-_models: dict[str, PieceBpe] = {}
-
-
 def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True) -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256, decoded[, token_ids]), one row for each row of ``df``, no shuffle.
 
@@ -236,9 +233,7 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     key = hashlib.sha256(repr(pieces.value).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _models.get(key)
-        if model is None:
-            model = _models[key] = PieceBpe(pieces.value)
+        model = kept_model(key, lambda: PieceBpe(pieces.value))
         for batch in batches:
             lo = size = 0
             for hi, value in enumerate(batch.column(1), 1):
@@ -267,4 +262,4 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", decoded string, token_ids array<int>" if ids else ""
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return arrow_map(texts, run, with_id(texts, schema)).withColumnRenamed("id", id_col)
+    return arrow_map(texts, run, with_id(texts, schema), keeps=True).withColumnRenamed("id", id_col)
