@@ -8,10 +8,10 @@ names, up to the last stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import carried, small, stored, table
+from quayside.llm.common import small, stored, table
 from quayside.llm.decontaminate import contained_items
 from quayside.llm.language import UNDETERMINED, predict, sample_texts
 from quayside.llm.near_dup import near_duplicates
@@ -22,38 +22,49 @@ from quayside.llm.queries import piece_model
 #: A text that needs more bits than this, by those that labelled text of its best language needs, is in no learned
 #: language. Of 500 documents that were not learned from, none needed more than 1.75; Finnish text needs 2.8.
 MOST_FIT = 2.5
-#: A share among languages, which depends on how many there are; no stage rejects by it any more.
-LEAST_SCORE = 0.3
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """A name that no column has."""
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    return name
+
+
+def _beside_text(docs: DataFrame) -> DataFrame:
+    """(id, text) with the other columns of the row as the id."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("id"), F.col("text").cast("string").alias("text"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that are in a language of the labelled ones. A null text, one without a letter and one
     that no language fits are rejected; one that several fit equally stays. A null ``lang`` becomes the language found."""
-    found = predict(carried(docs, "text"), sample_texts(docs, "doc_id", "text", "lang"))
+    found = predict(_beside_text(docs), sample_texts(docs, "doc_id", "text", "lang"), with_text=True)
     kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("fit") <= MOST_FIT))
-    rows = kept.select(F.col("id").withField("lang", F.coalesce("id.lang", "lang_pred")).alias("id"))
+    row = F.col("id").withField("lang", F.coalesce("id.lang", "lang_pred")).withField("text", F.col("text"))
+    rows = kept.select(row.alias("id"))
     return rows.select("id.*").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates (five-word shingles, similarity 0.8): the smallest id.
-
-    Rows that share an id are one document, of which the row with the smallest text stays, one without words only if
-    no other has any; rows with a null id are all kept."""
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        first = Window.partitionBy("doc_id").orderBy(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), "text")
-        numbered = docs.withColumn("_place", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(first)))
-        docs = stored(numbered.where("_place = 1").drop("_place"), "near-dedup-ids")
-    result = stored(near_duplicates(docs).where(~F.col("kept")).select("doc_id"), "near-dedup-dropped")
-    return docs.join(small(result), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Keeps one row of each group of near-duplicates (five-word shingles, similarity 0.8): the one with the smallest id, a
+    null id last. Each row is judged by its own text, whatever its id; rows that share an id but not the text both stay.
+    A text that is null, empty or without words is in no group and stays."""
+    row = _free("_row", docs)
+    # stored, so that a row's number stays the same
+    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-dedup-rows")
+    group = near_duplicates(keyed.select(F.col(row).alias("row"), "text"), "row").join(keyed.select(F.col(row).alias("row"), "doc_id"), "row")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    best = group.groupBy("component_id").agg(F.min(order).alias("best"), F.count("*").alias("n")).where("n > 1")
+    best = best.select("component_id", F.col("best.row").alias("first"))
+    result = stored(group.join(best, "component_id").where("row <> first").select(F.col("row").alias(row)), "near-dedup-dropped")
+    return keyed.join(small(result), row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that contain a benchmark item, each row judged by its own text, whatever its id."""
-    row = "_row"
-    while row in [c.lower() for c in docs.columns]:
-        row += "_"
+    """Drops the documents that contain a benchmark item, each row judged by its own text, whatever its id. A null or
+    empty text contains none."""
+    row = _free("_row", docs)
     # stored, so that a row's number stays the same
     keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
     found = contained_items(keyed.select(row, "text"), table(spark, sf_dir, "benchmark"), row)
@@ -62,8 +73,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data in the text by the name of its kind; ``n_chars`` follows. All documents stay."""
-    found = search(carried(docs, "text"))
+    """Replaces personal data in the text by the name of its kind; ``n_chars`` follows. All documents stay; a null text
+    stays null."""
+    found = search(_beside_text(docs))
     text = F.col("masked")
     row = F.col("id").withField("text", text)
     if "n_chars" in docs.columns:
@@ -72,7 +84,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, and the ids of the text with their number and hashes. All documents stay."""
+    """doc_id, lang, source, and the ids of the text with their number and hashes. All documents stay; a null or
+    empty text has no ids."""
     rows = docs.select(F.struct("doc_id", "lang", "source").alias("row"), "text")
     out = encode_texts(rows, piece_model(), "row")
     return out.select("row.*", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
