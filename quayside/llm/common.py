@@ -20,6 +20,8 @@ CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 1 << 25
 #: Rows of a few numbers (about 20 MB) up to which a table is broadcast.
 BROADCAST_ROWS = 200_000
+#: Rows of two ids that one task handles in no time.
+ONE_TASK = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,7 +114,14 @@ def discard(df: DataFrame, part: str = "") -> None:
 def checkpointed(df: DataFrame) -> DataFrame:
     """A reliable checkpoint on shared storage; for small tables of iterative steps."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    return packed(out, out.count())
+
+
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """In one partition if ``rows``, its number of rows, is at most ONE_TASK, so that the steps of a small table need
+    no shuffles of hundreds of nearly empty files."""
+    return df.coalesce(1) if rows <= ONE_TASK else df
 
 
 def small(df: DataFrame, weight: Column | None = None) -> DataFrame:
@@ -307,20 +316,21 @@ def components(edges: DataFrame) -> DataFrame:
     star = checkpointed(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     if star.isEmpty():
         return star.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    rows = star.count()
     loops = star.where("a = b").select("a", "b")
     star, before = star.where("a <> b"), None
     while True:
-        two = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        two = packed(star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b"))), rows)
         least = two.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = two.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = checkpointed(large.distinct())
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        star = checkpointed(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        star = checkpointed(packed(small.unionByName(least.select("a", F.col("m").alias("b"))), rows).distinct())
         now = star.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     roots = star.select(F.col("b").alias("a"), "b")
-    out = star.unionByName(roots).unionByName(loops)
+    out = packed(star.unionByName(roots).unionByName(loops), rows)
     return out.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
