@@ -15,6 +15,7 @@ from quayside.plans.calendar import calendar, stored_calendar
 from quayside.plans.catalog import feed_rollup, field_catalog
 from quayside.plans.catalog import overall_config as build_overall_config
 from quayside.plans.expected import at_cob, dataset_catalog, enrich_manifest, match_datasets, with_cobs
+from quayside.plans.expected import upload_chunks as build_upload_chunks
 from quayside.plans.expected import upload_plan as build_upload_plan
 from quayside.plans.sync import sync_table
 from quayside.plans.validate import metadata_problems as find_problems
@@ -353,6 +354,46 @@ SELECT source_file_path, destination_file_path, CAST(count(*) AS INT) AS n_files
 FROM f GROUP BY source_file_path, destination_file_path"""
 
 
+#: Files in one chunk of an upload.
+CHUNK = 250
+
+
+def upload_chunks(spark, sf_dir):
+    """The upload plan of few large source folders, one for each priority, in chunks of bounded size."""
+    cob = 20010131
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("source_system_code")
+    )
+    wanted = at_cob(
+        table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").select(
+            "source_system_code",
+            F.concat(F.lit("o"), "l_orderkey").alias("source_feed_code"),
+            F.lit(cob).alias("cob_id"),
+            F.lit("/land/|:YYYYMMDD:|/").alias("file_path"),
+            F.concat(F.lit("l"), "l_linenumber", F.lit("_"), "l_partkey", F.lit("_|:YYYYMM:|.csv")).alias("file_name"),
+        )
+    )
+    by_priority = feeds(spark, sf_dir).withColumn(
+        "source_file_path", F.regexp_replace("source_file_path", "^.*$", F.concat(F.lit("src/p"), F.substring("source_system_code", 1, 1), F.lit("/")))
+    )
+    return build_upload_chunks(by_priority, wanted, cob, "INT_SALES", limit=CHUNK, together=1000)
+
+
+SQL_UPLOAD_CHUNKS = f"""
+WITH f AS (
+  SELECT 'src/p' || left(o_orderpriority, 1) || '/' AS source_file_path, '/land/20010131/' AS destination_file_path,
+         'l' || l_linenumber || '_' || l_partkey || '_200101.csv' AS file_name
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' AND o_totalprice > 50000),
+n AS (
+  SELECT *, (row_number() OVER (PARTITION BY source_file_path ORDER BY md5(file_name)) - 1) // {CHUNK} + 1 AS chunk,
+         (count(*) OVER (PARTITION BY source_file_path) + {CHUNK - 1}) // {CHUNK} AS n_chunks
+  FROM f)
+SELECT source_file_path, destination_file_path, chunk, n_chunks, CAST(count(*) AS INT) AS n_files,
+       CAST(to_json({{'source_file_path': source_file_path, 'destination_file_path': destination_file_path, 'chunk': chunk,
+                      'n_chunks': n_chunks, 'file_list': list(file_name ORDER BY file_name)}}) AS VARCHAR) AS file_detail
+FROM n GROUP BY source_file_path, destination_file_path, chunk, n_chunks"""
+
+
 def matched_files(spark, sf_dir):
     """Each order is an arrived file; a dataset takes the files of one status in
     one priority folder, and another one takes every file of a container."""
@@ -728,6 +769,7 @@ QUERIES = {
     "calendar_nbd": calendar_nbd,
     "expected_datasets": expected_datasets,
     "upload_plan": upload_plan,
+    "upload_chunks": upload_chunks,
     "match_datasets": matched_files,
     "cob_from_path": cob_paths,
     "path_parts": path_parts,
@@ -754,6 +796,7 @@ ORACLES = {
     "calendar_nbd": SQL_CALENDAR_NBD,
     "expected_datasets": SQL_EXPECTED_DATASETS,
     "upload_plan": SQL_UPLOAD_PLAN,
+    "upload_chunks": SQL_UPLOAD_CHUNKS,
     "match_datasets": SQL_MATCHED_FILES,
     "cob_from_path": SQL_COB_PATHS,
     "path_parts": SQL_PATH_PARTS,

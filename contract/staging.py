@@ -19,7 +19,7 @@ from quayside.plans.expected import at_cob, dataset_catalog, with_cobs
 from quayside.plans.stage import StageOptions, manifest_of, stage_files, table_path
 from quayside.session import scratch_path
 from quayside.sources.formats import FORMATS
-from quayside.sources.listing import list_files, list_storage
+from quayside.sources.listing import list_files, list_storage, list_wanted
 from quayside.sources.scan import BLOCK, PATH, ROW, SEQ, marked_lines, number_rows, read_named
 from quayside.sources.sinks import append_load, not_yet_loaded, reload_by_dataset, reload_by_file
 from quayside.streaming.ingest import file_stream, ingest
@@ -329,6 +329,36 @@ SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT), 'EXT.BOX', 'in/o' || o_orde
 FROM orders WHERE o_orderstatus <> 'P'"""
 
 
+def wanted_listing(spark, sf_dir):
+    """Orders as text files by status and month. Every second month of the finished ones is expected, the open ones as a
+    whole and by month, and a folder that does not exist; the others are not to be walked."""
+    root = work_dir(spark, "wanted")
+    month = F.date_format("o_orderdate", "yyyyMM")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("value"), F.col("o_orderstatus").alias("kind"), month.alias("month"))
+    orders.hint("rebalance", "kind", "month").write.partitionBy("kind", "month").text(f"{root}/in")
+    months = orders.select("kind", "month").distinct()
+    by_month = months.where("kind = 'O' OR kind = 'F' AND month % 2 = 0").select(F.concat(F.lit("/in/kind="), "kind", F.lit("/month="), "month", F.lit("/")))
+    whole = spark.createDataFrame([("/in/kind=O/",), ("/in/kind=X",)], "folder_path_cob string")
+    expected = by_month.toDF("folder_path_cob").unionByName(whole).withColumns(
+        {"cob_id": F.lit(20020101), "stage_name": F.lit("EXT.BOX"), "file_extension": F.lit("txt")}
+    )
+    files = list_wanted(spark, root, expected)
+    # names are absolute; the root is where their part below it begins
+    below = files.withColumn("name", F.regexp_extract("name", "/in/.*$", 0))
+    found = list_storage(below, expected, "", F.lit("2002-01-01").cast("timestamp_ntz"))
+    other = below.where(F.contains("name", F.lit("kind=P")) | F.rlike("name", F.lit("kind=F/month=....[0-9]*[13579]/"))).agg(F.count(F.lit(1))).scalar()
+    return found.groupBy("folder").agg(F.sum("size").alias("n_bytes"), (F.count("name") > 0).alias("has_files")).withColumn("n_unwanted", other)
+
+
+SQL_WANTED_LISTING = """
+WITH b AS (SELECT o_orderstatus AS kind, strftime(o_orderdate, '%Y%m') AS month, sum(length(CAST(o_orderkey AS VARCHAR)) + 1) AS n FROM orders GROUP BY ALL),
+w AS (
+  SELECT 'in/kind=' || kind || '/month=' || month || '/' AS folder, n FROM b WHERE kind = 'O' OR kind = 'F' AND CAST(month AS INT) % 2 = 0
+  UNION ALL SELECT 'in/kind=O/', sum(n) FROM b WHERE kind = 'O'
+  UNION ALL SELECT 'in/kind=X', NULL)
+SELECT folder, CAST(n AS BIGINT) AS n_bytes, n IS NOT NULL AS has_files, 0::BIGINT AS n_unwanted FROM w"""
+
+
 def expected_files(codes, name, folder, kind, declared, days, as_of, bad_rows=1) -> DataFrame:
     """The datasets of ``codes`` (code) at the COBs of a calendar: one feed and dataset each, all loading into one table."""
     none = F.lit(None).cast("string")
@@ -448,6 +478,7 @@ QUERIES = {
     "file_row_numbers": row_numbers,
     "file_listing": file_listing,
     "list_storage": storage_listing,
+    "list_wanted": wanted_listing,
     "stage_files": staged_orders,
     "stage_json": staged_json,
     "stage_parquet": staged_parquet,
@@ -467,6 +498,7 @@ ORACLES = {
     "file_row_numbers": SQL_ROW_NUMBERS,
     "file_listing": SQL_FILE_LISTING,
     "list_storage": SQL_STORAGE_LISTING,
+    "list_wanted": SQL_WANTED_LISTING,
     "stage_files": SQL_STAGED_ORDERS,
     "stage_json": SQL_STAGED_ORDERS,
     "stage_parquet": SQL_STAGED_ORDERS,

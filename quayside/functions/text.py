@@ -87,6 +87,28 @@ def glob_like(name, pattern) -> Column:
     return F.like(F.upper(lit_or_col(name)), as_like)
 
 
+def glob_head(pattern) -> Column:
+    """Upper-case head of a name pattern of :func:`glob_like`: its places up to the first wildcard of any length."""
+    return F.regexp_extract(F.upper(lit_or_col(pattern)), r"^([^*%\\]*)", 1)
+
+
+def head_layout(head) -> Column:
+    """Places of a pattern's head: ``x`` for a literal letter, ``_`` for any letter."""
+    return F.regexp_replace(lit_or_col(head), "(?s)[^_]", "x")
+
+
+def key_of_layout(name, layout) -> Column:
+    """Letters of a name at the literal places of a layout, ``_`` at the others. Names shorter than the layout give a
+    shorter key. A name fits the head of a pattern exactly if this key equals the head."""
+    name, layout = F.upper(lit_or_col(name)), lit_or_col(layout)
+    letters = F.transform(
+        F.sequence(F.lit(1), F.length(layout)),
+        lambda i: F.when(F.substr(layout, i, F.lit(1)) == "_", F.substr(F.regexp_replace(name, "(?s).", "_"), i, F.lit(1)))
+        .otherwise(F.substr(name, i, F.lit(1))),
+    )
+    return F.when(F.contains(layout, F.lit("_")), F.array_join(letters, "")).otherwise(F.substr(name, F.lit(1), F.length(layout)))
+
+
 def csv_cells(line: Column, delimiter: str) -> Column:
     """Cells of a line as they stand, quotes included; a delimiter inside double quotes does not split. Every cell is
     found as a delimiter and what follows it, so the search is linear and needs no look-ahead."""

@@ -9,17 +9,17 @@ from pyspark.sql import functions as F
 from quayside.operators.unstaged import cob_range, retry_set, unstaged_files
 from quayside.plans.log import current_log
 from quayside.plans.stage import StageOptions, stage_files
-from quayside.sources.listing import list_files, list_storage
+from quayside.sources.listing import list_storage, list_wanted
 
 
 def list_latest(
     spark: SparkSession, root: str, expected: DataFrame, log: DataFrame, as_of: Column, k: int
 ) -> DataFrame:
-    """List the folders expected for the ``k`` latest loaded COBs."""
+    """List the folders expected for the ``k`` latest loaded COBs; other folders are not opened."""
     span = cob_range(log, k)
     first, last = span.select("cob_start").scalar(), span.select("cob_end").scalar()
     wanted = expected.where(F.col("cob_id").between(first, last))
-    files = list_files(spark, root).withColumn("stage_url", F.lit(root))
+    files = list_wanted(spark, root, wanted).withColumn("stage_url", F.lit(root))
     return list_storage(files, wanted, F.col("stage_url"), as_of).withColumn("stage_url", F.lit(root))
 
 

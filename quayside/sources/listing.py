@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.paths import ancestors, depth, folder_parts, slash_wrapped
+from quayside.sources.sinks import path_exists
 
 LISTING_KEYS = ["cob_id", "stage_name", "folder", "file_extension"]
 
 
 def list_files(
-    spark: SparkSession, root: str, regex: str | None = None, with_md5: bool = False, include_empty: bool = False
+    spark: SparkSession,
+    root: str | Sequence[str],
+    regex: str | None = None,
+    with_md5: bool = False,
+    include_empty: bool = False,
 ) -> DataFrame:
-    """``(name, size, last_modified[, md5])`` of the files below ``root``.
-    Contents are read only when the checksum is asked for. Spark's file scan
-    leaves empty files out; ``include_empty`` (for folders with empty trigger
-    files) adds them from a walk over the folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    """``(name, size, last_modified[, md5])`` of the files below ``root`` (one or
+    several folders). Contents are read only when the checksum is asked for. Spark's
+    file scan leaves empty files out; ``include_empty`` (for folders with empty
+    trigger files) adds them from a walk over the folders."""
+    roots = [root] if isinstance(root, str) else list(root)
+    return _listed(spark, roots, roots, regex, with_md5, include_empty)
+
+
+def _listed(spark: SparkSession, roots: list[str], scanned: list[str], regex, with_md5: bool, include_empty: bool) -> DataFrame:
     columns: list[Column] = [
         F.col("path").alias("name"),
         F.col("length").alias("size"),
@@ -27,20 +38,55 @@ def list_files(
     ]
     if with_md5:
         columns.append(F.md5("content").alias("md5"))
+    if scanned:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(scanned)
+    else:
+        files = spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, content binary")
     files = files.select(*columns)
-    if include_empty:
-        files = files.unionByName(_empty_files(spark, root), allowMissingColumns=True)
+    if include_empty and roots:
+        files = files.unionByName(_empty_files(spark, roots), allowMissingColumns=True)
     return files.where(F.rlike("name", F.lit(regex))) if regex else files
 
 
-def _empty_files(spark: SparkSession, root: str) -> DataFrame:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    walk = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+def top_folders(folders: DataFrame, column: str = "folder_path_cob") -> DataFrame:
+    """Distinct folders (``/a/b/``) of a column that lie in no other folder of it."""
+    every = folders.select(slash_wrapped(column).alias("folder")).distinct()
+    above = every.withColumn("_above", F.explode(ancestors(folder_parts("folder")))).where(F.col("_above") != F.col("folder"))
+    inner = above.join(every.select(F.col("folder").alias("_above")), "_above", "left_semi").select("folder")
+    return every.join(inner.distinct(), "folder", "left_anti")
+
+
+def list_wanted(
+    spark: SparkSession, root: str, expected: DataFrame, regex: str | None = None, with_md5: bool = False, include_empty: bool = False
+) -> DataFrame:
+    """As :func:`list_files`, of the expected folders below ``root`` only: the walk starts at these folders, so nothing
+    beside them is opened, and Spark hands it to executors once it has more folders than
+    ``spark.sql.sources.parallelPartitionDiscovery.threshold``. The driver holds the expected folders of the COBs asked
+    for (configuration, not files) and asks for each whether it exists."""
+    heads = [root.rstrip("/") + r["folder"] for r in top_folders(expected).toLocalIterator()]
+    with ThreadPoolExecutor(LOOKUPS) as pool:
+        there = [h for h, found in zip(heads, pool.map(lambda h: path_exists(spark, h), heads), strict=True) if found]
+    return _listed(spark, there, [_literally(h) for h in there], regex, with_md5, include_empty)
+
+
+def _literally(path: str) -> str:
+    """A path whose letters that a scan would read as a pattern stand for themselves."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+#: Folders whose existence is asked for at once.
+LOOKUPS = 16
+
+
+def _empty_files(spark: SparkSession, roots: list[str]) -> DataFrame:
     found = []
-    while walk.hasNext():
-        f = walk.next()
-        if f.getLen() == 0:
-            found.append((f.getPath().toString(), 0, f.getModificationTime()))
+    for root in roots:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        walk = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while walk.hasNext():
+            f = walk.next()
+            if f.getLen() == 0:
+                found.append((f.getPath().toString(), 0, f.getModificationTime()))
     rows = spark.createDataFrame(found, "name string, size bigint, ms bigint")
     return rows.select("name", "size", F.timestamp_millis("ms").alias("last_modified"))
 

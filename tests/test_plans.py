@@ -1,9 +1,11 @@
 import datetime as dt
+import json
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.functions.text import glob_like
 from quayside.plans import calendar, catalog, expected, sync, validate
 
 FILE = (
@@ -233,3 +235,51 @@ def test_views_and_sql_functions(spark):
 def test_upload_request(spark):
     plan = spark.createDataFrame([("{}", "a")], "file_detail string, source_file_path string")
     assert tuple(expected.upload_request(plan, 20240105, "INT_X").first()) == ("{}", 20240105, "INT_X")
+
+
+def test_many_datasets_of_one_folder_are_told_apart_by_a_key(spark):
+    n = 1000
+    rows = [("ds%d" % i, f"SALES_{i:04d}_*.csv") for i in range(n)]
+    exp = spark.createDataFrame(rows, "dataset_name string, file_name_cob string").withColumns(
+        {"cob_id": F.lit(20240105), "container_name": F.lit(""), "folder_path_cob": F.lit("/in/")}
+    )
+    files = spark.createDataFrame(
+        [(20240105, "", "in/sub", f"sales_{i:04d}_x.csv") for i in range(n)] + [(20240105, "", "in", "salesX0007Y.csv")],
+        "cob_id bigint, container_name string, source_folder string, file_name string",
+    )
+    # a file is tested against its own dataset, not against every dataset of the folder
+    assert expected.name_candidates(files, exp).count() == n + 1
+    got = {(r["file_name"], r["dataset_name"]) for r in expected.match_datasets(files, exp).collect()}
+    assert got == {(f"sales_{i:04d}_x.csv", f"ds{i}") for i in range(n)} | {("salesX0007Y.csv", "ds7")}
+
+
+NAMES = ["", "a", "A_b", "ab", "a%b", "ab.csv", "xab.csv", "a\\b", "aXb.csv", "ä_b", "AÄb", "a\nb", "𝒳ab", "aab"]
+PATTERNS = ["", "*", "a*", "A_b*", "_b", "a%", "a_b.csv", "*ab*", "__*", "ab", "Ä_*", "𝒳_*", "a*b_", "___b*"]
+
+
+def test_match_equals_like_on_every_pair(spark):
+    files = spark.createDataFrame([(1, "", "in", x) for x in [*NAMES, None, "ab"]], "cob_id bigint, container_name string, source_folder string, file_name string")
+    exp = spark.createDataFrame([(1, "", "/in/", x) for x in [*PATTERNS, None]], "cob_id int, container_name string, folder_path_cob string, file_name_cob string")
+    got = sorted((r["file_name"], r["file_name_cob"]) for r in expected.match_datasets(files, exp).collect())
+    pairs = spark.createDataFrame([(x, p) for x in [*NAMES, "ab"] for p in PATTERNS], "x string, p string")
+    want = sorted((r["x"], r["p"]) for r in pairs.where(glob_like("x", "p")).collect())
+    assert got == want and len(want) > 40
+
+
+def test_upload_chunks(spark):
+    files = [("S", f"f{i}", True, "src/" if i else "") for i in range(3)]
+    feeds = spark.createDataFrame(files, "source_system_code string, source_feed_code string, is_enabled boolean, source_file_path string")
+    names = [("S", "f1", 7, f"n{i}.csv", "/land/") for i in range(100)] + [("S", "f2", 7, "again.csv", "/land/")] * 50 + [("S", "f2", 7, "b.csv", "/other/")]
+    exp = spark.createDataFrame(
+        [*names, ("S", "f0", 7, "gone.csv", "/land/"), ("S", "f1", 8, "late.csv", "/land/")],
+        "source_system_code string, source_feed_code string, cob_id int, file_name_cob string, folder_path_cob string",
+    )
+    out = expected.upload_chunks(feeds, exp, 7, "INT_SALES", limit=20, together=9).collect()
+    for folder, n in [("/land/", 150), ("/other/", 1)]:
+        mine = [json.loads(r["file_detail"]) for r in out if r["destination_file_path"] == folder]
+        assert sorted(d["chunk"] for d in mine) == list(range(1, -(-n // 20) + 1))
+        assert {d["n_chunks"] for d in mine} == {-(-n // 20)}
+        assert all(len(d["file_list"]) == 20 for d in mine if d["chunk"] < d["n_chunks"])
+        assert sorted(x for d in mine for x in d["file_list"]) == sorted(x[3] for x in names if x[4] == folder)
+    plan = expected.upload_chunks(feeds, exp.limit(0), 7, "INT_SALES", limit=20)
+    assert plan.count() == 0

@@ -108,6 +108,21 @@ def test_listing(spark, tmp_path):
     assert "content" not in plan
 
 
+def test_listing_of_wanted_folders(spark, tmp_path):
+    for name in ("in/a/x.csv", "in/a/deep/y.csv", "in/b/z.csv", "in/{c}[1]/q.csv", "other/big/n.csv"):
+        write(tmp_path / name, "1")
+    write(tmp_path / "in/a/empty.csv", "")
+    wanted = spark.createDataFrame([("/in/a/",), ("/in/a/deep/",), ("in/{c}[1]",), ("/in/none/",)], "folder_path_cob string")
+    assert sorted(r[0] for r in listing.top_folders(wanted).collect()) == ["/in/a/", "/in/none/", "/in/{c}[1]/"]
+    files = listing.list_wanted(spark, str(tmp_path), wanted, include_empty=True)
+    names = sorted(r["name"].split("/in/", 1)[1] for r in files.select("name").collect())
+    assert names == sorted(["a/x.csv", "a/deep/y.csv", "a/empty.csv", "{c}[1]/q.csv"])
+    # the scan was given the wanted folders; what lies beside them was never listed
+    assert not [f for f in listing.list_wanted(spark, str(tmp_path), wanted).inputFiles() if "/other/" in f or "/b/" in f]
+    assert listing.list_wanted(spark, str(tmp_path), wanted.where(F.lit(False)), with_md5=True).count() == 0
+    assert listing.list_wanted(spark, str(tmp_path), wanted.where("folder_path_cob = '/in/none/'"), include_empty=True).count() == 0
+
+
 def test_listing_log_versions(spark):
     keys = "cob_id int, stage_name string, folder string, file_extension string, name string, process_timestamp int"
     log = spark.createDataFrame([(1, "s", "a/", "csv", "f1", 1, True), (2, "s", "a/", "csv", "f2", 1, True)], keys + ", flag_last_version boolean")
