@@ -93,7 +93,7 @@ SQL_TYPED = f"WITH {_TYPED} SELECT * FROM typed"
 
 def error_policy(spark, sf_dir):
     """A file per part; files with three bad rows or more are left out."""
-    return apply_error_policy(_typed(spark, sf_dir), "l_partkey", BAD, 3).select(
+    return apply_error_policy(_typed(spark, sf_dir), "l_partkey", BAD, 3, work=f"{work_dir(spark, 'policy')}/rows").select(
         F.col("order_id").cast("bigint").alias("order_id"), "l_partkey", "l_suppkey", "l_linenumber"
     )
 

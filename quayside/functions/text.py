@@ -103,8 +103,7 @@ def key_of_layout(name, layout) -> Column:
     name, layout = F.upper(lit_or_col(name)), lit_or_col(layout)
     letters = F.transform(
         F.sequence(F.lit(1), F.length(layout)),
-        lambda i: F.when(F.substr(layout, i, F.lit(1)) == "_", F.substr(F.regexp_replace(name, "(?s).", "_"), i, F.lit(1)))
-        .otherwise(F.substr(name, i, F.lit(1))),
+        lambda i: F.when((F.substr(layout, i, F.lit(1)) == "_") & (i <= F.length(name)), "_").otherwise(F.substr(name, i, F.lit(1))),
     )
     return F.when(F.contains(layout, F.lit("_")), F.array_join(letters, "")).otherwise(F.substr(name, F.lit(1), F.length(layout)))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quayside.functions.names import header_name, inferred_name
 from quayside.functions.paths import cob_from_path
 from quayside.functions.text import trigger_map
-from quayside.operators.errors import skipped_files
+from quayside.operators.errors import parsed_once, skipped_files
 from quayside.operators.headers import header_cells
 from quayside.operators.merge import conform
 from quayside.operators.profile import infer_types
@@ -53,6 +53,7 @@ from quayside.sources.sinks import (
     read_table,
     reload_by_dataset,
     reload_by_file,
+    remove_path,
 )
 
 # Text of the failures a retry cannot mend.
@@ -268,8 +269,8 @@ def _shape_to_table(df: DataFrame, path: str, table: str, options: StageOptions)
     return fitted, "Staging table creation not requested."
 
 
-def _stage_dataset(spark, dataset: Row, paths: list[str], cobs: list[int], options, as_of, work: str):
-    """Load one dataset; returns ``(per-file results, target table, columns, message)``."""
+def _stage_dataset(spark, dataset: Row, paths: list[str], cobs: list[int], options, as_of, scratch: str):
+    """Load one dataset; returns ``(per-file results, target table, columns, message)``. The results lie in ``scratch``."""
     feed = dataset["feed"]
     table = feed["destination_full_table_name"]
     path = table_path(options, table)
@@ -278,9 +279,11 @@ def _stage_dataset(spark, dataset: Row, paths: list[str], cobs: list[int], optio
     rows = read_feed(spark, paths, feed, options, known)
     shaped, message = _shape_to_table(rows, path, table, options)
 
-    # first pass: row and error counts, one row per split of the files
-    stats_path = f"{work}/stats-{uuid.uuid4().hex}"
-    split_stats(rows, rows_bad=F.count_if(F.col(BAD))).write.parquet(stats_path)
+    # the files are parsed once; counts and load read what was parsed
+    shaped = parsed_once(shaped, f"{scratch}/rows")
+    # row and error counts, one row per split of the files
+    stats_path = f"{scratch}/stats"
+    split_stats(shaped, rows_bad=F.count_if(F.col(BAD))).write.parquet(stats_path)
     splits = spark.read.parquet(stats_path)
     errors = splits.groupBy(PATH).agg(F.sum("_n").alias("rows_parsed"), F.sum("rows_bad").alias("rows_bad"))
     limit = int(feed["skip_row_on_error"] or 0)
@@ -292,7 +295,7 @@ def _stage_dataset(spark, dataset: Row, paths: list[str], cobs: list[int], optio
         "file_name", _below_root(options)
     )
 
-    # second pass: the good rows of the files that stay
+    # the good rows of the files that stay
     good = number_rows(shaped, splits=splits).where(~F.col(BAD)).drop(BAD, BLOCK, SEQ)
     good = good.join(errors.where("skipped").select(PATH), PATH, "left_anti")
     good = _with_lineage(good, dataset, options, as_of)
@@ -399,6 +402,13 @@ def stage_files(
     log(todo, "RUNNING", result_of(), ended=False)
 
     def stage_one(dataset: Row) -> None:
+        scratch = f"{work}/dataset-{uuid.uuid4().hex}"
+        try:
+            load_one(dataset, scratch)
+        finally:
+            remove_path(spark, scratch)
+
+    def load_one(dataset: Row, scratch: str) -> None:
         mine = todo.where(F.col("dataset_name") == dataset["dataset_name"])
         given = mine.select("path", "cob_id").distinct().collect()
         paths, cobs = sorted({r[0] for r in given}), sorted({r[1] for r in given})
@@ -411,7 +421,7 @@ def stage_files(
         try:
             # one writer at a time for a table: a reload by file rewrites partitions that other datasets may share
             with table_locks[dataset["feed"]["destination_full_table_name"]]:
-                results, table, columns, message = _stage_dataset(spark, dataset, paths, cobs, run, as_of, work)
+                results, table, columns, message = _stage_dataset(spark, dataset, paths, cobs, run, as_of, scratch)
         except Exception as e:  # noqa: BLE001 - any failure of a dataset is logged
             failure = result_of(exception=F.lit(_told(e)), is_error=F.lit(True))
             return log(mine, "FAILED", failure)
