@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -83,13 +85,24 @@ def kept_model(key, make):
     return _kept[key]
 
 
+def free_memory() -> None:
+    """Give memory that this worker no longer uses back to the system, which Python and Arrow alone would keep for reuse;
+    nothing happens where the C library has no such call."""
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, run, schema: str | StructType, keeps: bool = False) -> DataFrame:
     """``mapInArrow`` for functions of this package. Workers serve one step after the other; a step that does not
     use ``kept_model`` (``keeps``) frees what an earlier one left there."""
     ship(df.sparkSession)
 
     def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _kept.clear()
+        free_memory()
         return run(batches)
 
     return df.mapInArrow(run if keeps else freed, schema)
@@ -111,6 +124,13 @@ def discard(df: DataFrame, part: str = "") -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps. It does so when the driver's JVM finds that nothing refers to
+    them, which in a short loop of many steps would be long after their disk is needed."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """A reliable checkpoint on shared storage; for small tables of iterative steps."""
     shared_dir(df.sparkSession)

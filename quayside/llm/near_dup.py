@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import arrow_map, checkpointed, chunks, components, constants, mix, shingles, small, stored, text_bytes, words
+from quayside.llm.common import arrow_map, checkpointed, chunks, components, constants, discard, mix, release, shingles, small, stored, text_bytes, words
 
 BANDS = 50
 ROWS = 3
@@ -98,7 +98,8 @@ def _beyond(own: np.ndarray, other: np.ndarray) -> np.ndarray | None:
 def _judge(pairs: DataFrame, texts: DataFrame, size: int, percent: int, beyond: bool = False) -> DataFrame:
     """(a, b, common, linked[, a_beyond, b_beyond]) of the pairs (a, b): common shingles, whether the sets are similar enough,
     and what each has beyond the other. The texts
-    come by two joins on an id; a document that many pairs hold is a skewed key of the left side, which Spark splits."""
+    come by two joins on an id, those of no pair left out before they are shuffled; a document that many pairs hold is a
+    skewed key of the left side, which Spark splits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,7 +119,8 @@ def _judge(pairs: DataFrame, texts: DataFrame, size: int, percent: int, beyond:
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     one = texts.join(small(pairs), F.col("id") == F.col("b")).select("a", "b", F.col("text").alias("t"))
-    two = one.join(texts, F.col("id") == F.col("a")).select("a", "b", "t", "text")
+    needed = small(pairs.select(F.col("a").alias("id")).distinct())
+    two = one.join(texts.join(needed, "id", "left_semi"), F.col("id") == F.col("a")).select("a", "b", "t", "text")
     names = ["a", "b", "common", "linked"] + ["a_beyond", "b_beyond"] * beyond
     every = arrow_map(two, run, "a long, b long, common long, linked boolean" + ", a_beyond array<int>, b_beyond array<int>" * beyond)
     return every.groupBy("a", "b").agg(F.max("common").alias("common"), F.max("linked").alias("linked"), *[F.first(c).alias(c) for c in names[4:]])
@@ -154,9 +156,10 @@ def near_duplicates(
     classes = stored(classes.agg(F.min("id").alias("node"), F.min_by("bands", "id").alias("bands")), "near-dup-classes")
     member = classes.select("node", "n", F.explode("bands").alias("band"))
     shared = member.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("m"))
-    member = stored(member.join(shared.where("x < y").select("band", "m"), "band"), "near-dup-buckets")
-    weight = member.groupBy("node").agg(F.sum("m").alias("weight"))
-    member = stored(member.join(weight, "node").select("band", "node", "n", "weight"), "near-dup-members")
+    buckets = stored(member.join(shared.where("x < y").select("band", "m"), "band"), "near-dup-buckets")
+    weight = buckets.groupBy("node").agg(F.sum("m").alias("weight"))
+    member = stored(buckets.join(weight, "node").select("band", "node", "n", "weight"), "near-dup-members")
+    discard(buckets)
     nodes = small(member.select(F.col("node").alias("id")).distinct())
     texts = stored(rows.join(nodes, "id", "left_semi"), "near-dup-texts")
 
@@ -200,6 +203,9 @@ def near_duplicates(
         fresh = met.select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b")).distinct()
         pairs = checkpointed(fresh.join(judged, ["a", "b"], "left_anti"))
         judged = judged.unionByName(pairs)
+        release(df.sparkSession)
+    discard(member)
+    discard(texts)
     of_class = classes.select("n", "hi", "lo", "node")
     out = sketch.join(of_class, ["n", "hi", "lo"], "left").select("id", "n", F.coalesce("node", "id").alias("node"))
     if labels is not None:
