@@ -77,35 +77,41 @@ def with_id(df: DataFrame, columns: str) -> StructType:
 _kept: dict = {}
 
 
-def kept_model(key, make):
-    """What a worker has built for ``key``, the only thing of its kind that it keeps."""
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = make()
-    return _kept[key]
-
-
 def free_memory() -> None:
     """Give memory that this worker no longer uses back to the system, which Python and Arrow alone would keep for reuse;
     nothing happens where the C library has no such call."""
-    _kept.clear()
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
 
 
+def forget() -> None:
+    """Free what an earlier step left in this worker."""
+    _kept.clear()
+    gc.collect()
+    free_memory()
+
+
+def kept_model(key, make):
+    """What a worker has built for ``key``, the only thing of its kind that it keeps."""
+    if key not in _kept:
+        forget()
+        _kept[key] = make()
+        free_memory()
+    return _kept[key]
+
+
 def arrow_map(df: DataFrame, run, schema: str | StructType, keeps: bool = False) -> DataFrame:
     """``mapInArrow`` for functions of this package. Workers serve one step after the other; a step that does not
     use ``kept_model`` (``keeps``) frees what an earlier one left there."""
     ship(df.sparkSession)
 
     def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
+        free_memory() if keeps else forget()
         return run(batches)
 
-    return df.mapInArrow(run if keeps else freed, schema)
+    return df.mapInArrow(freed, schema)
 
 
 def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
