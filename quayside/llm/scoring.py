@@ -7,7 +7,7 @@ entered, therefore a pair counts no more than either of its words. Probabilities
 p(w | v) = (n(v, w) + MASS * p(w)) / (n(v) + MASS).
 
 The filter is of fixed size, whatever the corpus, and is broadcast. It is built by segments of the hash range, each in
-one task, and only its finished bits pass the driver. When all pairs would fill one filter beyond ``ENTRY_BITS`` bits an
+one task; its finished bits are stored and pass the driver file by file, not all at once. When all pairs would fill one filter beyond ``ENTRY_BITS`` bits an
 entry, pairs are dealt by hash over as many filters as needed; each is broadcast in its turn and scores the tokens whose
 pair it holds, so no pair is left out at any size.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quayside.llm.common import BLOCK_BYTES, arrow_map, blocks, chunks, constants, discard, from_planes, mix, planes, ship, stored, text_bytes, with_id, words
+from quayside.llm.common import BLOCK_BYTES, arrow_map, blocks, chunks, constants, discard, from_planes, mix, planes, release, ship, stored, text_bytes, with_id, words
 
 #: Bits of a filter (64 MB), always all of them.
 FILTER_BITS = 1 << 29
@@ -248,12 +248,16 @@ def score_texts(
     scores = []
     for i in range(filters):
         mine = pairs if filters == 1 else pairs.where(F.col("segment").between(i * each, (i + 1) * each - 1))
+        finished = stored(_filter(mine, segment_bits), "scoring-filter")
+        release(spark)
         bits = np.zeros(filter_bits // 8, np.uint8)
-        for row in _filter(mine, segment_bits).collect():
+        for row in finished.toLocalIterator():
             at = (row["segment"] - i * each) * (segment_bits // 8)
             bits[at : at + segment_bits // 8] = np.frombuffer(row["bits"], np.uint8)
+        discard(finished)
         sent = spark.sparkContext.broadcast(bits)
         del bits
+        release(spark)
         run = _scorer(sent, i * each, filters * each, segment_bits, total, distinct, ends, schema.names)
         ship(spark)
         scored = units.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(run, schema)

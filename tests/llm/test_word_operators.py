@@ -123,6 +123,16 @@ def test_scores_of_odd_rows(spark):
     assert [r["score"] for r in scoring.score_texts(frame(spark, ["x"], [None])).collect()] == [0.0]  # nothing was learned
 
 
+def test_filter_never_passes_the_driver_at_once(spark, monkeypatch):
+    df = frame(spark, [prose(i, 60) for i in range(10)])
+    kind, columns = type(df), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: (columns.extend(self.columns), collect(self))[1])
+    scored = scoring.score_texts(df)
+    assert columns and "bits" not in columns
+    assert len(scored.collect()) == 10
+
+
 def test_levels_never_promise_more(spark):
     n = np.arange(1, 5000)
     assert (scoring.LEVELS[np.searchsorted(scoring.LEVELS, n, "right") - 1] <= n).all()
