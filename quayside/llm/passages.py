@@ -12,10 +12,14 @@ that what is left has the same smallest values for all of them, and meet other d
 shuffle. Windows of equal content form a class first: if it has several documents they are exact repeats as a whole, and
 one window stands for it. Of the classes in such a group the first in the order of ids is the hub and every other one is
 laid over it at the node (the intervals must overlap by WINDOW shingles), then over the first 8, 64, ..., until each
-class has met every other. A pair is left out only if it can add nothing: its overlap lies in passages on both sides and
-its documents are in one component, or the same region was verified before. Pairs are verified on the shingles: a
+class has met every other. A pair is left out only if it can add nothing: the same region was verified before, or no piece
+of the overlap can be near that lies outside the passages of either side or links two components. Whether a piece can
+be near is read from two bytes of each shingle, which all windows carry: equal shingles have equal bytes, so this rules
+out no piece that the shingles would confirm. Of the overlaps that would join the same components or add the same place
+to a document the likeliest goes first; the others wait and are dropped only when passages and links found meanwhile
+leave them nothing to add. Overlaps are verified on the shingles: a
 passage is a run of WINDOW-shingle pieces that each share at least ``PERCENT`` of their shingles with the other
-document's piece beside it. A group of many different classes whose overlaps stay uncovered costs a pair for each two.
+document's piece beside it. A group of many different classes costs a comparison of bytes for each two.
 """
 
 from __future__ import annotations
@@ -27,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import _BASE_INVERSE, arrow_map, chunks, components, constants, mix, powers, shingles, small, stored, text_bytes, words
+from quayside.llm.common import (
+    _BASE_INVERSE, ONE_TASK, arrow_map, chunks, components, constants, discard, mix, powers, release, shingles, small, stored, text_bytes, words,
+)
 
 SHINGLE = 5
 #: Shingles of the shortest passage; 46 five-word shingles are 50 words.
@@ -39,6 +45,12 @@ FUNCTIONS = 2
 PERCENT = 80
 #: Runs that are taken together when the smallest value of each is looked for.
 BLOCK = 1 << 23
+#: Classes of a group that one task lays over the hubs.
+SLICE = 512
+#: Pairs that are compared by bytes together.
+COMPARED = 1024
+#: An overlap of two texts: places lo to hi of a, and those before them by shift of b.
+REGION = ["a", "b", "shift", "lo", "hi"]
 
 _SEED = constants(53, BANDS * FUNCTIONS).reshape(BANDS, FUNCTIONS)
 _TERM = constants(59, FUNCTIONS)
@@ -122,11 +134,57 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["id", "key", "left", "node", "right", "same"])
 
 
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (id, text): the shingles of each text, and two bytes of each."""
+    for batch in batches:
+        for lo, shingle, begin in sequences(*text_bytes(batch.column(1))):
+            parts = [shingle[i:j] for i, j in zip(begin, begin[1:], strict=False)]
+            arrays = [pa.array([x.astype("<u2").tobytes() for x in parts], pa.binary()), pa.array([x.tobytes() for x in parts], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(parts)), *arrays], ["id", "marks", "shingles"])
+
+
+def may_add(x: list[bytes], y: list[bytes], start: np.ndarray, first: np.ndarray, last: np.ndarray, window: int = WINDOW):
+    """(first place, last place, most shingles in common) of the pieces of each overlap that can add something, places
+    within the overlap; 0 in common if there are none. x, y: two bytes of each of its shingles on both sides; start: its first
+    place on either side; pieces from place first to last on both sides (each 2 x n) are passages already."""
+    size = np.array([len(t) // 2 for t in x])
+    width = int(size.max())
+    own, other = np.zeros((2, len(x), width), np.uint16)
+    inside = np.arange(width) < size[:, None]
+    own[inside], other[inside] = np.frombuffer(b"".join(x), "<u2"), np.frombuffer(b"".join(y), "<u2")
+    other = np.where(inside, other, other[:, :1])
+    have = np.zeros(own.shape, bool)
+    for j in range(width):  # no matter where in the other side's overlap
+        have |= own == other[:, j : j + 1]
+    total = np.zeros((len(x), width + 1), np.int64)
+    np.cumsum(have, axis=1, out=total[:, 1:])
+    common = total[:, window:] - total[:, :-window]
+    place = np.arange(common.shape[1])
+    near = (100 * common >= PERCENT * (2 * window - common)) & (place + window <= size[:, None])
+    at = start[:, :, None] + place
+    known = (first[:, :, None] <= at) & (at + window - 1 <= last[:, :, None])
+    new = near & ~known.all(axis=0)
+    return new.argmax(axis=1), common.shape[1] - 1 - new[:, ::-1].argmax(axis=1) + window - 1, np.where(new, common, 0).max(axis=1)
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (a, b, shift, lo, hi, bytes and known places of both sides) the rows that can add something, with the first and
+    last place in a that they can add and how many shingles a piece has in common."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, COMPARED):
+            part = batch.slice(i, COMPARED)
+            shift, lo, a_lo, a_hi, b_lo, b_hi = (part.column(c).to_numpy() for c in ("shift", "lo", "a_lo", "a_hi", "b_lo", "b_hi"))
+            x, y = part.column("x").to_pylist(), part.column("y").to_pylist()
+            p, q, common = may_add(x, y, np.stack([lo, lo - shift]), np.stack([a_lo, b_lo]), np.stack([a_hi, b_hi]))
+            arrays = [*(part.column(c) for c in REGION), *(pa.array(v, pa.int64()) for v in (lo + p, lo + q, common))]
+            yield pa.RecordBatch.from_arrays(arrays, [*REGION, "p", "q", "common"]).filter(pa.array(common > 0))
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (a, b, regions, text of a, text of b): one row for each passage, (a, b, places in a, places in b)."""
+    """From (a, b, regions, shingles of a, shingles of b): one row for each passage, (a, b, places in a, places in b)."""
     for batch in batches:
         regions = batch.column(2).to_pylist()
-        left, right = _split(batch.column(3)), _split(batch.column(4))
+        left, right = ([np.frombuffer(t, np.uint64) for t in batch.column(c).to_pylist()] for c in (3, 4))
         out: list[tuple] = []
         for a, b, own, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), regions, left, right, strict=True):
             out += [(a, b, p, q, p - shift, q - shift) for p, q, shift in _verify(x, y, own)]
@@ -179,10 +237,12 @@ def passages(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, window:
 
 
 def _verify(x: np.ndarray, y: np.ndarray, regions: list[dict]) -> list[tuple[int, int, int]]:
-    """(first, last, shift) of the passages in all regions. The longest region goes first; one that lies in a passage
-    already, in both texts, can add nothing."""
+    """(first, last, shift) of the passages in all regions, each with WINDOW places more at both ends. The longest region goes
+    first; one that lies in a passage already, in both texts, can add nothing."""
     out: list[tuple[int, int, int]] = []
-    for lo, hi, shift in sorted(_merged(regions), key=lambda r: r[0] - r[1]):
+    wider = [{"lo": r["lo"] - WINDOW, "hi": r["hi"] + WINDOW, "shift": r["shift"]} for r in regions]
+    for lo, hi, shift in sorted(_merged(wider), key=lambda r: r[0] - r[1]):
+        lo, hi = max(lo, 0, shift), min(hi, len(x) - 1, len(y) - 1 + shift)
         known = any(p <= lo and hi <= q for p, q, _ in out) and any(p - s <= lo - shift and hi - shift <= q - s for p, q, s in out)
         if not known:
             out += [(p, q, shift) for p, q in passages(x, y, lo, hi, shift)]
@@ -198,6 +258,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are ignored; an empty table gives empty results."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("id is not null and text is not null")
+    spark = df.sparkSession
     repeated = stored(rows.groupBy("id").count().where("count > 1").select("id"), "passages-repeated")
     if not repeated.isEmpty():
         several = rows.join(small(repeated), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
@@ -205,6 +266,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     windows = arrow_map(rows, _windows, "id long, key long, left long, node long, right long, same long")
     shared = windows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y")
     member = stored(windows.join(shared.select("key"), "key"), "passages-windows")
+    release(spark)
 
     # windows of equal content: exact repeats if they are in several documents
     classes = member.groupBy("key", "same").agg(F.min(F.struct("id", "left", "node", "right")).alias("r"), F.max("id").alias("y"))
@@ -217,58 +279,130 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alike = classes.where("not several").select("key", "same", F.col("id").alias("d"), F.col("left").alias("from"), "right")
     alike = member.select("key", "same", "id", "left").join(alike, ["key", "same"]).where("left <> from")
     alike = stored(alike.select("id", "from", "right", (F.col("left") - F.col("from")).alias("by")).distinct(), "passages-alike")
+    discard(member)
 
     order = Window.partitionBy("key").orderBy("id", "left", "node", "same")
     ranked = classes.withColumn("r", F.row_number().over(order))
     groups = ranked.groupBy("key").agg(F.max("r").alias("m")).where("m > 1").select("key", "m")
-    ranked = stored(ranked.join(groups, "key"), "passages-ranked")
-    largest = ranked.agg(F.max("m")).first()[0] or 0
-    nodes = small(ranked.select("id").distinct())
-    texts = stored(rows.join(nodes, "id", "left_semi"), "passages-texts")
-
-    tried, before, hubs = None, 0, 1
-    while before < largest - 1:
-        # each class with its document's component and the span that covers most of it
-        part = F.least("hi", "right") - F.greatest("lo", "left") + 1
-        most = ranked.where(F.col("m") > before + 1).join(spans, "id").where(part > 0).groupBy("key", "same")
-        most = most.agg(F.max_by(F.struct("lo", "hi"), part).alias("c"))
-        labels = components(links).withColumnRenamed("node", "id")
-        now = ranked.where(F.col("m") > before + 1).join(most, ["key", "same"], "left").join(labels, "id", "left")
-        side = F.struct("id", "left", "node", "right", "several", "c", F.coalesce("component", "id").alias("component"))
-        now = stored(now.select("key", "r", side.alias("d")), "passages-now")
-        hub = now.where((F.col("r") > before) & (F.col("r") <= hubs)).select("key", F.col("r").alias("hub_r"), F.col("d").alias("h"))
-        laid = now.where(F.col("r") > before + 1).join(hub, "key").where("r > hub_r")
-        # ids are in order, so d has the larger one
-        laid = laid.select("d", "h", (F.col("d.node") - F.col("h.node")).alias("shift")).where(
-            "d.id <> h.id or (shift <> 0 and d.several <> h.several)"
-        )
-        lo = F.greatest("d.left", F.col("h.left") + F.col("shift"))
-        hi = F.least("d.right", F.col("h.right") + F.col("shift"))
-        laid = laid.withColumn("lo", lo).withColumn("hi", hi).where(F.col("hi") - F.col("lo") + 1 >= WINDOW)
-        covered = "d.c.lo <= lo and hi <= d.c.hi and h.c.lo <= lo - shift and hi - shift <= h.c.hi"
-        laid = laid.where(f"d.component <> h.component or not coalesce({covered}, false)")
-        fresh = laid.select(F.col("d.id").alias("a"), F.col("h.id").alias("b"), "shift", "lo", "hi").distinct()
-        if tried is not None:
-            fresh = fresh.join(tried, ["a", "b", "shift", "lo", "hi"], "left_anti")
-        fresh = stored(fresh, "passages-regions")
-        before, hubs = hubs, min(8 * hubs, hubs + 512)
-        if fresh.isEmpty():
-            continue
-        tried = fresh if tried is None else tried.unionByName(fresh)
-        pairs = fresh.groupBy("a", "b").agg(F.collect_list(F.struct("lo", "hi", "shift")).alias("regions"))
-        one = texts.join(small(pairs, F.size("regions")), F.col("id") == F.col("a")).select("a", "b", "regions", F.col("text").alias("t"))
-        two = one.join(texts, F.col("id") == F.col("b")).select("a", "b", "regions", "t", "text")
-        new = stored(arrow_map(two, _verified, "a long, b long, a_lo long, a_hi long, b_lo long, b_hi long"), "passages-found")
-        found = _both_sides(new)
-        same = found.join(alike, "id").select(
-            "id", (F.greatest("lo", "from") + F.col("by")).alias("lo"), (F.least("hi", "right") + F.col("by")).alias("hi")
-        )
-        found = found.unionByName(same.where(F.col("hi") - F.col("lo") + 1 >= WINDOW))
-        spans = stored(_united(spans.unionByName(found)), "passages-spans")
-        links = stored(links.unionByName(new.where("a <> b").select("a", "b")).distinct(), "passages-links")
+    grouped = stored(ranked.join(groups, "key"), "passages-grouped")
+    discard(classes)
+    largest = grouped.agg(F.max("m")).first()[0] or 0
+    nodes = small(grouped.select("id").distinct())
+    texts = arrow_map(rows.join(nodes, "id", "left_semi"), _sequences, "id long, marks binary, shingles binary")
+    texts = stored(texts, "passages-texts")
+    marks = F.expr("substring(marks, int(2 * left + 1), int(2 * (right - left + 1)))")
+    ranked = stored(grouped.join(texts.select("id", "marks"), "id").withColumn("marks", marks), "passages-ranked")
+    discard(grouped)
+    release(spark)
+
+    own = texts.select("id", "shingles")
+    tried, waiting, before, hubs = None, None, 0, 1
+    while before < largest - 1 or waiting is not None:
+        labels = stored(components(links).withColumnRenamed("node", "id"), "passages-labels")
+        whole = before >= largest - 1  # all classes have met: one pass takes what is left
+        if not whole:
+            fresh = _laid(ranked.where(F.col("m") > before + 1), spans, labels, before, hubs)
+            waiting = fresh if waiting is None else waiting.unionByName(fresh)
+            before, hubs = hubs, 8 * hubs
+        still = _open(waiting, tried, spans, labels)
+        still = stored(still, "passages-open")
+        left = still.count()
+        whole = whole or left <= ONE_TASK
+        chosen = still.select(*REGION) if whole else stored(_likeliest(still), "passages-chosen")
+        waiting = None if whole else still.select(*REGION, "p", "q", "common").join(chosen, REGION, "left_anti")
+        if left:
+            tried = chosen if tried is None else tried.unionByName(chosen)
+            pairs = chosen.groupBy("a", "b").agg(F.collect_list(F.struct("lo", "hi", "shift")).alias("regions"))
+            one = own.join(small(pairs, F.size("regions")), F.col("id") == F.col("a")).select("a", "b", "regions", F.col("shingles").alias("x"))
+            two = one.join(own, F.col("id") == F.col("b")).select("a", "b", "regions", "x", "shingles")
+            new = stored(arrow_map(two, _verified, "a long, b long, a_lo long, a_hi long, b_lo long, b_hi long"), "passages-found")
+            found = _both_sides(new)
+            same = found.join(alike, "id").select(
+                "id", (F.greatest("lo", "from") + F.col("by")).alias("lo"), (F.least("hi", "right") + F.col("by")).alias("hi")
+            )
+            found = found.unionByName(same.where(F.col("hi") - F.col("lo") + 1 >= WINDOW))
+            old, spans = spans, stored(_united(spans.unionByName(found)), "passages-spans")
+            discard(old)
+            old, links = links, stored(links.unionByName(new.where("a <> b").select("a", "b")).distinct(), "passages-links")
+            discard(old)
+            discard(new)
+        discard(labels)
+        release(spark)
+    discard(texts)
+    discard(ranked)
     return spans, links
 
 
+def _laid(ranked: DataFrame, spans: DataFrame, labels: DataFrame, before: int, hubs: int) -> DataFrame:
+    """(a, b, shift, lo, hi, p, q, common): the overlaps of the classes with those of ranks ``before`` + 1 to ``hubs`` that can
+    add something, see ``_possible``."""
+    # each class with its document's component and the span that covers most of it
+    part = F.least("hi", "right") - F.greatest("lo", "left") + 1
+    most = ranked.select("key", "same", "id", "left", "right").join(spans, "id").where(part > 0).groupBy("key", "same")
+    most = most.agg(F.max_by(F.struct("lo", "hi"), part).alias("c"))
+    now = ranked.join(most, ["key", "same"], "left").join(labels, "id", "left")
+    side = F.struct("id", "left", "node", "right", "several", "c", F.coalesce("component", "id").alias("component"), "marks")
+    now = stored(now.select("key", "r", "m", side.alias("d")), "passages-now")
+    # every slice of a group meets all hubs
+    slices = F.explode(F.sequence(F.lit(0), F.floor(F.col("m") / SLICE).cast("int")))
+    hub = now.where((F.col("r") > before) & (F.col("r") <= hubs))
+    hub = hub.select("key", slices.alias("slice"), F.col("r").alias("hub_r"), F.col("d").alias("h"))
+    laid = now.where(F.col("r") > before + 1).withColumn("slice", F.floor(F.col("r") / SLICE).cast("int"))
+    laid = laid.join(hub, ["key", "slice"]).where("r > hub_r")
+    # ids are in order, so d has the larger one
+    laid = laid.select("d", "h", (F.col("d.node") - F.col("h.node")).alias("shift")).where(
+        "d.id <> h.id or (shift <> 0 and d.several <> h.several)"
+    )
+    lo = F.greatest("d.left", F.col("h.left") + F.col("shift"))
+    hi = F.least("d.right", F.col("h.right") + F.col("shift"))
+    laid = laid.withColumn("lo", lo).withColumn("hi", hi).where(F.col("hi") - F.col("lo") + 1 >= WINDOW)
+    covered = "d.c.lo <= lo and hi <= d.c.hi and h.c.lo <= lo - shift and hi - shift <= h.c.hi"
+    laid = laid.where(f"d.component <> h.component or not coalesce({covered}, false)")
+    # what two documents of one component have already; of two components nothing
+    known = (("d.c.lo", "a_lo", 1), ("d.c.hi", "a_hi", 0), ("h.c.lo", "b_lo", 1), ("h.c.hi", "b_hi", 0))
+    laid = laid.select(
+        F.col("d.id").alias("a"), F.col("h.id").alias("b"), "shift", "lo", "hi",
+        F.expr("substring(d.marks, int(2 * (lo - d.left) + 1), int(2 * (hi - lo + 1)))").alias("x"),
+        F.expr("substring(h.marks, int(2 * (lo - shift - h.left) + 1), int(2 * (hi - lo + 1)))").alias("y"),
+        *[F.coalesce(F.when(F.expr("d.component = h.component"), F.col(c)), F.lit(none)).cast("long").alias(e) for c, e, none in known],
+    )
+    schema = ", ".join(f"{c} long" for c in (*REGION, "p", "q", "common"))
+    out = stored(_once(arrow_map(laid, _possible, schema)), "passages-regions")
+    discard(now)
+    return out
+
+
+def _once(regions: DataFrame) -> DataFrame:
+    return regions.groupBy(*REGION).agg(F.min("p").alias("p"), F.max("q").alias("q"), F.max("common").alias("common"))
+
+
+def _open(waiting: DataFrame, tried: DataFrame | None, spans: DataFrame, labels: DataFrame) -> DataFrame:
+    """The overlaps that can still add something: they were not tried, and either their documents are in two components (u, v)
+    or a passage of a (in_a) or b (in_b) does not hold all that they could add."""
+    out = _once(waiting)
+    if tried is not None:
+        out = out.join(tried, REGION, "left_anti")
+    for side, number, at in (("a", "u", F.lit(0)), ("b", "v", F.col("shift"))):
+        label = labels.select(F.col("id").alias(side), F.col("component").alias(number))
+        out = out.join(label, side, "left").withColumn(number, F.coalesce(number, side))
+        holds = spans.select(F.col("id").alias("_id"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+        within = (F.col(side) == F.col("_id")) & (F.col("_lo") <= F.col("p") - at) & (F.col("q") - at <= F.col("_hi"))
+        out = out.join(holds, within, "left").withColumn(f"in_{side}", F.col("_id").isNotNull()).drop("_id", "_lo", "_hi")
+    return out.where("u <> v or not (in_a and in_b)")
+
+
+def _likeliest(still: DataFrame) -> DataFrame:
+    """Of the overlaps that would join the same two components, or add the same place to a document, the one with most shingles
+    in common."""
+    aims = F.array(
+        F.when(F.expr("u <> v"), F.struct(F.lit(0).alias("kind"), F.least("u", "v").alias("i"), F.greatest("u", "v").alias("j"))),
+        F.when(~F.col("in_a"), F.struct(F.lit(1).alias("kind"), F.col("a").alias("i"), F.floor(F.col("p") / WINDOW).alias("j"))),
+        F.when(~F.col("in_b"), F.struct(F.lit(1).alias("kind"), F.col("b").alias("i"), F.floor((F.col("p") - F.col("shift")) / WINDOW).alias("j"))),
+    )
+    aimed = still.select(*REGION, "common", F.explode(F.array_compact(aims)).alias("aim"))
+    return aimed.groupBy("aim").agg(F.max(F.struct("common", *REGION)).alias("r")).select(*[f"r.{c}" for c in REGION]).distinct()
+
+
 def _both_sides(found: DataFrame) -> DataFrame:
     """(id, lo, hi) of the passages of both documents of each pair."""
     a = found.select(F.col("a").alias("id"), F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi"))

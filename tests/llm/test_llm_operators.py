@@ -272,6 +272,41 @@ def test_pairs_meet_again_at_other_places(spark, monkeypatch):
     assert min(last) >= length + passages.WINDOW and got[0]["n_passages"] == 0
 
 
+def test_few_overlaps_of_copies_are_verified(spark, monkeypatch):
+    """Sixty edited copies in one group: each has to meet one other, not every hub."""
+    shared_minimum(monkeypatch)
+    in_process(monkeypatch)
+    monkeypatch.setattr(passages, "ONE_TASK", 0)
+    verified, verify = [], passages._verify
+    monkeypatch.setattr(passages, "_verify", lambda x, y, regions: (verified.append(len(regions)), verify(x, y, regions))[1])
+    body = prose(720, 95).split()
+    texts = [" ".join(f"edit{i}" if j == 2 + i % 90 else x for j, x in enumerate(body)) for i in range(60)]
+    got = {r["doc_id"]: r for r in passages.passage_classes(frame(spark, texts)).collect()}
+    edges = brute_edges(texts)
+    near = components(spark.createDataFrame(sorted(edges), "a long, b long")).collect()
+    assert {i: r["component_id"] for i, r in got.items()} == {i: i for i in range(60)} | {r["node"]: r["component"] for r in near}
+    assert sum(verified) < 200 < len(edges)
+
+
+def test_bytes_rule_out_no_confirmed_piece():
+    rng, window = np.random.default_rng(3), passages.WINDOW
+    for n in (window, 60, 91):
+        x = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        pairs = []
+        for k in range(60):
+            y = x.copy()
+            y[rng.integers(0, n, k % 12)] = rng.integers(0, 1 << 63)
+            pairs.append(np.roll(y, 1) if k % 5 == 0 else y)
+        own, other = [x.astype("<u2").tobytes()] * 60, [y.astype("<u2").tobytes() for y in pairs]
+        none, start = np.full((2, 60), -1), np.zeros((2, 60), np.int64)
+        p, q, common = passages.may_add(own, other, start, none + 2, none)
+        for k, y in enumerate(pairs):
+            found = passages.passages(x, y, 0, n - 1, 0)
+            assert common[k] if found else True
+            assert all(p[k] <= lo and hi <= q[k] for lo, hi in found)
+        assert not passages.may_add(own, other, start, none + 1, none + n)[2].any()  # all of it is known
+
+
 def test_windows_of_very_long_texts():
     text = " ".join(map(str, range(2_150_000)))  # more than 2 ** 21 shingles
     batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], ["id", "text"])
