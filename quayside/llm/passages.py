@@ -11,15 +11,17 @@ The windows of FUNCTIONS functions are intersected inside the document (an inter
 that what is left has the same smallest values for all of them, and meet other documents' windows with these values by a
 shuffle. Windows of equal content form a class first: if it has several documents they are exact repeats as a whole, and
 one window stands for it. Of the classes in such a group the first in the order of ids is the hub and every other one is
-laid over it at the node (the intervals must overlap by WINDOW shingles), then over the first 8, 64, ..., until each
-class has met every other. A pair is left out only if it can add nothing: the same region was verified before, or no piece
+laid over it at the node (the intervals must overlap by WINDOW shingles), then over the first 8 and HUBS. Of the pairs left in
+larger groups those meet that can be near: two pieces that share at least PERCENT share one of the few rarest shingles of
+either (a prefix filter, exact for any common order of the shingles; here the rarest of the group come first). A pair is left
+out only if it can add nothing: the same region was verified before, or no piece
 of the overlap can be near that lies outside the passages of either side or links two components. Whether a piece can
 be near is read from two bytes of each shingle, which all windows carry: equal shingles have equal bytes, so this rules
 out no piece that the shingles would confirm. Of the overlaps that would join the same components or add the same place
 to a document the likeliest goes first; the others wait and are dropped only when passages and links found meanwhile
 leave them nothing to add. Overlaps are verified on the shingles: a
 passage is a run of WINDOW-shingle pieces that each share at least ``PERCENT`` of their shingles with the other
-document's piece beside it. A group of many different classes costs a comparison of bytes for each two.
+document's piece beside it; a shingle that a piece repeats counts as often as both pieces have it.
 """
 
 from __future__ import annotations
@@ -45,6 +47,13 @@ FUNCTIONS = 2
 PERCENT = 80
 #: Runs that are taken together when the smallest value of each is looked for.
 BLOCK = 1 << 23
+#: Shingles that two near pieces share at least, and the prefixes of pieces of which near ones share a shingle.
+NEED = -(-2 * PERCENT * WINDOW // (100 + PERCENT))
+PREFIX = WINDOW - NEED + 1
+#: Classes of a group over which all others are laid.
+HUBS = 64
+#: Pieces that are sorted together.
+SORTED = 1 << 14
 #: Classes of a group that one task lays over the hubs.
 SLICE = 512
 #: Pairs that are compared by bytes together.
@@ -134,6 +143,19 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["id", "key", "left", "node", "right", "same"])
 
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, key) of what ``_windows`` gives, each once for a text."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for lo, shingle, begin in sequences(*text_bytes(batch.column(1))):
+            for band in range(BANDS):
+                text, key = compact_windows(shingle, begin, _SEED[band])[:2]
+                key = (key & np.uint64(0xFFFFFFFFFFFFFFF8)) | np.uint64(band)
+                new = np.ones(len(key), bool)  # a run of equal shingles has the same key at each of its places
+                new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo + text[new]].astype(np.int64)), pa.array(key[new].view(np.int64))], ["id", "key"])
+
+
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (id, text): the shingles of each text, and two bytes of each."""
     for batch in batches:
@@ -152,21 +174,84 @@ def may_add(x: list[bytes], y: list[bytes], start: np.ndarray, first: np.ndarray
     own, other = np.zeros((2, len(x), width), np.uint16)
     inside = np.arange(width) < size[:, None]
     own[inside], other[inside] = np.frombuffer(b"".join(x), "<u2"), np.frombuffer(b"".join(y), "<u2")
-    other = np.where(inside, other, other[:, :1])
-    have = np.zeros(own.shape, bool)
-    for j in range(width):  # no matter where in the other side's overlap
-        have |= own == other[:, j : j + 1]
-    total = np.zeros((len(x), width + 1), np.int64)
-    np.cumsum(have, axis=1, out=total[:, 1:])
-    common = total[:, window:] - total[:, :-window]
+    own, other = np.where(inside, own, own[:, :1]), np.where(inside, other, other[:, :1])
+    common = _standing(own, other, window)
     place = np.arange(common.shape[1])
-    near = (100 * common >= PERCENT * (2 * window - common)) & (place + window <= size[:, None])
+    common[place + window > size[:, None]] = 0
+    # the other side's as well: one shingle there may stand for many repeated ones here
+    rows = np.flatnonzero((100 * common >= PERCENT * (2 * window - common)).any(axis=1))
+    common[rows] = np.minimum(common[rows], _standing(other[rows], own[rows], window))
+    near = 100 * common >= PERCENT * (2 * window - common)
     at = start[:, :, None] + place
     known = (first[:, :, None] <= at) & (at + window - 1 <= last[:, :, None])
     new = near & ~known.all(axis=0)
     return new.argmax(axis=1), common.shape[1] - 1 - new[:, ::-1].argmax(axis=1) + window - 1, np.where(new, common, 0).max(axis=1)
 
 
+def _standing(own: np.ndarray, other: np.ndarray, window: int) -> np.ndarray:
+    """How many shingles of each piece of ``own`` stand in the row of ``other``, no matter where."""
+    have = np.zeros(own.shape, bool)
+    for j in range(own.shape[1]):
+        have |= own == other[:, j : j + 1]
+    total = np.zeros((len(own), own.shape[1] + 1), np.int64)
+    np.cumsum(have, axis=1, out=total[:, 1:])
+    return total[:, window:] - total[:, :-window]
+
+
+def numbered(pieces: np.ndarray) -> np.ndarray:
+    """The shingles of each piece (numbers below 2 ** 32, one row each), in order, with how many equal ones the piece has before
+    each in the lower 16 bits: no number is twice in a row."""
+    value = np.sort(pieces.astype(np.int64), axis=1)
+    place = np.arange(value.shape[1])
+    first = np.zeros(value.shape, np.int64)
+    first[:, 1:] = np.where(value[:, 1:] != value[:, :-1], place[1:], 0)
+    return value << 16 | (place - np.maximum.accumulate(first, axis=1))
+
+
+def _pieces(marks: list[bytes], window: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, numbered shingles) of the pieces of all rows, about SORTED pieces together."""
+    size = np.array([len(t) // 2 for t in marks], np.int64)
+    data, begin = np.frombuffer(b"".join(marks), "<u2"), np.cumsum(size) - size
+    count = np.maximum(size - window + 1, 0)
+    row = np.repeat(np.arange(len(marks)), count)
+    start = np.arange(len(row)) - (np.cumsum(count) - count)[row] + begin[row]
+    for i in range(0, len(row), SORTED):
+        yield row[i : i + SORTED], numbered(data[start[i : i + SORTED, None] + np.arange(window)])
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (key, r, marks): the numbered shingles of all pieces of each row, (key, r, token). Of a long row some may come
+    twice, which only changes the order in which prefixes are taken, for the whole group alike."""
+    for batch in batches:
+        for row, token in _pieces(batch.column(2).to_pylist()):
+            both = np.unique(row[:, None] << 32 | token)
+            who = pa.array(both >> 32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(who), batch.column(1).take(who), pa.array(both & 0xFFFFFFFF)], ["key", "r", "token"]
+            )
+
+
+def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (key, r, component, open, marks, frequent): the tokens among the PREFIX rarest of a piece that other rows of the
+    group have as well. ``frequent`` lists those tokens and how many rows have each."""
+    for batch in batches:
+        frequent, size = batch.column(5).flatten(), batch.column(5).value_lengths().to_numpy()
+        have, n = (frequent.field(c).to_numpy(zero_copy_only=False) for c in ("token", "n"))
+        have = np.repeat(np.arange(len(size)), size) << 32 | have
+        order = np.argsort(have)
+        have, n = have[order], n[order]
+        for row, token in _pieces(batch.column(4).to_pylist()):
+            both = row[:, None] << 32 | token
+            at = np.minimum(np.searchsorted(have, both), len(have) - 1)
+            often = np.where(have[at] == both, n[at], 1)
+            least = np.argsort(often << 32 | token, axis=1)[:, :PREFIX]
+            both, often = np.take_along_axis(both, least, axis=1), np.take_along_axis(often, least, axis=1)
+            both = np.unique(both[often > 1])
+            who = pa.array(both >> 32)
+            arrays = [*(batch.column(c).take(who) for c in range(4)), pa.array(both & 0xFFFFFFFF)]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "r", "component", "open", "token"])
+
+
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (a, b, shift, lo, hi, bytes and known places of both sides) the rows that can add something, with the first and
     last place in a that they can add and how many shingles a piece has in common."""
@@ -210,6 +295,28 @@ def _merged(regions: list[dict]) -> list[tuple[int, int, int]]:
     return [tuple(r) for r in out]
 
 
+def near_pieces(own: np.ndarray, other: np.ndarray, same: np.ndarray, window: int) -> np.ndarray:
+    """Whether the pieces of both sides that begin at a place are near; ``same`` tells where both have one shingle."""
+
+    def standing(have: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(have)])
+        return total[window:] - total[:-window]
+
+    def enough(common: np.ndarray) -> np.ndarray:
+        return 100 * common >= PERCENT * (2 * window - common)
+
+    near = enough(standing(same))
+    least = np.minimum(standing(np.isin(own, other)), standing(np.isin(other, own)))
+    open_ = np.flatnonzero(enough(least) & ~near)
+    value = np.unique(np.concatenate([own, other]), return_inverse=True)[1].reshape(2, -1)
+    for i in range(0, len(open_), SORTED):
+        at = open_[i : i + SORTED]
+        both = np.concatenate([numbered(v[at[:, None] + np.arange(window)]) for v in value], axis=1)
+        both.sort(axis=1)
+        near[at] = enough((both[:, 1:] == both[:, :-1]).sum(axis=1))
+    return near
+
+
 def passages(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, window: int = WINDOW) -> list[tuple[int, int]]:
     """Runs of places lo..hi of x (ends included) whose pieces are near-duplicates of y's pieces ``shift`` before. Pieces
     of equal length w that have c places in common have the similarity c / (2 w - c)."""
@@ -217,19 +324,10 @@ def passages(x: np.ndarray, y: np.ndarray, lo: int, hi: int, shift: int, window:
     if hi - lo + 1 < window:
         return []
     own, other = x[lo : hi + 1], y[lo - shift : hi + 1 - shift]
-    place = np.arange(len(own))
     same = own == other
     if same.all():
         return [(lo, hi)]
-    # where each shingle stands in the other text: beside, or else at its first place, or nowhere
-    order = np.argsort(other, kind="stable")
-    at = np.searchsorted(other, own, sorter=order)
-    first = order[np.minimum(at, len(other) - 1)]
-    stands = np.where(same, place, np.where(other[first] == own, first, -1))
-    pieces = np.lib.stride_tricks.sliding_window_view(stands, window)
-    begin = place[: len(pieces), None]
-    common = ((pieces >= begin) & (pieces < begin + window)).sum(axis=1)
-    starts = np.flatnonzero(100 * common >= PERCENT * (2 * window - common))
+    starts = np.flatnonzero(near_pieces(own, other, same, window))
     if not len(starts):
         return []
     runs = np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1)
@@ -264,13 +362,14 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         several = rows.join(small(repeated), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
         rows = rows.join(small(repeated), "id", "left_anti").unionByName(several)
     windows = arrow_map(rows, _windows, "id long, key long, left long, node long, right long, same long")
-    shared = windows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y")
+    shared = arrow_map(rows, _keys, "id long, key long").groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y")
     member = stored(windows.join(shared.select("key"), "key"), "passages-windows")
     release(spark)
 
     # windows of equal content: exact repeats if they are in several documents
     classes = member.groupBy("key", "same").agg(F.min(F.struct("id", "left", "node", "right")).alias("r"), F.max("id").alias("y"))
     classes = stored(classes.select("key", "same", "r.*", (F.col("y") > F.col("r.id")).alias("several")), "passages-classes")
+    release(spark)  # the shuffle of all windows, if the first call came before Spark let go of it
     copies = member.join(classes.where("several").select("key", "same", F.col("id").alias("hub")), ["key", "same"])
     spans = stored(_united(copies.select("id", F.col("left").alias("lo"), F.col("right").alias("hi"))), "passages-copies")
     links = copies.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
@@ -303,7 +402,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not whole:
             fresh = _laid(ranked.where(F.col("m") > before + 1), spans, labels, before, hubs)
             waiting = fresh if waiting is None else waiting.unionByName(fresh)
-            before, hubs = hubs, 8 * hubs
+            before, hubs = (hubs, 8 * hubs) if hubs <= HUBS else (largest, hubs)
         still = _open(waiting, tried, spans, labels)
         still = stored(still, "passages-open")
         left = still.count()
@@ -334,8 +433,8 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _laid(ranked: DataFrame, spans: DataFrame, labels: DataFrame, before: int, hubs: int) -> DataFrame:
-    """(a, b, shift, lo, hi, p, q, common): the overlaps of the classes with those of ranks ``before`` + 1 to ``hubs`` that can
-    add something, see ``_possible``."""
+    """(a, b, shift, lo, hi, p, q, common): the overlaps of the classes with those of ranks ``before`` + 1 to ``hubs``, or with
+    all of higher ranks if ``hubs`` is more than HUBS, that can add something, see ``_possible``."""
     # each class with its document's component and the span that covers most of it
     part = F.least("hi", "right") - F.greatest("lo", "left") + 1
     most = ranked.select("key", "same", "id", "left", "right").join(spans, "id").where(part > 0).groupBy("key", "same")
@@ -343,14 +442,9 @@ def _laid(ranked: DataFrame, spans: DataFrame, labels: DataFrame, before: int, h
     now = ranked.join(most, ["key", "same"], "left").join(labels, "id", "left")
     side = F.struct("id", "left", "node", "right", "several", "c", F.coalesce("component", "id").alias("component"), "marks")
     now = stored(now.select("key", "r", "m", side.alias("d")), "passages-now")
-    # every slice of a group meets all hubs
-    slices = F.explode(F.sequence(F.lit(0), F.floor(F.col("m") / SLICE).cast("int")))
-    hub = now.where((F.col("r") > before) & (F.col("r") <= hubs))
-    hub = hub.select("key", slices.alias("slice"), F.col("r").alias("hub_r"), F.col("d").alias("h"))
-    laid = now.where(F.col("r") > before + 1).withColumn("slice", F.floor(F.col("r") / SLICE).cast("int"))
-    laid = laid.join(hub, ["key", "slice"]).where("r > hub_r")
+    pairs = _all_hubs(now, before, hubs) if hubs <= HUBS else _sharing(now.where(F.col("r") > before))
     # ids are in order, so d has the larger one
-    laid = laid.select("d", "h", (F.col("d.node") - F.col("h.node")).alias("shift")).where(
+    laid = pairs.select("d", "h", (F.col("d.node") - F.col("h.node")).alias("shift")).where(
         "d.id <> h.id or (shift <> 0 and d.several <> h.several)"
     )
     lo = F.greatest("d.left", F.col("h.left") + F.col("shift"))
@@ -372,6 +466,35 @@ def _laid(ranked: DataFrame, spans: DataFrame, labels: DataFrame, before: int, h
     return out
 
 
+def _all_hubs(now: DataFrame, before: int, hubs: int) -> DataFrame:
+    """(d, h): each class with those of its group of ranks ``before`` + 1 to ``hubs`` and below its own."""
+    # every slice of a group meets all hubs
+    slices = F.explode(F.sequence(F.lit(0), F.floor(F.col("m") / SLICE).cast("int")))
+    hub = now.where((F.col("r") > before) & (F.col("r") <= hubs))
+    hub = hub.select("key", slices.alias("slice"), F.col("r").alias("hub_r"), F.col("d").alias("h"))
+    laid = now.where(F.col("r") > before + 1).withColumn("slice", F.floor(F.col("r") / SLICE).cast("int"))
+    return laid.join(hub, ["key", "slice"]).where("r > hub_r").select("d", "h")
+
+
+def _sharing(now: DataFrame) -> DataFrame:
+    """(d, h): the classes of a group that share a token of their prefixes, unless they have one component and passages cover
+    both."""
+    tokens = stored(arrow_map(now.select("key", "r", "d.marks"), _tokens, "key long, r int, token long"), "passages-tokens")
+    counts = tokens.groupBy("key", "token").agg(F.count("*").alias("n")).where("n > 1")
+    listed = tokens.join(counts, ["key", "token"]).groupBy("key", "r").agg(F.collect_list(F.struct("token", "n")).alias("frequent"))
+    covered = F.coalesce(F.expr("d.c.lo <= d.left and d.right <= d.c.hi"), F.lit(False))
+    some = now.select("key", "r", "d.component", (~covered).alias("open"), "d.marks").join(listed, ["key", "r"])
+    schema = "key long, r int, component long, open boolean, token long"
+    rare = stored(arrow_map(some, _rarest, schema), "passages-rare")
+    other = rare.select("key", "token", F.col("r").alias("hub_r"), F.col("component").alias("hub_component"), F.col("open").alias("hub_open"))
+    met = rare.join(other, ["key", "token"]).where("r > hub_r and (open or hub_open or component <> hub_component)")
+    met = stored(met.select("key", "r", "hub_r").distinct(), "passages-met")
+    discard(tokens)
+    discard(rare)
+    hub = now.select("key", F.col("r").alias("hub_r"), F.col("d").alias("h"))
+    return met.join(now.select("key", "r", "d"), ["key", "r"]).join(hub, ["key", "hub_r"]).select("d", "h")
+
+
 def _once(regions: DataFrame) -> DataFrame:
     return regions.groupBy(*REGION).agg(F.min("p").alias("p"), F.max("q").alias("q"), F.max("common").alias("common"))
 

@@ -307,6 +307,51 @@ def test_bytes_rule_out_no_confirmed_piece():
         assert not passages.may_add(own, other, start, none + 1, none + n)[2].any()  # all of it is known
 
 
+def test_repeated_shingles_count_on_both_sides():
+    """46 equal shingles and a piece that has only eight of them are not near, whatever lies around."""
+    same, other = np.full(138, 7, np.uint64), np.full(138, 9, np.uint64)
+    other[:54] = 7
+    assert passages.passages(same, other, 0, 137, 0) == [(0, 58)]  # 41 of 46 from place 13 on
+    marks = [t[46:92].astype("<u2").tobytes() for t in (same, other)]
+    none, start = np.full((2, 1), -1), np.zeros((2, 1), np.int64)
+    assert not passages.may_add([marks[0]], [marks[1]], start, none + 1, none)[2].any()
+    # equal shingles in another order, some repeated
+    x = np.array([1, 1, 2, 3] * 12, np.uint64)
+    assert passages.passages(x, np.sort(x), 0, 47, 0) == [(0, 47)]
+
+
+def test_rarest_tokens_lose_no_near_pair(spark, monkeypatch):
+    """Texts with repeated words: pairs that meet by the prefix filter alone give the components of all pairs."""
+    shared_minimum(monkeypatch)
+    in_process(monkeypatch)
+    monkeypatch.setattr(passages, "HUBS", 0, raising=False)
+    rng = random.Random(8)
+    body = [prose(730, 95).split(), ["to"] * 95, ["to"] * 48 + ["on"] * 47, prose(731, 12).split() * 8]
+    texts = []
+    for k in range(60):
+        w = body[k % 4][:95]
+        for i in rng.sample(range(95), k % 9):
+            w[i] = "to" if k % 2 else f"edit{k}"
+        texts.append(" ".join(w))
+    edges = brute_edges(texts)
+    got = {r["doc_id"]: r for r in passages.passage_classes(frame(spark, texts)).collect()}
+    near = components(spark.createDataFrame(sorted(edges), "a long, b long")).collect()
+    assert edges and {i: r["component_id"] for i, r in got.items()} == {i: i for i in range(60)} | {r["node"]: r["component"] for r in near}
+
+
+def test_unlike_windows_of_a_group_do_not_all_meet(spark, monkeypatch):
+    """Windows that share a run of one word, too short to be near: none is compared beyond the hubs."""
+    shared_minimum(monkeypatch)
+    in_process(monkeypatch)
+    monkeypatch.setattr(passages, "HUBS", 1, raising=False)
+    compared, possible = [], passages._possible
+    monkeypatch.setattr(passages, "_possible", lambda it: possible(compared.append(b.num_rows) or b for b in it))
+    texts = ["to " * 30 + prose(740 + k, 65) for k in range(40)]
+    got = passages.passage_classes(frame(spark, texts)).collect()
+    assert not any(r["n_passages"] for r in got)
+    assert sum(compared) < 300
+
+
 def test_windows_of_very_long_texts():
     text = " ".join(map(str, range(2_150_000)))  # more than 2 ** 21 shingles
     batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], ["id", "text"])
