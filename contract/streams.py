@@ -16,7 +16,7 @@ from quayside.plans.stage import StageOptions, stage_files, table_path
 from quayside.plans.log import current_log, load_id
 from quayside.sources.listing import append_listing
 from quayside.sources.scan import BLOCK, PATH, SEQ, number_rows, read_lines
-from quayside.sources.sinks import export_csv, seed_csv
+from quayside.sources.sinks import export_csv, read_table, seed_csv
 from quayside.sources.versions import current_version, publish_version, read_version, swap_schema
 from quayside.streaming.staging import BatchLedger, file_arrivals, stage_arrivals
 from quayside.streaming.windows import keep_windows, read_windows, windowed_counts
@@ -85,12 +85,16 @@ def _staging_stream(spark, sf_dir):
         except PySparkException as e:
             if Interrupted.__name__ not in str(e):
                 raise
-    return spark.read.parquet(table_path(options, "DW.EVENTS")), current_log(spark, options.log_path)
+    staged = read_table(spark, table_path(options, "DW.EVENTS"), empty=STAGED)
+    return staged, current_log(spark, options.log_path)
 
 
 #: Files with so many unreadable rows are left out.
 BAD_LIMIT = 6
 
+#: Columns of the staged table where every file was left out, so that no row says what they are.
+STAGED = "event_key string, user_id decimal(38,0), amount decimal(18,2), event_day date, cob_id int, scope struct<entity_code: string>, dataset_name string"
+
 
 def staging_stream(spark, sf_dir):
     """Staged events and where they came from."""

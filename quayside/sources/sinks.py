@@ -24,15 +24,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored rows with all columns ever loaded; None before the first row."""
+def read_table(spark: SparkSession, path: str, empty: str | None = None) -> DataFrame | None:
+    """The stored rows with all columns ever loaded. Before the first row (a load whose files were all left out stores
+    none) an empty table of the columns ``empty``, None if they are not given."""
+    before = None if empty is None else spark.createDataFrame([], empty)
     if not path_exists(spark, path):
-        return None
+        return before
     try:
         return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
+            return before
         raise
 
 

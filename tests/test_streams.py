@@ -3,9 +3,11 @@
 import datetime as dt
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from contract import streams
 from quayside.operators import loads as load_ops
 from quayside.operators.increments import merge_counts, read_counts, refresh_from_increment, write_increment
 from quayside.plans.log import current_log, read_log
@@ -13,6 +15,7 @@ from quayside.plans.stage import stage_files
 from quayside.sources import versions
 from quayside.streaming.staging import BatchLedger, file_arrivals, stage_arrivals
 from quayside.streaming.windows import closed_windows, keep_windows, read_windows, windowed_counts
+from tests.oracle import compare
 from tests.test_stage import FIELDS, Site, file_row, param_row
 
 
@@ -77,6 +80,30 @@ def test_done_batch_is_not_staged_again(spark, site):
     assert read_log(spark, site.options.log_path).count() == 0
 
 
+def event_tables(spark, root, bad_of_type):
+    """Eight events of each type on one day, so many of them with a value that cannot be read."""
+    at = dt.datetime(2024, 1, 5, 8)
+    rows = [(8 * t + i, at, 5 if i < bad else 6, kind, 1.5) for t, (kind, bad) in enumerate(bad_of_type.items()) for i in range(8)]
+    table = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double")
+    table.coalesce(1).write.parquet(f"{root}/events.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{root}/events.parquet/*.parquet')")
+    return duck
+
+
+def test_stream_whose_files_are_all_left_out(spark, tmp_path):
+    """No row is staged, so no file says what columns the table has."""
+    duck = event_tables(spark, tmp_path, {"click": streams.BAD_LIMIT, "view": 8})
+    staged = streams.staging_stream(spark, str(tmp_path))
+    assert staged.count() == 0 and compare(staged, duck, streams.SQL_STAGING_STREAM) == []
+
+
+def test_stream_with_some_files_left_out_has_the_same_columns(spark, tmp_path):
+    duck = event_tables(spark, tmp_path, {"click": streams.BAD_LIMIT, "view": streams.BAD_LIMIT - 1})
+    staged = streams.staging_stream(spark, str(tmp_path))
+    assert staged.count() == 9 - streams.BAD_LIMIT and compare(staged, duck, streams.SQL_STAGING_STREAM) == []
+
+
 # ------------------------------------------------------------------ windows
 
 
