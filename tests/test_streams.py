@@ -104,6 +104,14 @@ def test_stream_with_some_files_left_out_has_the_same_columns(spark, tmp_path):
     assert staged.count() == 9 - streams.BAD_LIMIT and compare(staged, duck, streams.SQL_STAGING_STREAM) == []
 
 
+def test_log_of_a_stream_whose_files_are_all_left_out(spark, tmp_path):
+    """The refused loads are in the log though nothing is staged."""
+    duck = event_tables(spark, tmp_path, {"click": streams.BAD_LIMIT, "view": 8})
+    log = streams.staging_stream_log(spark, str(tmp_path))
+    assert {(r["dataset_name"], r["n_rows"], r["n_loaded"], r["n_bad"]) for r in log.collect()} == {("events_click", 8, 0, 6), ("events_view", 8, 0, 8)}
+    assert compare(log, duck, streams.SQL_STAGING_STREAM_LOG) == []
+
+
 # ------------------------------------------------------------------ windows
 
 
