@@ -106,6 +106,32 @@ def test_feed_rollup(spark):
     assert bare["has_field_data"] is False and bare["fields"] == [] and bare["list_column_name_source"] == []
 
 
+def test_feed_rollup_is_shuffled_with_the_catalog(spark):
+    """Fields are dealt to their feeds once; grouping them shuffles no row again."""
+    files = spark.createDataFrame([file_row(), file_row("g")], FILE)
+    fields = spark.createDataFrame([field_row("a", 1), field_row("b", 2, feed="G")], FIELD)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fields_of = catalog.field_catalog(files, fields, "DVLP_SALES")
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (fields_of, catalog.feed_rollup(fields_of))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [2, 2]
+
+
+def test_feeds_that_differ_by_case_only_stay_apart(spark):
+    """Each has all fields of the code; fields of one place and name are ordered by their lists."""
+    files = spark.createDataFrame([file_row("f", "PARQUET_FORMAT"), file_row("F")], FILE)
+    fields = spark.createDataFrame([field_row("a", 1, "NUMERIC", precision=9), field_row("a", 1, "DATE"), field_row("a", 1, feed="F", derived="trim(a)")], FIELD)
+    rows = {r["source_feed_code"]: r for r in catalog.feed_rollup(catalog.field_catalog(files, fields, "DVLP_SALES")).collect()}
+    assert sorted(rows) == ["F", "f"]
+    for r in rows.values():
+        assert r["list_data_type_name"] == ["DATE", "NUMERIC(9)", "VARCHAR(20)"] and r["list_derived_expression"] == ["", "", "trim(a)"]
+        assert [x["data_type_name"] for x in r["fields"]] == ["DATE", "NUMERIC", "VARCHAR"]
+    assert rows["f"]["list_source_reference"] == ["$1:a"] * 3 and rows["F"]["list_source_reference"] == ["$1"] * 3
+
+
 def test_expected_datasets(spark, config):
     days = calendar.calendar(span(spark, "2023-01-01", "2024-12-31"), spark.createDataFrame([], "d date"))
     cat = config([file_row(pattern="all_*.csv"), file_row("g")], [field_row("a", 1)], [param_row(), param_row("off", enabled=False), param_row("fix", "static", "x.csv", "g")])
